@@ -1,0 +1 @@
+"""Empty: the mart is loaded in monthly batches and has no streaming operators."""
