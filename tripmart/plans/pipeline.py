@@ -48,11 +48,15 @@ class LoadQuality:
 
 @dataclass(frozen=True)
 class PipelineResult:
-    """Saved tables by name, the load's quality, and the reports, still lazy."""
+    """Saved tables by name, and the load's quality."""
 
     tables: dict[str, DataFrame]
     quality: LoadQuality
-    reports: dict[str, DataFrame]
+
+    @property
+    def reports(self) -> dict[str, DataFrame]:
+        """All reports by name, each still lazy."""
+        return all_reports(self.tables)
 
 
 def run(
@@ -124,7 +128,7 @@ def load(
         "dim_taxi_zone": zones,
     }
     tables |= save_tables(lookups, base_path, schema, fmt, schema_change=False)
-    return PipelineResult(tables, quality, all_reports(tables))
+    return PipelineResult(tables, quality)
 
 
 def _labelled(df: DataFrame, load_month: tuple[int, int]) -> DataFrame:

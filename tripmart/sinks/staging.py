@@ -15,7 +15,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.schema import quoted
-from tripmart.sinks.tables import create_schema
+from tripmart.sinks.tables import create_schema, read_written
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -40,7 +40,7 @@ def _local_folder() -> tempfile.TemporaryDirectory:
 def write_and_read(df: DataFrame, path: str) -> DataFrame:
     """Write `df` as Parquet and continue from the files."""
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return read_written(df, path)
 
 
 @contextmanager

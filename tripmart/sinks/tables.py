@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from tripmart.schema import quoted
 
 
+# Formats that keep their own columns and partitions beside the data.
+SELF_DESCRIBING = ("delta", "iceberg")
+
+
 def table_path(base_path: str, name: str) -> str:
     """The one place where table `name` lies under `base_path`."""
     return f"{base_path.rstrip('/')}/{name}"
@@ -69,13 +73,22 @@ def save_table(
         writer = writer.option("overwriteSchema", "true")
     writer.save(path)
 
-    saved = spark.read.format(fmt).load(path)
+    saved = read_written(df, path, fmt)
     saved.createOrReplaceTempView(name)
     if schema is not None:
-        register_table(spark, schema, name, path, fmt, partitioned=bool(partition_by))
+        register_table(saved, schema, name, path, fmt, partition_by)
     return saved
 
 
+def read_written(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+    """Read back what `df` was written to, in its column order.
+
+    The columns are known, so plain files need no job that infers them.
+    """
+    reader = df.sparkSession.read.format(fmt)
+    return (reader if fmt in SELF_DESCRIBING else reader.schema(df.schema)).load(path)
+
+
 def _refuse_other_columns(new: DataFrame, old: DataFrame | None, path: str) -> None:
     def columns(df: DataFrame) -> list[tuple[str, str]]:
         return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
@@ -95,22 +108,35 @@ def use_schema(spark: SparkSession, schema: str) -> None:
 
 
 def register_table(
-    spark: SparkSession, schema: str, name: str, path: str, fmt: str, partitioned: bool = False
+    saved: DataFrame,
+    schema: str,
+    name: str,
+    path: str,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
 ) -> None:
-    """Point `schema.name` at the files in `path`.
+    """Point `schema.name` at the files of `saved` in `path`.
 
     An external table of that name is registered anew, so the catalog never
     keeps an old location or old columns. A managed table owns its files and is
     left alone.
     """
+    spark = saved.sparkSession
     create_schema(spark, schema)
     table = f"{quoted(schema)}.{quoted(name)}"
     if spark.catalog.tableExists(table):
         if spark.catalog.getTable(table).tableType == "MANAGED":
             raise ValueError(f"{table} is a managed table; choose another schema or drop it")
         spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"CREATE TABLE {table} USING {fmt} LOCATION '{_literal(path)}'")
-    if partitioned and fmt == "parquet":
+
+    columns = partitions = ""
+    if fmt not in SELF_DESCRIBING:
+        columns = f"({saved.schema.toDDL()})"
+        if partition_by:
+            partitions = f"PARTITIONED BY ({', '.join(map(quoted, partition_by))})"
+    where = f"LOCATION '{_literal(path)}'"
+    spark.sql(f"CREATE TABLE {table} {columns} USING {fmt} {partitions} {where}")
+    if partitions:
         spark.sql(f"MSCK REPAIR TABLE {table}")
 
 

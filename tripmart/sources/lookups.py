@@ -7,16 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmart.schema import PAYMENT_TYPES, RATE_CODES, ZONE_COLUMNS, resolve
 
 
+def _code_list(spark: SparkSession, codes: list[tuple[int, str]], columns: str) -> DataFrame:
+    """Fixed codes as inline values, so that Spark knows how few they are."""
+    rows = ", ".join(f"({code}, '{description}')" for code, description in codes)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS codes({columns})")
+
+
 def dim_payment_type(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        PAYMENT_TYPES, "payment_type int not null, payment_type_desc string not null"
-    )
+    return _code_list(spark, PAYMENT_TYPES, "payment_type, payment_type_desc")
 
 
 def dim_rate_code(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        RATE_CODES, "RateCodeID int not null, rate_code_desc string not null"
-    )
+    return _code_list(spark, RATE_CODES, "RateCodeID, rate_code_desc")
 
 
 def dim_taxi_zone(zones: DataFrame) -> DataFrame:
