@@ -116,6 +116,26 @@ def test_a_month_is_a_partition_of_the_scan(spark, landing, tmp_path):
     assert "PartitionFilters: [isnotnull(trip_year" in plan
 
 
+def test_an_emptied_month_loses_its_rows(spark, trips, tmp_path):
+    base, zones = str(tmp_path / "mart"), sample_zones(spark, SF_SMALL)
+    load(spark, trips, zones, base, "mart_emptied", load_month=(2021, 8))
+    load(spark, trips, zones, base, "mart_emptied", load_month=(2021, 9))
+    load(spark, trips.limit(0), zones, base, "mart_emptied", load_month=(2021, 8))
+    for name in ("fact_trips", "duplicate_trips"):
+        months = spark.table(f"mart_emptied.{name}").select("trip_month").distinct()
+        assert rows(months) == [(9,)]
+
+
+def test_a_load_takes_few_jobs(spark, trips, tmp_path):
+    zones = sample_zones(spark, SF_SMALL)
+    context = spark.sparkContext
+    for group, month in (("plain", None), ("by month", (2021, 8))):
+        context.setJobGroup(group, group)
+        load(spark, trips, zones, str(tmp_path / group), "mart_jobs", load_month=month)
+        assert len(context.statusTracker().getJobIdsForGroup(group)) <= 15
+    context.setJobGroup("tests", "tests")
+
+
 def test_empty_month(spark, trips, tmp_path):
     zones = sample_zones(spark, SF_SMALL)
     result = load(spark, trips.limit(0), zones, str(tmp_path / "mart"))

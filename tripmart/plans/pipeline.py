@@ -19,7 +19,14 @@ from tripmart.operators.quality import (
 )
 from tripmart.plans.reports import all_reports
 from tripmart.schema import CURRENCY_COLUMNS, REQUIRED_COLUMNS, RETENTION_WARNING_PCT
-from tripmart.sinks import append_missing, save_table, save_tables, stage, staging_schema
+from tripmart.sinks import (
+    append_missing,
+    replace_partition,
+    save_table,
+    save_tables,
+    stage,
+    staging_schema,
+)
 from tripmart.sources import (
     MONTH_FILE,
     dim_payment_type,
@@ -29,7 +36,6 @@ from tripmart.sources import (
 )
 
 DUPLICATES_TABLE = "duplicate_trips"
-LOAD_COLUMNS = ["trip_year", "trip_month"]
 
 
 @dataclass(frozen=True)
@@ -115,9 +121,13 @@ def load(
             times = dim_time(tables["fact_trips"])
             tables["dim_time"] = save_table(times, "dim_time", base_path, schema, fmt)
         else:
-            trips = {name: _labelled(df, load_month) for name, df in trips.items()}
-            tables = save_tables(trips, base_path, schema, fmt, partition_by=LOAD_COLUMNS)
-            loaded = tables["fact_trips"].filter(_is_load(load_month))
+            year, month = load_month
+            partition = {"trip_year": year, "trip_month": month}
+            tables = {
+                name: replace_partition(df, partition, name, base_path, schema, fmt)
+                for name, df in trips.items()
+            }
+            loaded = tables["fact_trips"].filter(f"trip_year = {year} AND trip_month = {month}")
             tables["dim_time"] = append_missing(
                 dim_time(loaded), "tpep_pickup_datetime", "dim_time", base_path, schema, fmt
             )
@@ -131,17 +141,6 @@ def load(
     return PipelineResult(tables, quality)
 
 
-def _labelled(df: DataFrame, load_month: tuple[int, int]) -> DataFrame:
-    """The load month is constant, so writing by it needs no shuffle."""
-    year, month = load_month
-    return df.withColumns({"trip_year": F.lit(year), "trip_month": F.lit(month)})
-
-
-def _is_load(load_month: tuple[int, int]):
-    year, month = load_month
-    return (F.col("trip_year") == year) & (F.col("trip_month") == month)
-
-
 def _quality(groups: DataFrame) -> LoadQuality:
     """All figures of a load in one aggregation over the distinct rows."""
     complete = has_required(groups)

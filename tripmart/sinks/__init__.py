@@ -4,6 +4,7 @@ from tripmart.sinks.tables import (
     create_schema,
     read_saved,
     register_table,
+    replace_partition,
     save_table,
     save_tables,
     table_path,
@@ -15,6 +16,7 @@ __all__ = [
     "create_schema",
     "read_saved",
     "register_table",
+    "replace_partition",
     "save_table",
     "save_tables",
     "shared_folder",

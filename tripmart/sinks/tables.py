@@ -36,16 +36,14 @@ def save_tables(
     schema: str | None = None,
     fmt: str = "parquet",
     schema_change: bool = True,
-    partition_by: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
     """Overwrite each table under `base_path` and return the tables as read back.
 
     A temp view is made per table and, given a `schema`, an external catalog
     table. `schema_change=False` refuses to replace a table of other columns.
-    With `partition_by`, only the partitions present in the new data are replaced.
     """
     return {
-        name: save_table(df, name, base_path, schema, fmt, schema_change, partition_by)
+        name: save_table(df, name, base_path, schema, fmt, schema_change)
         for name, df in tables.items()
     }
 
@@ -57,23 +55,57 @@ def save_table(
     schema: str | None = None,
     fmt: str = "parquet",
     schema_change: bool = True,
-    partition_by: Sequence[str] = (),
     append: bool = False,
 ) -> DataFrame:
     """`save_tables` for one table; `append` adds to what is there instead."""
-    spark = df.sparkSession
     path = table_path(base_path, name)
     if not schema_change:
-        _refuse_other_columns(df, read_saved(spark, path, fmt), path)
-
+        _refuse_other_columns(df, read_saved(df.sparkSession, path, fmt), path)
     writer = df.write.format(fmt).mode("append" if append else "overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    elif schema_change and not append:
+    if schema_change and not append:
         writer = writer.option("overwriteSchema", "true")
     writer.save(path)
+    return publish(df, name, path, schema, fmt)
+
 
-    saved = read_written(df, path, fmt)
+def replace_partition(
+    df: DataFrame,
+    partition: Mapping[str, int],
+    name: str,
+    base_path: str,
+    schema: str | None = None,
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Replace one partition of a table and return the whole table.
+
+    The partition is replaced even if `df` is empty, which a dynamic overwrite
+    would not do. Its values are constants, so the write needs no shuffle or sort.
+    """
+    path = table_path(base_path, name)
+    labelled = df.withColumns({c: F.lit(value) for c, value in partition.items()})
+    if fmt in SELF_DESCRIBING:
+        condition = " AND ".join(f"{quoted(c)} = {value}" for c, value in partition.items())
+        writer = labelled.write.format(fmt).mode("overwrite").option("replaceWhere", condition)
+        writer.partitionBy(*partition).save(path)
+    else:
+        folder = "/".join(f"{c}={value}" for c, value in partition.items())
+        df.write.format(fmt).mode("overwrite").save(f"{path}/{folder}")
+    return publish(labelled, name, path, schema, fmt, list(partition))
+
+
+def publish(
+    written: DataFrame,
+    name: str,
+    path: str,
+    schema: str | None = None,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+) -> DataFrame:
+    """Read back what was written to `path`, as temp view and catalog table too.
+
+    The columns are known, so plain files need no job that infers them.
+    """
+    saved = read_written(written, path, fmt)
     saved.createOrReplaceTempView(name)
     if schema is not None:
         register_table(saved, schema, name, path, fmt, partition_by)
@@ -81,10 +113,7 @@ def save_table(
 
 
 def read_written(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read back what `df` was written to, in its column order.
-
-    The columns are known, so plain files need no job that infers them.
-    """
+    """The files at `path` with the columns of `df`, which was written there."""
     reader = df.sparkSession.read.format(fmt)
     return (reader if fmt in SELF_DESCRIBING else reader.schema(df.schema)).load(path)
 

@@ -43,9 +43,11 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 def sample_trips(spark: SparkSession, folder: str) -> DataFrame:
     """Raw trips derived from the order tables in `folder`.
 
-    Customers meet the orders, not the several times larger line items. Which
-    joins broadcast is left to Spark, which checks the sizes; AQE splits the
-    partitions of a hot order or supplier.
+    Customers meet the orders, not the several times larger line items. Orders
+    grow with the lines, so those two are merged in a shuffle, which also
+    spreads lines that come in few large row groups; AQE splits the partition
+    of a hot order. Broadcasting the others is left to Spark, which checks
+    their size.
     """
     lines = _read(spark, folder, "lineitem")
     orders = _read(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -53,7 +55,8 @@ def sample_trips(spark: SparkSession, folder: str) -> DataFrame:
     suppliers = _read(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
 
     located = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    joined = lines.join(located, F.col("l_orderkey") == F.col("o_orderkey")).join(
+    merged = lines.join(located.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = merged.join(
         suppliers, F.col("l_suppkey") == F.col("s_suppkey")
     )
     sign = F.expr("CAST(CASE WHEN l_returnflag = 'R' AND l_partkey % 13 = 0 THEN -1 ELSE 1 END AS DOUBLE)")
