@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,14 +19,15 @@ def table_path(base_path: str, name: str) -> str:
     return f"{base_path.rstrip('/')}/{name}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at `path`, on whatever file system it names."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
 def read_saved(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
     """The table at `path`, or None if nothing has been written there."""
-    try:
-        return spark.read.format(fmt).load(path)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
+    return spark.read.format(fmt).load(path) if path_exists(spark, path) else None
 
 
 def save_tables(
