@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from conftest import SF_SMALL, rows
 from pyspark.sql import functions as F
@@ -9,13 +11,14 @@ from tripmart.plans import load, run
 from tripmart.schema import STAR_TABLES
 from tripmart.sinks import (
     append_missing,
+    path_exists,
     read_saved,
     save_table,
     save_tables,
     shared_folder,
-    stage,
-    staging_schema,
+    staging_folder,
     use_schema,
+    write_and_read,
 )
 from tripmart.sources import MONTH_FOLDER
 from tripmart.sources.sample import sample_zones
@@ -236,14 +239,18 @@ def test_verify_goes_on_after_an_error(spark, tmp_path):
 # Staging
 
 
-def test_staging_is_dropped_even_after_an_error(spark):
-    with pytest.raises(RuntimeError), staging_schema(spark) as name:
-        assert stage(spark.range(3), name, "numbers").count() == 3
-        files = spark.table(f"{name}.numbers").inputFiles()
-        assert all(shared_folder(spark) in f for f in files)
+def test_staging_is_deleted_even_after_an_error(spark):
+    with pytest.raises(RuntimeError), staging_folder(spark) as folder:
+        assert folder.startswith(shared_folder(spark))
+        assert write_and_read(spark.range(3), f"{folder}/numbers").count() == 3
         raise RuntimeError
-    assert not spark.catalog.databaseExists(name)
-    assert read_saved(spark, f"{shared_folder(spark)}/{name}/numbers") is None
+    assert not path_exists(spark, folder)
+
+
+def test_a_load_leaves_no_staging(spark, trips, tmp_path):
+    before = set(Path(shared_folder(spark)).iterdir())
+    load(spark, trips.limit(10), sample_zones(spark, SF_SMALL), str(tmp_path / "mart"))
+    assert set(Path(shared_folder(spark)).iterdir()) == before
 
 
 def test_a_cluster_needs_a_shared_folder():

@@ -24,8 +24,8 @@ from tripmart.sinks import (
     replace_partition,
     save_table,
     save_tables,
-    stage,
-    staging_schema,
+    staging_folder,
+    write_and_read,
 )
 from tripmart.sources import (
     MONTH_FILE,
@@ -110,8 +110,8 @@ def load(
     go to a staging table, and the quality figures, the duplicates and the fact
     are column-pruned scans of it. The time dimension comes from the saved fact.
     """
-    with staging_schema(spark) as staging:
-        groups = stage(row_groups(raw), staging, "trip_groups")
+    with staging_folder(spark) as staging:
+        groups = write_and_read(row_groups(raw), f"{staging}/trip_groups")
         quality = _quality(groups)
         repeated = repeat_rows(groups.filter(F.col(OCCURRENCES) > 1))
         fact = fact_trips(enrich_trips(normalise(groups.drop(OCCURRENCES))))

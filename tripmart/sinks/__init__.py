@@ -1,4 +1,5 @@
-from tripmart.sinks.staging import shared_folder, stage, staging_schema, write_and_read
+from tripmart.sinks.files import delete_at_exit, delete_path, path_exists
+from tripmart.sinks.staging import new_folder, shared_folder, staging_folder, write_and_read
 from tripmart.sinks.tables import (
     append_missing,
     create_schema,
@@ -14,14 +15,17 @@ from tripmart.sinks.tables import (
 __all__ = [
     "append_missing",
     "create_schema",
+    "delete_at_exit",
+    "delete_path",
+    "new_folder",
+    "path_exists",
     "read_saved",
     "register_table",
     "replace_partition",
     "save_table",
     "save_tables",
     "shared_folder",
-    "stage",
-    "staging_schema",
+    "staging_folder",
     "table_path",
     "use_schema",
     "write_and_read",

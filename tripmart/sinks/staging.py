@@ -14,8 +14,8 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.schema import quoted
-from tripmart.sinks.tables import create_schema, read_written
+from tripmart.sinks.files import delete_path
+from tripmart.sinks.tables import read_written
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,25 +37,22 @@ def _local_folder() -> tempfile.TemporaryDirectory:
     return tempfile.TemporaryDirectory(prefix="tripmart-")
 
 
-def write_and_read(df: DataFrame, path: str) -> DataFrame:
-    """Write `df` as Parquet and continue from the files."""
-    df.write.mode("errorifexists").parquet(path)
-    return read_written(df, path)
+def new_folder(spark: SparkSession) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/tripmart-{uuid.uuid4().hex}"
 
 
 @contextmanager
-def staging_schema(spark: SparkSession) -> Iterator[str]:
-    """A catalog schema in the shared folder, dropped with its tables at the end."""
-    name = f"tripmart_stage_{uuid.uuid4().hex}"
-    create_schema(spark, name, f"{shared_folder(spark)}/{name}")
+def staging_folder(spark: SparkSession) -> Iterator[str]:
+    """A new folder in the shared one, deleted with its content at the end."""
+    folder = new_folder(spark)
     try:
-        yield name
+        yield folder
     finally:
-        spark.sql(f"DROP SCHEMA IF EXISTS {quoted(name)} CASCADE")
+        delete_path(spark, folder)
 
 
-def stage(df: DataFrame, schema: str, name: str) -> DataFrame:
-    """Write `df` as a table of a staging schema and continue from it."""
-    table = f"{quoted(schema)}.{quoted(name)}"
-    df.write.format("parquet").saveAsTable(table)
-    return df.sparkSession.table(table)
+def write_and_read(df: DataFrame, path: str) -> DataFrame:
+    """Write `df` as Parquet and continue from the files."""
+    df.write.mode("errorifexists").parquet(path)
+    return read_written(df, path)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.schema import quoted
+from tripmart.sinks.files import path_exists
 
 
 # Formats that keep their own columns and partitions beside the data.
@@ -19,12 +20,6 @@ def table_path(base_path: str, name: str) -> str:
     return f"{base_path.rstrip('/')}/{name}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is a file or folder at `path`, on whatever file system it names."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
 def read_saved(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
     """The table at `path`, or None if nothing has been written there."""
     return spark.read.format(fmt).load(path) if path_exists(spark, path) else None
