@@ -1,0 +1,128 @@
+"""Operators against plain Python on random rows."""
+
+from __future__ import annotations
+
+from collections import Counter, defaultdict
+from datetime import datetime, timedelta
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from conftest import dicts, rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tripmart import operators as ops
+from tripmart.plans import reports
+from tripmart.sources import dim_payment_type
+
+few = settings(
+    max_examples=8,
+    deadline=None,
+    derandomize=True,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+
+cells = st.one_of(st.none(), st.integers(0, 2))
+amounts = st.one_of(st.none(), st.integers(-400, 400).map(lambda cents: cents / 4))
+
+
+@few
+@given(data=st.lists(st.tuples(cells, cells, amounts), max_size=30))
+def test_duplicates(spark, data):
+    df = spark.createDataFrame(data, "a int, b int, c double")
+    data = [(a, b, c if c is None else c + 0.0) for a, b, c in data]
+    counted = Counter(data)
+    assert rows(ops.dedup_rows(df)) == sorted(counted, key=repr)
+    assert rows(ops.duplicate_rows(df)) == sorted((r for r in data if counted[r] > 1), key=repr)
+    assert dicts(ops.duplicate_summary(df)) == [
+        {
+            "original_count": len(data),
+            "distinct_count": len(counted),
+            "duplicate_count": len(data) - len(counted),
+        }
+    ]
+
+
+@few
+@given(data=st.lists(st.tuples(amounts, amounts), max_size=30))
+def test_cleaning(spark, data):
+    df = spark.createDataFrame(data, "trip_distance double, total_amount double")
+    complete = [r for r in data if None not in r]
+    assert rows(ops.drop_null_rows(df)) == sorted(complete, key=repr)
+    assert [r["null_count"] for r in dicts(ops.null_counts(df))] == [
+        sum(r[i] is None for r in data) for i in (0, 1)
+    ]
+    negatives = ops.negative_counts(df, ["total_amount"])
+    assert dicts(negatives)[0]["negative_count"] == sum((r[1] or 0) < 0 for r in data)
+    positive = [(d, t if t is None else abs(t)) for d, t in data]
+    assert rows(ops.abs_amounts(df)) == sorted(positive, key=repr)
+
+
+def half_up(value: float) -> float:
+    return float(Decimal(repr(value)).quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+
+@few
+@given(
+    data=st.lists(
+        st.tuples(st.integers(0, 10**6), st.integers(-10**4, 10**5), amounts, amounts),
+        min_size=1,
+        max_size=30,
+    )
+)
+def test_enrichment(spark, data):
+    start = datetime(2021, 8, 1)
+    table = [
+        (i, start + timedelta(seconds=s), start + timedelta(seconds=s + d), distance, fare)
+        for i, (s, d, distance, fare) in enumerate(data)
+    ]
+    df = spark.createDataFrame(
+        table,
+        "id int, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, "
+        "trip_distance double, fare_amount double",
+    )
+    for row in dicts(ops.enrich_trips(df)):
+        pickup = row["tpep_pickup_datetime"]
+        _, duration, distance, fare = data[row["id"]]
+        assert row["pickup_hour"] == pickup.hour
+        assert row["pickup_date"] == pickup.date()
+        assert row["pickup_day_of_week"] == pickup.strftime("%A")
+        assert row["trip_duration_minutes"] == half_up(duration / 60)
+        if distance is not None and distance > 0:
+            assert row["price_per_mile"] == (None if fare is None else half_up(fare / distance))
+        else:
+            assert row["price_per_mile"] == 0.0
+
+
+@few
+@given(
+    data=st.lists(
+        st.tuples(st.one_of(st.none(), st.integers(0, 8)), amounts, amounts, amounts), max_size=40
+    )
+)
+def test_payment_reports(spark, data):
+    fact = spark.createDataFrame(
+        data, "payment_type long, fare_amount double, tip_amount double, total_amount double"
+    ).withColumn("trip_distance", F.lit(1.0))
+    tables = {"fact_trips": fact, "dim_payment_type": dim_payment_type(spark)}
+
+    groups = defaultdict(list)
+    for code, *values in data:
+        groups[code].append(values)
+    known = {code: group for code, group in groups.items() if code in range(1, 7)}
+    found = {r["payment_type"]: r for r in dicts(reports.payment_analysis(tables))}
+    assert set(found) == set(known)
+    for code, group in known.items():
+        fares, _, totals = ([v for v in column if v is not None] for column in zip(*group))
+        assert found[code]["trip_count"] == len(group)
+        assert found[code]["total_revenue"] == (pytest.approx(sum(totals)) if totals else None)
+        mean = pytest.approx(sum(fares) / len(fares), abs=0.0051) if fares else None
+        assert found[code]["avg_fare"] == mean
+
+    unknown = len(data) - sum(map(len, known.values()))
+    by_description = {
+        r["payment_type_desc"]: r["trip_count"] for r in dicts(reports.payment_metrics(tables))
+    }
+    assert by_description.get(None, 0) == unknown
+    assert sum(by_description.values()) == len(data)
