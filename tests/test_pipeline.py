@@ -129,6 +129,13 @@ def test_an_emptied_month_loses_its_rows(spark, trips, tmp_path):
         assert rows(months) == [(9,)]
 
 
+def test_months_do_not_mix_with_a_plain_table(spark, trips, tmp_path):
+    base, zones = str(tmp_path / "mart"), sample_zones(spark, SF_SMALL)
+    load(spark, trips.limit(10), zones, base)
+    with pytest.raises(ValueError, match="without partitions"):
+        load(spark, trips.limit(10), zones, base, load_month=(2021, 8))
+
+
 def test_a_load_takes_few_jobs(spark, trips, tmp_path):
     zones = sample_zones(spark, SF_SMALL)
     context = spark.sparkContext

@@ -16,6 +16,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
+def holds_files(spark: SparkSession, path: str, pattern: str) -> bool:
+    """Whether the folder at `path` directly holds files named like `pattern`."""
+    hadoop_path, file_system = _resolve(spark, f"{path}/{pattern}")
+    return bool(file_system.globStatus(hadoop_path))
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete the file or folder at `path`, if there is one."""
     _deletion(spark, path)()

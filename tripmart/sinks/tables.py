@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.schema import quoted
-from tripmart.sinks.files import path_exists
-
+from tripmart.sinks.files import holds_files, path_exists
 
 # Formats that keep their own columns and partitions beside the data.
 SELF_DESCRIBING = ("delta", "iceberg")
@@ -76,7 +75,9 @@ def replace_partition(
     The partition is replaced even if `df` is empty, which a dynamic overwrite
     would not do. Its values are constants, so the write needs no shuffle or sort.
     """
-    path = table_path(base_path, name)
+    spark, path = df.sparkSession, table_path(base_path, name)
+    if fmt not in SELF_DESCRIBING and holds_files(spark, path, "part-*"):
+        raise ValueError(f"{path} holds a table without partitions; choose another folder")
     labelled = df.withColumns({c: F.lit(value) for c, value in partition.items()})
     if fmt in SELF_DESCRIBING:
         condition = " AND ".join(f"{quoted(c)} = {value}" for c, value in partition.items())

@@ -16,10 +16,17 @@ from tripmart.schema import TRIP_COLUMNS
 TRIP_EXPRESSIONS = {
     "VendorID": "CAST(1 + l_linenumber % 2 AS BIGINT)",
     "tpep_pickup_datetime": "o_orderdate + make_dt_interval(0, 0, 0, start_second)",
-    "tpep_dropoff_datetime": "o_orderdate + make_dt_interval(0, 0, 0, start_second + (l_partkey * 7 + l_suppkey * 11) % 5400)",
-    "passenger_count": "CAST(CASE WHEN l_suppkey % 9 = 7 THEN NULL ELSE l_linenumber % 6 END AS DOUBLE)",
-    "trip_distance": "CASE WHEN l_partkey % 97 = 0 THEN NULL WHEN l_partkey % 41 = 0 THEN CAST(0 AS DOUBLE) ELSE l_quantity / 4 END",
-    "RatecodeID": "CAST(CASE l_suppkey % 9 WHEN 6 THEN 99 WHEN 7 THEN NULL WHEN 8 THEN 1 WHEN 0 THEN 1 ELSE l_suppkey % 9 END AS DOUBLE)",
+    "tpep_dropoff_datetime": """
+        o_orderdate
+        + make_dt_interval(0, 0, 0, start_second + (l_partkey * 7 + l_suppkey * 11) % 5400)""",
+    "passenger_count": """
+        CAST(CASE WHEN l_suppkey % 9 = 7 THEN NULL ELSE l_linenumber % 6 END AS DOUBLE)""",
+    "trip_distance": """
+        CASE WHEN l_partkey % 97 = 0 THEN NULL
+            WHEN l_partkey % 41 = 0 THEN CAST(0 AS DOUBLE) ELSE l_quantity / 4 END""",
+    "RatecodeID": """
+        CAST(CASE l_suppkey % 9 WHEN 6 THEN 99 WHEN 7 THEN NULL WHEN 8 THEN 1 WHEN 0 THEN 1
+            ELSE l_suppkey % 9 END AS DOUBLE)""",
     "store_and_fwd_flag": "CASE WHEN l_returnflag = 'R' THEN 'Y' ELSE 'N' END",
     "PULocationID": "CAST(CASE WHEN l_suppkey % 50 = 0 THEN 999 ELSE s_nationkey END AS BIGINT)",
     "DOLocationID": "CAST(c_nationkey AS BIGINT)",
@@ -28,11 +35,15 @@ TRIP_EXPRESSIONS = {
     "extra": "sgn * CAST(0.5 AS DOUBLE)",
     "mta_tax": "sgn * CAST(0.5 AS DOUBLE)",
     "tip_amount": "sgn * amt * l_discount + CAST(0 AS DOUBLE)",
-    "tolls_amount": "CASE WHEN l_linenumber = 3 THEN sgn * CAST(6.5 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END",
+    "tolls_amount": """
+        CASE WHEN l_linenumber = 3 THEN sgn * CAST(6.5 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END""",
     "improvement_surcharge": "sgn * CAST(0.3 AS DOUBLE)",
-    "total_amount": "CASE WHEN l_suppkey % 89 = 0 THEN NULL ELSE sgn * (amt + amt * l_discount + CAST(3.8 AS DOUBLE)) END",
+    "total_amount": """
+        CASE WHEN l_suppkey % 89 = 0 THEN NULL
+            ELSE sgn * (amt + amt * l_discount + CAST(3.8 AS DOUBLE)) END""",
     "congestion_surcharge": "sgn * CAST(2.5 AS DOUBLE)",
-    "airport_fee": "CASE WHEN l_linenumber = 5 THEN sgn * CAST(1.25 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END",
+    "airport_fee": """
+        CASE WHEN l_linenumber = 5 THEN sgn * CAST(1.25 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END""",
 }
 
 
@@ -59,7 +70,8 @@ def sample_trips(spark: SparkSession, folder: str) -> DataFrame:
     joined = merged.join(
         suppliers, F.col("l_suppkey") == F.col("s_suppkey")
     )
-    sign = F.expr("CAST(CASE WHEN l_returnflag = 'R' AND l_partkey % 13 = 0 THEN -1 ELSE 1 END AS DOUBLE)")
+    returned = F.expr("l_returnflag = 'R' AND l_partkey % 13 = 0")
+    sign = F.when(returned, F.lit(-1.0)).otherwise(F.lit(1.0))
     amount = F.expr("CAST(floor(l_extendedprice / 10) AS DOUBLE) / 100")
     start = F.expr("(l_orderkey * 37 + l_linenumber * 1009 + l_partkey * 13) % 86400")
     # Every two-hundredth order is delivered twice, as whole-row duplicates.
