@@ -71,6 +71,21 @@ def test_one_month_from_file_to_tables(spark, landing, tmp_path):
     }
     assert all(len(check.sample) == 5 and check.error is None for check in checks.values())
 
+    # The saved tables answer plain SQL, with ids of different types compared as they are.
+    use_schema(spark, "mart_one")
+    zones = spark.sql("""
+        SELECT location_id, count(*) AS pickup_count FROM mart_one.fact_trips
+        JOIN mart_one.dim_taxi_zone ON PULocationID = location_id GROUP BY location_id
+    """)
+    hours = spark.sql("""
+        SELECT pickup_hour, count(*) AS trip_count FROM mart_one.fact_trips
+        JOIN mart_one.dim_time USING (tpep_pickup_datetime) GROUP BY pickup_hour
+    """)
+    use_schema(spark, "default")
+    popular = result.reports["popular_pickups"].select("location_id", "pickup_count")
+    assert set(rows(popular)) <= set(rows(zones))
+    assert rows(hours) == rows(result.reports["busiest_hours"])
+
 
 def test_trip_ids_of_a_saved_fact_stay(spark, landing, tmp_path):
     fact = run(spark, landing, f"{landing}/zones", 2021, 8, str(tmp_path / "m")).tables["fact_trips"]

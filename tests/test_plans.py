@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import rows
+from conftest import SF, rows
 from pyspark.sql import functions as F
 
 from tripmart import operators as ops
 from tripmart.plans import REPORTS, reports
+from tripmart.sources.sample import sample_trips
 
 
 def plan(df) -> str:
@@ -112,6 +113,34 @@ def test_large_sides_are_not_broadcast(spark, star):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
+def test_a_hot_order_is_split_between_tasks(spark, tmp_path):
+    """AQE cuts the partition of an order that holds nearly half of the lines."""
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet")
+    hot = F.when(F.col("l_linenumber") <= 3, F.lit(7)).otherwise(F.col("l_orderkey"))
+    lines = lines.withColumn("l_orderkey", hot.cast("bigint")).repartition(4)
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    for table in ("orders", "customer", "supplier"):
+        (tmp_path / f"{table}.parquet").symlink_to(f"{SF}/{table}.parquet")
+
+    adaptive = "spark.sql.adaptive."
+    small = {
+        f"{adaptive}skewJoin.skewedPartitionThresholdInBytes": "100k",
+        f"{adaptive}advisoryPartitionSizeInBytes": "100k",
+        f"{adaptive}coalescePartitions.parallelismFirst": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key) for key in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        totals = sample_trips(spark, str(tmp_path)).agg(F.count(F.lit(1)), F.sum("total_amount"))
+        assert totals.collect()[0][0] >= lines.count()
+        assert "SortMergeJoin(skew=true)" in plan(totals)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_a_hot_key_is_one_record_per_task(spark, star):
     """A third of the trips in one zone and at one time changes only their totals."""
     third = F.col("trip_id") % 3 == 0
