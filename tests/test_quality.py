@@ -54,6 +54,17 @@ def test_copies_of_a_frequent_row_are_written_by_several_tasks(spark):
     assert sum(r["count"] for r in per_task) == 10_000
 
 
+def test_zeros_of_either_sign_and_nan_are_equal(spark):
+    df = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (float("nan"),)], "x double")
+    assert ops.dedup_rows(df).count() == 2
+    assert [str(r["x"]) for r in ops.duplicate_rows(df).orderBy("x").collect()] == [
+        "0.0",
+        "0.0",
+        "nan",
+        "nan",
+    ]
+
+
 def test_odd_column_names(spark):
     df = spark.createDataFrame([(1, 2), (1, 2)], ["a.b", "c`d"])
     assert rows(ops.duplicate_rows(df)) == [(1, 2), (1, 2)]
