@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import mixing
+from tripmart.llm import mixing, segments
 from tripmart.llm.common import table
 from tripmart.llm.mixing import mix
 from tripmart.llm.sharding import shard_documents
+from tripmart.llm.segments import top_k
 from tripmart.llm.syncmers import fingerprints
+from tripmart.llm.tokens import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,8 +26,10 @@ def queries() -> dict[str, Query]:
         "op2_mixing": _on_documents(mix),
         "op4_sharding": _on_documents(shard_documents),
         "op5_syncmers": _on_documents(fingerprints),
+        "op9_token_counts": _on_documents(count_tokens),
+        "op10_top_k": lambda spark, sf_dir: top_k(table(spark, sf_dir, "embeddings")),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.SQL}
+    return {"op2_mixing": mixing.SQL, "op10_top_k": segments.SQL}
