@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,6 +31,33 @@ def stage(df: DataFrame) -> DataFrame:
     return write_and_read(df, folder)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library to the Python workers, once per application.
+
+    Functions that run there are found by name, and a worker need not have the
+    library's folder on its path. The archive lies in the shared folder.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, source.relative_to(root.parent))
+    folder = new_folder(spark)
+    delete_at_exit(spark, folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{root.name}.zip")
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    stream.write(packed.getvalue())
+    stream.close()
+    context.addPyFile(path.toString())
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the given folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -13,6 +13,7 @@ from tripmart.llm.sharding import shard_documents
 from tripmart.llm.segments import top_k
 from tripmart.llm.syncmers import fingerprints
 from tripmart.llm.tokens import count_tokens
+from tripmart.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,11 +22,16 @@ def _on_documents(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(table(spark, sf_dir, "documents"))
 
 
+def _with_labels(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: operator(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_mixing": _on_documents(mix),
         "op4_sharding": _on_documents(shard_documents),
         "op5_syncmers": _on_documents(fingerprints),
+        "op6_toxicity": _with_labels(score_toxicity),
         "op9_token_counts": _on_documents(count_tokens),
         "op10_top_k": lambda spark, sf_dir: top_k(table(spark, sf_dir, "embeddings")),
     }

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripmart.llm.common import ship
+
 SCALE = 256
 K = 5
 QUERY_STEP = 50
@@ -52,6 +54,7 @@ def top_k(
     candidates. Scores beyond 64 bits are not defined. An empty table gives no
     rows.
     """
+    ship(embeddings.sparkSession)
     vector = F.transform(embeddings["embedding"], lambda x: F.floor(x.cast("double") * scale))
     usable = finite(F.transform(embeddings["embedding"], lambda x: x.cast("double")))
     rows = embeddings.filter(usable & embeddings["vec_id"].isNotNull()).select(

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import stage, text_of
+from tripmart.llm.common import ship, stage, text_of
 
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 LIMIT = 512
@@ -112,6 +112,7 @@ def count_tokens(
     Null text counts as empty and has no tokens. Null and repeated ids are
     documents like others. An empty table gives no rows.
     """
+    ship(documents.sparkSession)
     text = text_of(documents)
     rows = documents.select(
         documents["doc_id"].cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text")
