@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmart.llm import mixing, segments
 from tripmart.llm.common import table
 from tripmart.llm.mixing import mix
+from tripmart.llm.quality import score_quality
 from tripmart.llm.sharding import shard_documents
 from tripmart.llm.segments import top_k
 from tripmart.llm.syncmers import fingerprints
@@ -32,6 +33,7 @@ def queries() -> dict[str, Query]:
         "op4_sharding": _on_documents(shard_documents),
         "op5_syncmers": _on_documents(fingerprints),
         "op6_toxicity": _with_labels(score_toxicity),
+        "op8_quality": _with_labels(score_quality),
         "op9_token_counts": _on_documents(count_tokens),
         "op10_top_k": lambda spark, sf_dir: top_k(table(spark, sf_dir, "embeddings")),
     }
