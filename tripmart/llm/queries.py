@@ -15,6 +15,7 @@ from tripmart.llm.segments import top_k
 from tripmart.llm.syncmers import fingerprints
 from tripmart.llm.tokens import count_tokens
 from tripmart.llm.toxicity import score_toxicity
+from tripmart.llm.wordtable import digests, encode_and_decode
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +34,7 @@ def queries() -> dict[str, Query]:
         "op4_sharding": _on_documents(shard_documents),
         "op5_syncmers": _on_documents(fingerprints),
         "op6_toxicity": _with_labels(score_toxicity),
+        "op7_bpe_words": _on_documents(lambda documents: digests(encode_and_decode(documents))),
         "op8_quality": _with_labels(score_quality),
         "op9_token_counts": _on_documents(count_tokens),
         "op10_top_k": lambda spark, sf_dir: top_k(table(spark, sf_dir, "embeddings")),
