@@ -23,11 +23,14 @@ CODEC = "zstd"
 
 def squeeze(values: np.ndarray) -> bytes:
     """Compressed bytes of an array of integers, by planes of bytes; `open_up` restores them."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
+    values = np.ascontiguousarray(values)
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
     return pa.compress(np.ascontiguousarray(planes).tobytes(), codec=CODEC, asbytes=True)
 
 
 def open_up(data: bytes, kind: str, n: int) -> np.ndarray:
+    if not n:
+        return np.empty(0, kind)
     width = np.dtype(kind).itemsize
     planes = np.frombuffer(pa.decompress(data, n * width, codec=CODEC, asbytes=True), np.uint8)
     return np.ascontiguousarray(planes.reshape(width, n).T).view(kind).ravel()

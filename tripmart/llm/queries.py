@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.llm import mixing, segments
 from tripmart.llm.common import table
+from tripmart.llm.lm import score_documents
 from tripmart.llm.mixing import mix
 from tripmart.llm.quality import score_quality
 from tripmart.llm.sharding import shard_documents
@@ -30,6 +31,7 @@ def _with_labels(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Query
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_language_model": _on_documents(score_documents),
         "op2_mixing": _on_documents(mix),
         "op4_sharding": _on_documents(shard_documents),
         "op5_syncmers": _on_documents(fingerprints),
