@@ -16,10 +16,12 @@ from tripmart.llm.packed import (
     one_array,
     open_sorted,
     open_up,
+    packed,
     sizes_for,
     split_words,
     squeeze,
     squeeze_sorted,
+    unpacked,
     word_hashes,
 )
 
@@ -154,7 +156,8 @@ def score_documents(documents: DataFrame, order: int = ORDER) -> DataFrame:
     held_out = F.coalesce(fold(documents["doc_id"], FOLDS) == HELD, F.lit(False))
     gone = ~held_out & (F.floor(crc / FOLDS) % DELETED == 0)
     texts = chunked(documents, chunks, held_out=held_out, gone=gone)
-    texts = texts.withColumn("chunk", F.when(F.col("gone"), F.col("chunk") + chunks).otherwise(F.col("chunk"))).drop("gone")
+    of_deleted = F.when(F.col("gone"), F.col("chunk") + chunks).otherwise(F.col("chunk"))
+    texts = packed(texts.withColumn("chunk", of_deleted).drop("gone"))
     answers = stage(_answers(texts, order, chunks, buckets))
     sums = answers.filter("chunk < 0").agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "distinct", "ends", "gone", "gone_ends")]
@@ -165,6 +168,7 @@ def score_documents(documents: DataFrame, order: int = ORDER) -> DataFrame:
     total, distinct, ends = facts["n"], facts["distinct"], facts["ends"]
 
     def score(found: pa.Table, group: pa.Table) -> pa.Table:
+        group = unpacked(group)
         counts = _Counts(found, one_array(group.column("text")), order, deleted=False)
         bucket, shares = _estimates(counts.grams, counts.contexts(ends), total, distinct)
         chance = np.einsum("ij,ij->i", weights[bucket], shares) if total else shares[:, 0]
@@ -197,7 +201,7 @@ def _answers(texts: DataFrame, order: int, chunks: int, buckets: int) -> DataFra
     """Counts of every chunk's distinct n-grams in the training documents, and rows with what adds up to totals."""
 
     def ask(group: pa.Table) -> pa.Table:
-        chunk = group.column("chunk")[0].as_py()
+        chunk, group = group.column("chunk")[0].as_py(), unpacked(group)
         grams, bounds = _grams(one_array(group.column("text")), order)
         trained = np.repeat(~group.column("held_out").to_numpy(), np.diff(bounds))
         rows: dict[str, list] = {k: [] for k in ("chunk", "bucket", "length", "n", "keys", "counts")}
@@ -288,6 +292,7 @@ def _learn(texts: DataFrame, answers: DataFrame, order: int, chunks: int, facts:
         return weights
 
     def estimates(found: pa.Table, group: pa.Table) -> pa.Table:
+        group = unpacked(group)
         counts = _Counts(found, one_array(group.column("text")), order, deleted=True)
         bucket, shares = _estimates(counts.grams, counts.contexts(ends), total, facts["distinct"])
         _, first, times = np.unique(counts.last_grams, return_index=True, return_counts=True)

@@ -1,12 +1,14 @@
 """Arrays packed into rows, for exchanges in which a row for each value would cost too much.
 
-Documents are dealt into chunks. A chunk asks about its distinct values in
+Documents are dealt into chunks, as compressed batches. A chunk asks about its distinct values in
 sorted order, in one row for each bucket of values; the answer of a bucket has
 the same order, so that a chunk puts its answers together without keys.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from tripmart.llm.common import text_bytes, text_of
 
 #: Bytes of text of a chunk, about.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 CODEC = "zstd"
 
 
@@ -84,5 +86,35 @@ def chunked(documents: DataFrame, chunks: int, **more: Column) -> DataFrame:
     )
 
 
+def packed(rows: DataFrame) -> DataFrame:
+    """`chunk, batch`: the rows of a chunk that a task has read, all columns, as compressed Arrow streams.
+
+    Texts so take half the place in an exchange that they would take as rows.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression=CODEC)
+        for batch in batches:
+            chunk = batch.column(batch.schema.get_field_index("chunk")).to_numpy()
+            order = np.argsort(chunk, kind="stable")
+            values, starts = np.unique(chunk[order], return_index=True)
+            for value, own in zip(values.tolist(), np.split(order, starts[1:]), strict=True):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema, options=options) as stream:
+                    stream.write_batch(batch.take(pa.array(own)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([value], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                    names=["chunk", "batch"],
+                )
+
+    return rows.mapInArrow(pack, "chunk long, batch binary")
+
+
+def unpacked(group: pa.Table) -> pa.Table:
+    """The rows of a chunk."""
+    batches = [pa.ipc.open_stream(b).read_all() for b in group.column("batch").to_pylist()]
+    return pa.concat_tables(batches).combine_chunks()
+
+
 def one_array(column: pa.ChunkedArray) -> pa.Array:
     return column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)

@@ -43,6 +43,7 @@ class Counter:
     """
 
     def __init__(self, vocabulary: str, ranks: str | None) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.slow = Tokenizer.from_file(file_of(vocabulary))

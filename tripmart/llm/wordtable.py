@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -17,9 +19,11 @@ from tripmart.llm.packed import (
     chunked,
     one_array,
     open_up,
+    packed,
     sizes_for,
     split_words,
     squeeze,
+    unpacked,
     word_hashes,
 )
 from tripmart.llm.tokens import file_of
@@ -29,7 +33,9 @@ VOCABULARY = "word_bpe_49k.json"
 CALL = 8192
 
 
+@lru_cache(maxsize=2)
 def _tokenizer(vocabulary: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads would also keep memory of their own
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(file_of(vocabulary))
@@ -38,6 +44,13 @@ def _tokenizer(vocabulary: str):
     return own
 
 
+@lru_cache(maxsize=2)
+def _pieces(vocabulary: str) -> np.ndarray:
+    """The piece of every id."""
+    table = _tokenizer(vocabulary)
+    return np.array([table.id_to_token(i) or "" for i in range(table.get_vocab_size())], object)
+
+
 def _in_order(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The order of words by hash, then by themselves, and the sorted hashes."""
     hashes = word_hashes(words)
@@ -69,9 +82,10 @@ def encode_and_decode(documents: DataFrame, vocabulary: str = VOCABULARY) -> Dat
     """
     ship(documents.sparkSession)
     chunks, buckets = sizes_for(documents)
-    texts = chunked(documents, chunks)
+    texts = packed(chunked(documents, chunks))
 
     def ask(group: pa.Table) -> pa.Table:
+        chunk, group = group.column("chunk")[0].as_py(), unpacked(group)
         _, _, words = split_words(one_array(group.column("text")), lower=False)
         words = words.filter(pc.not_equal(words, "")) if len(words) else words
         order, hashes = _in_order(words)
@@ -80,7 +94,7 @@ def encode_and_decode(documents: DataFrame, vocabulary: str = VOCABULARY) -> Dat
         lists = ["\n".join(own[cuts[b] : cuts[b + 1]]).encode() for b in full]
         return pa.table(
             {
-                "chunk": pa.array([group.column("chunk")[0].as_py()] * len(full), pa.int64()),
+                "chunk": pa.array([chunk] * len(full), pa.int64()),
                 "bucket": pa.array(full, pa.int32()),
                 "size": pa.array([len(x) for x in lists], pa.int64()),
                 "words": pa.array([pa.compress(x, codec=CODEC, asbytes=True) for x in lists], pa.binary()),
@@ -115,6 +129,7 @@ def encode_and_decode(documents: DataFrame, vocabulary: str = VOCABULARY) -> Dat
         )
 
     def join_back(answers: pa.Table, group: pa.Table) -> pa.Table:
+        group = unpacked(group)
         rows = sorted(answers.to_pylist(), key=lambda r: r["bucket"])
         none = [np.empty(0, np.uint32)]
         lengths = np.concatenate(none + [open_up(r["lengths"], "<u4", r["n"]) for r in rows]).astype(np.int64)
@@ -129,8 +144,7 @@ def encode_and_decode(documents: DataFrame, vocabulary: str = VOCABULARY) -> Dat
         before = np.concatenate([[0], np.cumsum(n)])
         flat = ids[np.repeat(first - before[:-1], n) + np.arange(before[-1])]
         bounds = before[starts]
-        table = _tokenizer(vocabulary)
-        pieces = np.array([table.id_to_token(i) or "" for i in range(table.get_vocab_size())], object)
+        pieces = _pieces(vocabulary)
         named, ends = pieces[ids], np.cumsum(lengths)
         spelt = [" ".join(named[e - k : e]) if k else None for e, k in zip(ends.tolist(), lengths.tolist(), strict=True)]
         spelt = np.array([*spelt, None], object)[:-1]
