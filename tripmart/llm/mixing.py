@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import WORD, running_totals, stage, text_of
+from tripmart.llm.common import BLANK, WORD, running_totals, stage, text_of
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -43,7 +43,54 @@ def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: in
     return weighed.withColumn("target", target)
 
 
-def mix(documents: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = 0) -> DataFrame:
+def mix(
+    documents: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = 0
+) -> DataFrame:
+    """The words that the mix takes of each document, without the `text_hash` of `shares`."""
+    return shares(documents, weights, max_epochs, seed).drop("text_hash")
+
+
+def mixed_documents(
+    documents: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = 0
+) -> DataFrame:
+    """The mix itself: documents, all columns, once for each time that they are taken whole.
+
+    A document at which a budget is cut comes once more with its text up to the
+    cut; its `n_chars`, if there is such a column, is that of the shorter text.
+    Rows with the same id, source and text take part together.
+    """
+    words = shares(documents, weights, max_epochs, seed)
+    whole = F.col("epochs") + F.when(F.col("extra") == F.col("size"), 1).otherwise(0)
+    part = F.when((F.col("extra") > 0) & (F.col("extra") < F.col("size")), F.col("extra"))
+    taken = words.filter("taken > 0").groupBy("doc_id", "source", "text_hash")
+    taken = stage(taken.agg(F.sum(whole).cast("int").alias("whole_"), F.collect_list(part).alias("parts_"), F.count("*").alias("rows_")))
+    text = text_of(documents)
+    rows = documents.withColumns({"id_": documents["doc_id"], "source_": documents["source"].cast("string"), "hash_": F.xxhash64(text)})
+    if taken.filter("rows_ > 1").take(1):
+        rows = rows.dropDuplicates(["id_", "source_", "hash_"])
+    same = (
+        rows["id_"].eqNullSafe(taken["doc_id"])
+        & rows["source_"].eqNullSafe(taken["source"])
+        & (rows["hash_"] == taken["text_hash"])
+    )
+    some = rows.join(taken.select("doc_id", "source", "text_hash", "whole_", "parts_"), same).select(
+        *[rows[c] for c in documents.columns], "whole_", "parts_"
+    )
+    copies = F.concat(F.array_repeat(F.lit(None).cast("long"), F.col("whole_")), F.col("parts_"))
+    some = some.withColumn("cut_", F.explode(copies))
+    worded = F.regexp_extract_all("text", F.lit(f"{BLANK[:-1]}*{WORD}"), F.lit(0))
+    cut = F.array_join(F.slice(worded, 1, F.col("cut_").cast("int")), "")
+    some = some.withColumn("text", F.when(F.col("cut_").isNull(), F.col("text")).otherwise(cut))
+    if "n_chars" in documents.columns:
+        kind = documents.schema["n_chars"].dataType
+        counted = F.when(F.col("cut_").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind)
+        some = some.withColumn("n_chars", counted)
+    return some.select(*documents.columns)
+
+
+def shares(
+    documents: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = 0
+) -> DataFrame:
     """How many words of each document the mix takes.
 
     A document's size is its number of words. Documents get a key from a hash of
@@ -53,12 +100,13 @@ def mix(documents: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int
     of the budget is cut off the sorted documents at that very word, so at most
     one document of a source is taken in part.
 
-    Returns `doc_id, source, size, source_size, target, epochs, extra, taken`:
+    Returns `doc_id, source, size, source_size, target, epochs, extra, taken,
+    text_hash`:
     `taken = epochs * size + extra`, with `extra` words from the document's start.
 
     Null text has size 0, a null source is a source of its own (the last), a null
     id is keyed like the text "null". Rows that repeat an id are documents of
-    their own; they share a key and are ordered by size. A document without
+    their own; they share a key and are ordered by size and a hash of the text. A document without
     words, or a source of them, is taken 0 times. An empty table gives no rows.
     """
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(documents["doc_id"].cast("string"), F.lit("null"))))
@@ -69,10 +117,11 @@ def mix(documents: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int
             F.when(source.isNull(), "t").otherwise(F.concat(F.lit("s"), source)).alias("src"),
             F.regexp_count(text_of(documents), F.lit(WORD)).cast("long").alias("size"),
             F.conv(F.substring(key, 1, 8), 16, 10).cast("long").alias("key"),
+            F.xxhash64(text_of(documents)).alias("text_hash"),
         )
     )
     sources = targets(sizes.groupBy("src").agg(F.sum("size").alias("source_size")), weights, max_epochs)
-    order = [F.col("src"), F.col("key"), F.col("doc_id"), F.col("size")]
+    order = [F.col("src"), F.col("key"), F.col("doc_id"), F.col("size"), F.col("text_hash")]
     placed = running_totals(sizes, order, before=F.col("size")).join(sources, "src")
     budget = F.floor(F.col("target") + 0.5)
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0)
@@ -89,6 +138,7 @@ def mix(documents: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int
             "epochs",
             "extra",
             (F.col("epochs") * F.col("size") + F.col("extra")).alias("taken"),
+            "text_hash",
         )
     )
 

@@ -8,7 +8,7 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import fold, ship, text_of
@@ -123,6 +123,23 @@ def fit(train: DataFrame) -> Model:
     return Model((weight[:, None] * directions).astype(np.float32), vectors, labels, rate)
 
 
+def quality_score(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Column:
+    """A column of `documents`: the score of the whole text, by voters learnt now. See `score_quality`."""
+    spark = documents.sparkSession
+    ship(spark)
+    model = fit(training_rows(documents, labels, "quality", FOLDS, HELD, fit_rows, SEED))
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        voters, scores = shared.value, [np.empty(0)]
+        for at in range(0, len(texts), BLOCK):
+            scores.append(voters.score(np.stack([terms(t) for t in texts.slice(at, BLOCK).to_pylist()])))
+        return pa.array(np.concatenate(scores), pa.float64())
+
+    return score(text_of(documents))
+
+
 def score_quality(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """Score every whole text; the voters are labelled documents outside fold 1 of 3.
 
@@ -138,25 +155,15 @@ def score_quality(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_R
     Null labels are left out; of several labels of one id the larger counts.
     Without labels every score is 0.5.
     """
-    ship(documents.sparkSession)
-    model = fit(training_rows(documents, labels, "quality", FOLDS, HELD, fit_rows, SEED))
-    shared = documents.sparkSession.sparkContext.broadcast(model)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voters = shared.value
-        for batch in batches:
-            texts, scores = batch.column(2), []
-            for at in range(0, len(texts), BLOCK):
-                rows = np.stack([terms(t) for t in texts.slice(at, BLOCK).to_pylist()])
-                scores.append(voters.score(rows))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.concatenate(scores) if scores else [], pa.float64())],
-                names=["doc_id", "held_out", "score"],
-            )
-
     held_out = F.coalesce(fold(documents["doc_id"], FOLDS) == HELD, F.lit(False))
-    rows = documents.select(
-        documents["doc_id"].cast("long").alias("doc_id"), held_out.alias("held_out"), text_of(documents).alias("text")
+    scored = documents.select(
+        documents["doc_id"].cast("long").alias("doc_id"),
+        held_out.alias("held_out"),
+        quality_score(documents, labels, fit_rows).alias("score"),
     )
-    scored = rows.mapInArrow(score, "doc_id long, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def good_documents(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """The documents, all columns, that are predicted to be of label 1."""
+    return documents.filter(quality_score(documents, labels, fit_rows) >= THRESHOLD)

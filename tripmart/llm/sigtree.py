@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import ship, stage, text_bytes, text_of
+from tripmart.llm.common import WORD, ship, stage, text_bytes, text_of
 from tripmart.llm.components import components
 from tripmart.llm.lm import MIX
 from tripmart.llm.packed import bucket_cuts, open_sorted, open_up, split_words, squeeze, squeeze_sorted, word_hashes
@@ -186,6 +186,30 @@ def candidates(maps: list[bytes], sizes: np.ndarray, classes: np.ndarray) -> tup
 
 
 def similar_groups(documents: DataFrame, cell: int = CELL, per_document: int = CANDIDATES) -> DataFrame:
+    """The group of every document: `doc_id, n_shingles, component_id`; see `grouped`."""
+    return grouped(documents, cell, per_document).select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each_group(documents: DataFrame) -> DataFrame:
+    """The documents, all columns, without those that have a smaller one in their group.
+
+    The one with the smallest id stays (null ids last, equal ids by a hash of
+    the text). Documents without words are in no group, and all stay.
+    """
+    text = text_of(documents)
+    key = documents.withColumns({"key_id_": documents["doc_id"].cast("long"), "key_text_": F.xxhash64(text)})
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    kept = grouped(documents).filter("root is not null").groupBy("root").agg(F.min(place).alias("kept"))
+    kept = stage(kept.select(F.col("kept.doc_id").alias("kept_id_"), F.col("kept.text_hash").alias("kept_text_")))
+    same = F.col("key_id_").eqNullSafe(F.col("kept_id_")) & (F.col("key_text_") == F.col("kept_text_"))
+    worded = F.coalesce(text.rlike(WORD), F.lit(False))
+    found = key.filter(worded).join(kept, same, "left_semi")
+    if documents.groupBy(documents["doc_id"].alias("id"), F.xxhash64(text).alias("h")).count().filter("count > 1").take(1):
+        found = found.dropDuplicates(["key_id_", "key_text_"])
+    return found.union(key.filter(~worded)).drop("key_id_", "key_text_")
+
+
+def grouped(documents: DataFrame, cell: int = CELL, per_document: int = CANDIDATES) -> DataFrame:
     """Group documents that are linked by equal or nearly equal sets of word shingles.
 
     A document's set has the distinct shingles of five words, A to Z in lower
@@ -207,7 +231,8 @@ def similar_groups(documents: DataFrame, cell: int = CELL, per_document: int = C
        candidates a list and round; rounds with more follow until none is left
        over.
 
-    Returns `doc_id, n_shingles, component_id`: the size of the set, and the
+    Returns `doc_id, text_hash, n_shingles, root, component_id`: the size of the
+    set, a name of the component, null for documents without words, and the
     smallest id that links lead to, the document itself included.
 
     Null and empty texts have size 0 and are linked with nothing. Rows with a
@@ -216,9 +241,13 @@ def similar_groups(documents: DataFrame, cell: int = CELL, per_document: int = C
     """
     spark = documents.sparkSession
     ship(spark)
-    rows = documents.select(documents["doc_id"].cast("long").alias("doc_id"), text_of(documents).alias("text"))
-    read = stage(rows.mapInArrow(_describe, "doc_id long, n long, set long, map binary, slice int, counts binary"))
-    described = read.filter("slice is null").select("doc_id", "n", "set", "map")
+    text = text_of(documents)
+    rows = documents.select(
+        documents["doc_id"].cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash")
+    )
+    kinds = "doc_id long, text_hash long, n long, set long, map binary, slice int, counts binary"
+    read = stage(rows.mapInArrow(_describe, kinds))
+    described = read.filter("slice is null").select("doc_id", "text_hash", "n", "set", "map")
     classes = described.filter("n > 0").groupBy("set")
     classes = stage(classes.agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("map").alias("map")))
     counters = _counters(read.filter("slice is not null").select("slice", "counts"))
@@ -241,9 +270,13 @@ def similar_groups(documents: DataFrame, cell: int = CELL, per_document: int = C
         "set", F.coalesce("root", "set").alias("root"), "first_id"
     )
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    ids = named.join(least, "root").select("set", "component_id")
+    ids = named.join(least, "root").select("set", "root", "component_id")
     return described.join(ids, "set", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id",
+        "text_hash",
+        F.col("n").alias("n_shingles"),
+        "root",
+        F.coalesce("component_id", "doc_id").alias("component_id"),
     )
 
 
@@ -251,21 +284,19 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each document's size, set and bitmap; then how many documents of the task have a shingle of each counter."""
     counts = np.zeros(COUNTERS, np.uint32)
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("n", pa.int64()), ("set", pa.int64()), ("map", pa.binary())]
+        [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("set", pa.int64()), ("map", pa.binary())]
         + [("slice", pa.int32()), ("counts", pa.binary())]
     )
     for batch in batches:
         sets = shingle_sets(batch.column(1))
-        for found in sets:
-            counts += np.bincount((found & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS).astype(
-                np.uint32
-            ) if len(found) > COUNTERS // 64 else 0
-            if len(found) <= COUNTERS // 64:
-                np.add.at(counts, (found & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
+        counts += np.bincount(
+            (np.concatenate([*sets, np.empty(0, np.uint64)]) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS
+        ).astype(np.uint32)
         n = len(sets)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
+                batch.column(2),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
                 pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary()),
@@ -276,7 +307,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
     for i, part in enumerate(np.split(counts, SLICES)):
         yield pa.RecordBatch.from_arrays(
-            [*(pa.nulls(1, schema.field(j).type) for j in range(4)), pa.array([i], pa.int32()), pa.array([squeeze(part)])],
+            [*(pa.nulls(1, schema.field(j).type) for j in range(5)), pa.array([i], pa.int32()), pa.array([squeeze(part)])],
             schema=schema,
         )
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import fold, ship, text_of
@@ -200,6 +200,20 @@ def _conjugate(product: Callable[[np.ndarray], np.ndarray], target: np.ndarray)
     return x
 
 
+def toxicity_score(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Column:
+    """A column of `documents`: the score of the whole text, by a model learnt now. See `score_toxicity`."""
+    spark = documents.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(fit(training_rows(documents, labels, "toxic", FOLDS, HELD, fit_rows, SEED)))
+
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        own = shared.value
+        return pa.array([own.score(t) for t in texts.to_pylist()], pa.float64())
+
+    return score(text_of(documents))
+
+
 def score_toxicity(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """Score every whole text; learn from labelled documents outside fold 2 of 4.
 
@@ -213,24 +227,15 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_
     left out; of several labels of one id the larger counts. An empty table of
     labels gives every text the score 0.5.
     """
-    ship(documents.sparkSession)
-    model = fit(training_rows(documents, labels, "toxic", FOLDS, HELD, fit_rows, SEED))
-    known = np.flatnonzero(model.weights)
-    values = model.weights[known].astype(np.float64)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = np.zeros(1 << BITS, np.float64)
-        weights[known] = values
-        own = Model(weights, model.intercept)
-        for batch in batches:
-            scores = [own.score(t) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "score"]
-            )
-
     held_out = F.coalesce(fold(documents["doc_id"], FOLDS) == HELD, F.lit(False))
-    rows = documents.select(
-        documents["doc_id"].cast("long").alias("doc_id"), held_out.alias("held_out"), text_of(documents).alias("text")
+    scored = documents.select(
+        documents["doc_id"].cast("long").alias("doc_id"),
+        held_out.alias("held_out"),
+        toxicity_score(documents, labels, fit_rows).alias("score"),
     )
-    scored = rows.mapInArrow(score, "doc_id long, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def harmless_documents(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """The documents, all columns, that are not predicted to be toxic."""
+    return documents.filter(toxicity_score(documents, labels, fit_rows) < THRESHOLD)
