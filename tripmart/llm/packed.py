@@ -20,21 +20,39 @@ from tripmart.llm.common import text_bytes, text_of
 
 #: Bytes of text of a chunk, about.
 CHUNK_BYTES = 4 << 20
-CODEC = "zstd"
+#: More would take much longer for little less.
+LEVEL = 3
+
+
+def shrunk(data: bytes) -> bytes:
+    return pa.Codec("zstd", compression_level=LEVEL).compress(data, asbytes=True)
+
+
+def grown(data: bytes, size: int) -> bytes:
+    return pa.decompress(data, size, codec="zstd", asbytes=True)
+
+
+def stream_of(batch: pa.RecordBatch) -> bytes:
+    """A batch as a compressed Arrow stream."""
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=LEVEL))
+    with pa.ipc.new_stream(sink, batch.schema, options=options) as stream:
+        stream.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
 
 def squeeze(values: np.ndarray) -> bytes:
     """Compressed bytes of an array of integers, by planes of bytes; `open_up` restores them."""
     values = np.ascontiguousarray(values)
     planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
-    return pa.compress(np.ascontiguousarray(planes).tobytes(), codec=CODEC, asbytes=True)
+    return shrunk(np.ascontiguousarray(planes).tobytes())
 
 
 def open_up(data: bytes, kind: str, n: int) -> np.ndarray:
     if not n:
         return np.empty(0, kind)
     width = np.dtype(kind).itemsize
-    planes = np.frombuffer(pa.decompress(data, n * width, codec=CODEC, asbytes=True), np.uint8)
+    planes = np.frombuffer(grown(data, n * width), np.uint8)
     return np.ascontiguousarray(planes.reshape(width, n).T).view(kind).ravel()
 
 
@@ -93,18 +111,14 @@ def packed(rows: DataFrame) -> DataFrame:
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        options = pa.ipc.IpcWriteOptions(compression=CODEC)
         for batch in batches:
             chunk = batch.column(batch.schema.get_field_index("chunk")).to_numpy()
             order = np.argsort(chunk, kind="stable")
             values, starts = np.unique(chunk[order], return_index=True)
             for value, own in zip(values.tolist(), np.split(order, starts[1:]), strict=True):
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, batch.schema, options=options) as stream:
-                    stream.write_batch(batch.take(pa.array(own)))
+                stream = stream_of(batch.take(pa.array(own)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([value], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
-                    names=["chunk", "batch"],
+                    [pa.array([value], pa.int64()), pa.array([stream], pa.binary())], names=["chunk", "batch"]
                 )
 
     return rows.mapInArrow(pack, "chunk long, batch binary")

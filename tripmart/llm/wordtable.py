@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from tripmart.llm.common import ship
 from tripmart.llm.packed import (
-    CODEC,
     bucket_cuts,
     chunked,
+    grown,
     one_array,
     open_up,
     packed,
+    shrunk,
     sizes_for,
     split_words,
     squeeze,
@@ -97,14 +98,14 @@ def encode_and_decode(documents: DataFrame, vocabulary: str = VOCABULARY) -> Dat
                 "chunk": pa.array([chunk] * len(full), pa.int64()),
                 "bucket": pa.array(full, pa.int32()),
                 "size": pa.array([len(x) for x in lists], pa.int64()),
-                "words": pa.array([pa.compress(x, codec=CODEC, asbytes=True) for x in lists], pa.binary()),
+                "words": pa.array([shrunk(x) for x in lists], pa.binary()),
             }
         )
 
     def answer(group: pa.Table) -> pa.Table:
         own, places, asked = _tokenizer(vocabulary), {}, []
         for size, words in zip(group.column("size").to_pylist(), group.column("words").to_pylist(), strict=True):
-            listed = pa.decompress(words, size, codec=CODEC, asbytes=True).decode().split("\n")
+            listed = grown(words, size).decode().split("\n")
             asked.append(np.fromiter((places.setdefault(w, len(places)) for w in listed), np.int64, len(listed)))
         distinct, found = list(places), []
         for at in range(0, len(distinct), CALL):
