@@ -1,16 +1,21 @@
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 import pytest
 from conftest import SF_SMALL, rows
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from tripmart.operators import duplicate_rows, verify_tables
-from tripmart.plans import load, run
-from tripmart.schema import STAR_TABLES
+from tripmart.plans import load, open_star, reports, run
+from tripmart.plans.pipeline import prepare_times
+from tripmart.schema import STAR_TABLES, TRIP_TYPES
 from tripmart.sinks import (
     append_missing,
+    check_layout,
     path_exists,
     read_saved,
     save_table,
@@ -175,17 +180,192 @@ def test_missing_month_stops_the_run(spark, landing, tmp_path):
         run(spark, landing, f"{landing}/zones", 2021, 7, str(tmp_path / "mart"))
 
 
-def test_zoned_times_set_the_session_zone(spark, trips, landing, tmp_path):
-    zoned = trips.limit(50).withColumns(
+def test_hours_of_zoned_times_are_the_same_in_every_session(spark, trips, landing, tmp_path):
+    zoned = trips.limit(500).withColumns(
         {c: F.col(c).cast("timestamp") for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime")}
     )
     zoned.write.parquet(f"{landing}/yellow_tripdata_2021-10.parquet")
-    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-    try:
-        run(spark, landing, f"{landing}/zones", 2021, 10, str(tmp_path / "mart"))
-        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    expected = None
+    for loaded_in, read_in in (("UTC", "UTC"), ("UTC", "America/New_York"), ("Asia/Tokyo", "UTC")):
+        spark.conf.set("spark.sql.session.timeZone", loaded_in)
+        try:
+            base = str(tmp_path / f"{loaded_in}-{read_in}".replace("/", "-"))
+            run(spark, landing, f"{landing}/zones", 2021, 10, base)
+            assert spark.conf.get("spark.sql.session.timeZone") == loaded_in
+            spark.conf.set("spark.sql.session.timeZone", read_in)
+            tables = open_star(spark, base_path=base)
+            assert tables["fact_trips"].schema["tpep_pickup_datetime"].dataType == TimestampNTZType()
+            direct, joined = rows(reports.busiest_hours(tables)), rows(reports.busiest_hours_by_join(tables))
+            expected = expected or direct
+            assert direct == joined == expected
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_durations_of_zoned_times_across_a_clock_change(spark, tmp_path):
+    raw = zoned_trip(spark, "2021-11-07 05:30:00", "2021-11-07 06:30:00")  # clocks go back at 06:00 UTC
+    zones = sample_zones(spark, SF_SMALL)
+    fact = load(spark, raw, zones, str(tmp_path), time_zone="America/New_York").tables["fact_trips"]
+    found = fact.select("tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_duration_minutes").first()
+    assert [str(x) for x in found] == ["2021-11-07 01:30:00", "2021-11-07 01:30:00", "60.0"]
+
+
+def zoned_trip(spark, pickup, dropoff):
+    values = {c: f"CAST(1 AS {kind})" for c, kind in TRIP_TYPES.items()}
+    values["tpep_pickup_datetime"] = f"TIMESTAMP '{pickup}Z'"
+    values["tpep_dropoff_datetime"] = f"TIMESTAMP '{dropoff}Z'"
+    return spark.sql("SELECT " + ", ".join(f"{v} AS {c}" for c, v in values.items()))
+
+
+# No load may lose saved data
+
+
+def saved_rows(spark, base):
+    return {name: read_saved(spark, f"{base}/{name}").count() for name in ("fact_trips", "dim_time")}
+
+
+@pytest.fixture
+def months(spark, landing, tmp_path):
+    """A mart of two months, and its row counts."""
+    base = str(tmp_path / "mart")
+    for month in (8, 9):
+        run(spark, landing, f"{landing}/zones", 2021, month, base, schema="mart_kept", by_month=True)
+    return base, saved_rows(spark, base)
+
+
+def test_a_plain_load_does_not_replace_months(spark, landing, months):
+    base, before = months
+    with pytest.raises(ValueError, match="holds partitions"):
+        run(spark, landing, f"{landing}/zones", 2021, 8, base)
+    assert saved_rows(spark, base) == before
+
+
+def failing(spark, trips):
+    """Trips whose last one cannot be computed."""
+    bad = F.when(F.col("total_amount") > 0, F.raise_error("broken").cast("double")).otherwise(F.col("fare_amount"))
+    return trips.withColumn("fare_amount", bad)
+
+
+def test_a_load_that_fails_midway_keeps_the_old_rows(spark, trips, months, tmp_path):
+    base, before = months
+    zones = sample_zones(spark, SF_SMALL)
+    with pytest.raises(Exception, match="broken"):
+        load(spark, failing(spark, trips), zones, base, load_month=(2021, 8))
+    assert saved_rows(spark, base) == before
+    plain = str(tmp_path / "plain")
+    load(spark, trips, zones, plain)
+    before = saved_rows(spark, plain)
+    with pytest.raises(Exception, match="broken"):
+        load(spark, failing(spark, trips), zones, plain)
+    with pytest.raises(Exception, match="broken"):
+        save_table(failing(spark, trips), "fact_trips", plain)
+    assert saved_rows(spark, plain) == before
+    assert not [f.name for f in Path(plain).iterdir() if f.name.startswith("_new-dim")]
+
+
+def test_lookups_are_checked_before_the_fact_is_replaced(spark, trips, tmp_path):
+    base, zones = str(tmp_path / "mart"), sample_zones(spark, SF_SMALL)
+    load(spark, trips, zones, base)
+    before = saved_rows(spark, base)
+    with pytest.raises(ValueError, match="would change"):
+        load(spark, trips.limit(90), zones.withColumn("more", F.lit(1)), base)
+    assert saved_rows(spark, base) == before
+
+
+def test_a_load_without_a_needed_column_starts_no_job(spark, trips, tmp_path):
+    zones = sample_zones(spark, SF_SMALL)
+    spark.sparkContext.setJobGroup("refused", "refused")
+    with pytest.raises(AnalysisException):
+        load(spark, trips.drop("tip_amount"), zones, str(tmp_path))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("refused")
+    spark.sparkContext.setJobGroup("tests", "tests")
+
+
+def test_a_swap_that_was_cut_off_is_undone(spark, trips, months):
+    base, before = months
+    month = Path(base) / "fact_trips/trip_year=2021/trip_month=8"
+    month.rename(month.with_name(".old-trip_month=8"))
+    assert saved_rows(spark, base)["fact_trips"] < before["fact_trips"]
+    check_layout(spark, "fact_trips", base, partitioned=True)
+    assert saved_rows(spark, base) == before
+
+
+def test_months_of_other_types_are_refused(spark, trips, months):
+    base, before = months
+    with pytest.raises(ValueError, match="would change"):
+        load(spark, trips.withColumn("VendorID", F.col("VendorID").cast("int")), sample_zones(spark, SF_SMALL), base,
+             load_month=(2021, 10))
+    assert saved_rows(spark, base) == before
+
+
+# The time dimension by month of pickup
+
+
+def test_times_follow_the_fact(spark, trips, tmp_path):
+    base, zones = str(tmp_path / "mart"), sample_zones(spark, SF_SMALL)
+
+    def agree():
+        fact = read_saved(spark, f"{base}/fact_trips").select("tpep_pickup_datetime").distinct()
+        times = read_saved(spark, f"{base}/dim_time")
+        assert rows(times.select("tpep_pickup_datetime")) == rows(fact)
+
+    late = trips.filter("tpep_pickup_datetime >= TIMESTAMP_NTZ '1997-01-01'")
+    load(spark, trips, zones, base, "mart_times", load_month=(2021, 8))
+    load(spark, late.limit(700), zones, base, "mart_times", load_month=(2021, 9))  # times that the other month has
+    agree()
+    load(spark, trips.limit(50), zones, base, "mart_times", load_month=(2021, 8))  # a smaller month
+    agree()
+    load(spark, trips.limit(0), zones, base, "mart_times", load_month=(2021, 9))
+    agree()
+    assert spark.table("mart_times.dim_time").count() == read_saved(spark, f"{base}/dim_time").count()
+
+
+def test_only_the_months_that_change_are_read(spark, trips, tmp_path):
+    base, zones = str(tmp_path / "mart"), sample_zones(spark, SF_SMALL)
+    load(spark, trips, zones, base, load_month=(2021, 8))
+    one = trips.filter("date_trunc('month', tpep_pickup_datetime) = '1995-03-01'")
+    fact = load(spark, one, zones, str(tmp_path / "one")).tables["fact_trips"]
+    prepared = prepare_times(fact, {"trip_year": 2021, "trip_month": 9}, base)
+    plan = prepared.rows._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*pickup_year[^]]*1995[^]]*pickup_month", plan)
+    assert prepared.added == [{"pickup_year": 1995, "pickup_month": 3}]
+
+
+# Catalog entries
+
+
+def test_a_catalog_entry_outlives_a_load(spark, landing, tmp_path, caplog):
+    base, options = str(tmp_path / "mart"), {"schema": "mart_entry", "by_month": True}
+    run(spark, landing, f"{landing}/zones", 2021, 8, base, **options)
+    spark.sql("ALTER TABLE mart_entry.fact_trips SET TBLPROPERTIES ('note' = 'kept')")
+    spark.sql("COMMENT ON TABLE mart_entry.dim_payment_type IS 'codes'")
+    run(spark, landing, f"{landing}/zones", 2021, 9, base, **options)
+    assert "kept" in str(spark.sql("SHOW TBLPROPERTIES mart_entry.fact_trips").collect())
+    assert spark.catalog.getTable("mart_entry.dim_payment_type").description == "codes"
+    assert rows(spark.table("mart_entry.fact_trips").select("trip_month").distinct()) == [(8,), (9,)]
+
+
+def test_no_scan_for_partitions(spark, landing, tmp_path, monkeypatch):
+    said = []
+    plain = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: said.append(text) or plain(self, text, *a, **k))
+    run(spark, landing, f"{landing}/zones", 2021, 8, str(tmp_path), schema="mart_said", by_month=True)
+    run(spark, landing, f"{landing}/zones", 2021, 9, str(tmp_path), schema="mart_said", by_month=True)
+    assert any("ADD IF NOT EXISTS" in text for text in said)
+    assert not any("MSCK" in text.upper() for text in said)
+
+
+# Reports without a load
+
+
+def test_open_star(spark, landing, tmp_path):
+    base = str(tmp_path / "mart")
+    loaded = run(spark, landing, f"{landing}/zones", 2021, 8, base, schema="mart_open")
+    expected = {name: rows(report) for name, report in loaded.reports.items()}
+    for tables in (open_star(spark, schema="mart_open"), open_star(spark, base_path=base)):
+        assert {name: rows(report) for name, report in reports.all_reports(tables).items()} == expected
+    with pytest.raises(ValueError, match="schema or a base path"):
+        open_star(spark)
 
 
 # Sinks

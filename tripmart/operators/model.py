@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from tripmart import functions as T
 from tripmart.operators.enrich import enrich_trips
 from tripmart.operators.quality import abs_amounts, dedup_rows, drop_null_rows
+from tripmart.schema import FACT_COLUMNS
 
 
 def dim_time(trips: DataFrame) -> DataFrame:
@@ -28,23 +30,25 @@ def dim_time(trips: DataFrame) -> DataFrame:
 
 def fact_trips(enriched: DataFrame) -> DataFrame:
     """The trip fact. `trip_id` is unique but new on every evaluation: write it once."""
-    return enriched.select(
-        F.monotonically_increasing_id().alias("trip_id"),
-        "VendorID",
-        "tpep_pickup_datetime",
-        "tpep_dropoff_datetime",
-        "PULocationID",
-        "DOLocationID",
-        "passenger_count",
-        "payment_type",
-        F.col("RatecodeID").alias("RateCodeID"),
-        "trip_distance",
-        "fare_amount",
-        "tip_amount",
-        "total_amount",
-        "trip_duration_minutes",
-        "price_per_mile",
-    )
+    trips = enriched.withColumnRenamed("RatecodeID", "RateCodeID")
+    return trips.withColumn("trip_id", F.monotonically_increasing_id()).select(*FACT_COLUMNS)
+
+
+def zoneless(trips: DataFrame, time_zone: str) -> DataFrame:
+    """Zoned times become the local time of `time_zone`, whatever the session's zone is; others stay.
+
+    Hours and dates of the result are the same in every session. Durations are
+    to be taken before: local times jump when clocks change.
+    """
+    start = F.lit("1970-01-01").cast("timestamp_ntz")
+
+    def local(name: str) -> Column:
+        seconds = (F.unix_micros(name).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+        utc = start + F.make_dt_interval(secs=seconds)
+        return utc if time_zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(time_zone), utc)
+
+    zoned = [f.name for f in trips.schema.fields if isinstance(f.dataType, TimestampType)]
+    return trips.withColumns({name: local(name) for name in zoned}) if zoned else trips
 
 
 def clean_trips(raw: DataFrame) -> DataFrame:

@@ -24,9 +24,9 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def table_sample(df: DataFrame, limit: int = 5) -> DataFrame:
-    """Some rows of a table, whichever come first."""
-    return df.limit(limit)
+def table_sample(df: DataFrame, limit: int = 5, order_by: Sequence[str] = ()) -> DataFrame:
+    """Some rows of a table: the first by `order_by`, without it whichever come first."""
+    return (df.orderBy(*order_by) if order_by else df).limit(limit)
 
 
 @dataclass(frozen=True)

@@ -6,10 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
 
 from tripmart.operators.enrich import enrich_trips
-from tripmart.operators.model import dim_time, fact_trips, normalise
+from tripmart.operators.model import dim_time, fact_trips, normalise, zoneless
 from tripmart.operators.quality import (
     OCCURRENCES,
     count_columns,
@@ -18,13 +17,26 @@ from tripmart.operators.quality import (
     row_groups,
 )
 from tripmart.plans.reports import all_reports
-from tripmart.schema import CURRENCY_COLUMNS, REQUIRED_COLUMNS, RETENTION_WARNING_PCT
+from tripmart.schema import (
+    CURRENCY_COLUMNS,
+    REQUIRED_COLUMNS,
+    RETENTION_WARNING_PCT,
+    STAR_TABLES,
+    quoted,
+)
 from tripmart.sinks import (
-    append_missing,
-    replace_partition,
-    save_table,
-    save_tables,
+    Prepared,
+    check_columns,
+    check_layout,
+    discard,
+    partition_filter,
+    prepare_partition,
+    prepare_partitions,
+    prepare_table,
+    put_in_place,
+    read_saved,
     staging_folder,
+    table_path,
     write_and_read,
 )
 from tripmart.sources import (
@@ -37,6 +49,10 @@ from tripmart.sources import (
 
 DUPLICATES_TABLE = "duplicate_trips"
 
+# Partition columns of the by-month mart: of fact and duplicates, and of the time dimension.
+LOAD_MONTH = ("trip_year", "trip_month")
+PICKUP_MONTH = ("pickup_year", "pickup_month")
+
 
 @dataclass(frozen=True)
 class LoadQuality:
@@ -82,17 +98,16 @@ def run(
 
     A load replaces the tables of the one before. With `by_month` the fact and
     the duplicates are partitioned by load month and only that month is
-    replaced, the time dimension gains the times it lacks, and (trip_year,
-    trip_month, trip_id) identifies a trip.
+    replaced, the time dimension is partitioned by month of pickup and keeps
+    exactly the fact's times, and (trip_year, trip_month, trip_id) identifies a
+    trip. A plain load refuses to replace months, and the other way round.
 
-    Zoned pickup times give hours and dates in the session's zone; the session
-    is then set to `time_zone` (None leaves it). Times without zone need none.
+    Zoned times become local times of `time_zone` (None: the session's zone), so
+    that hours and dates are the same in every later session.
     """
     raw = read_trips(spark, source, year, month, pattern)
-    if time_zone and isinstance(raw.schema["tpep_pickup_datetime"].dataType, TimestampType):
-        spark.conf.set("spark.sql.session.timeZone", time_zone)
     load_month = (int(year), int(month)) if by_month else None
-    return load(spark, raw, read_zones(spark, zones_path), base_path, schema, fmt, load_month)
+    return load(spark, raw, read_zones(spark, zones_path), base_path, schema, fmt, load_month, time_zone)
 
 
 def load(
@@ -103,44 +118,128 @@ def load(
     schema: str | None = None,
     fmt: str = "parquet",
     load_month: tuple[int, int] | None = None,
+    time_zone: str | None = "UTC",
 ) -> PipelineResult:
     """`run` for raw trips and zones that are already DataFrames.
 
-    The raw trips are read and shuffled once: distinct rows with their counts
-    go to a staging table, and the quality figures, the duplicates and the fact
-    are column-pruned scans of it. The time dimension comes from the saved fact.
+    Columns, types and layout are checked before the first row is written. The
+    raw trips are read and shuffled once: distinct rows with their counts go to
+    a staging table, and the quality figures, the duplicates and the fact are
+    column-pruned scans of it. The time dimension comes from the written fact.
+    All tables are complete beside their places before the first one is put
+    there. Loads into one base path must not overlap.
     """
-    with staging_folder(spark) as staging:
-        groups = write_and_read(row_groups(raw), f"{staging}/trip_groups")
-        quality = _quality(groups)
-        repeated = repeat_rows(groups.filter(F.col(OCCURRENCES) > 1))
-        fact = fact_trips(enrich_trips(normalise(groups.drop(OCCURRENCES))))
-        trips = {DUPLICATES_TABLE: repeated, "fact_trips": fact}
-        if load_month is None:
-            tables = save_tables(trips, base_path, schema, fmt)
-            times = dim_time(tables["fact_trips"])
-            tables["dim_time"] = save_table(times, "dim_time", base_path, schema, fmt)
-        else:
-            year, month = load_month
-            partition = {"trip_year": year, "trip_month": month}
-            tables = {
-                name: replace_partition(df, partition, name, base_path, schema, fmt)
-                for name, df in trips.items()
-            }
-            loaded = tables["fact_trips"].filter(f"trip_year = {year} AND trip_month = {month}")
-            tables["dim_time"] = append_missing(
-                dim_time(loaded), "tpep_pickup_datetime", "dim_time", base_path, schema, fmt
-            )
-
+    time_zone = time_zone or spark.conf.get("spark.sql.session.timeZone")
+    partition = dict(zip(LOAD_MONTH, load_month, strict=True)) if load_month else None
     lookups = {
         "dim_payment_type": dim_payment_type(spark),
         "dim_rate_code": dim_rate_code(spark),
         "dim_taxi_zone": zones,
     }
-    tables |= save_tables(lookups, base_path, schema, fmt, schema_change=False)
+    _check(raw, lookups, base_path, fmt, partition, time_zone)
+
+    prepared: list[Prepared] = []
+    try:
+        with staging_folder(spark) as staging:
+            groups = write_and_read(row_groups(raw), f"{staging}/trip_groups")
+            quality = _quality(groups)
+            repeated = zoneless(repeat_rows(groups.filter(F.col(OCCURRENCES) > 1)), time_zone)
+            for name, df in {
+                DUPLICATES_TABLE: repeated,
+                "fact_trips": _fact(groups.drop(OCCURRENCES), time_zone),
+            }.items():
+                if partition is None:
+                    prepared.append(prepare_table(df, name, base_path, fmt))
+                else:
+                    prepared.append(prepare_partition(df, partition, name, base_path, fmt))
+        fact = prepared[-1].read()
+        if partition is None:
+            prepared.append(prepare_table(dim_time(fact), "dim_time", base_path, fmt))
+        else:
+            prepared.append(prepare_times(fact, partition, base_path, fmt))
+        prepared += [prepare_table(df, name, base_path, fmt) for name, df in lookups.items()]
+        tables = {p.name: put_in_place(p, schema) for p in prepared}
+    finally:
+        for left in prepared:
+            discard(left)
     return PipelineResult(tables, quality)
 
 
+def open_star(
+    spark: SparkSession, schema: str | None = None, base_path: str | None = None, fmt: str = "parquet"
+) -> dict[str, DataFrame]:
+    """The saved star schema by table name, from a catalog schema or from its folder, for reports without a load."""
+    if (schema is None) == (base_path is None):
+        raise ValueError("give a schema or a base path")
+    if schema is not None:
+        return {name: spark.table(f"{quoted(schema)}.{quoted(name)}") for name in STAR_TABLES}
+    return {name: spark.read.format(fmt).load(table_path(base_path, name)) for name in STAR_TABLES}
+
+
+def _fact(distinct_trips: DataFrame, time_zone: str) -> DataFrame:
+    return zoneless(fact_trips(enrich_trips(normalise(distinct_trips))), time_zone)
+
+
+def _check(
+    raw: DataFrame,
+    lookups: dict[str, DataFrame],
+    base_path: str,
+    fmt: str,
+    partition: dict[str, int] | None,
+    time_zone: str,
+) -> None:
+    """Everything that can be refused without reading trips."""
+    spark = raw.sparkSession
+    columns = {"fact_trips": _fact(raw, time_zone), DUPLICATES_TABLE: zoneless(raw, time_zone)}
+    for name in (*columns, "dim_time"):
+        check_layout(spark, name, base_path, fmt, partitioned=partition is not None)
+    for name, df in lookups.items():
+        check_layout(spark, name, base_path, fmt)
+        check_columns(df, name, base_path, fmt)
+    if partition is not None:
+        for name, df in columns.items():
+            labelled = df.withColumns({c: F.lit(value) for c, value in partition.items()})
+            check_columns(labelled, name, base_path, fmt)
+
+
+def prepare_times(fact: DataFrame, partition: dict[str, int], base_path: str, fmt: str = "parquet") -> Prepared:
+    """The months of the time dimension that a load month changes.
+
+    `fact` has the new trips of the load month. Times that only the month's old
+    trips had go, unless another load month has them too: those are looked for
+    in the range of these times only. Of the saved dimension just the months of
+    pickup are read in which something comes or goes.
+    """
+    spark, time = fact.sparkSession, F.col("tpep_pickup_datetime")
+    new = dim_time(fact).withColumns({"pickup_year": F.year(time), "pickup_month": F.month(time)})
+    saved_fact = read_saved(spark, table_path(base_path, "fact_trips"), fmt)
+    saved = read_saved(spark, table_path(base_path, "dim_time"), fmt)
+    gone = None
+    if saved_fact is not None:
+        this_load = partition_filter([partition])
+        old = saved_fact.filter(this_load).select(time).distinct()
+        gone = _without(old, new)
+        span = gone.agg(F.min(time).alias("low"), F.max(time).alias("high"), F.count("*").alias("n")).first()
+        others = saved_fact.filter(f"NOT ({this_load})").select(time)
+        near = time.between(F.lit(span["low"]), F.lit(span["high"])) if span["low"] is not None else F.lit(False)
+        gone = _without(gone, others.filter(near | time.isNull())) if span["n"] else None
+    months = new.select(*PICKUP_MONTH)
+    if gone is not None:
+        months = months.union(gone.select(F.year(time), F.month(time)))
+    replaced = [r.asDict() for r in months.distinct().collect()]
+    times = new
+    if saved is not None:
+        kept = saved.filter(partition_filter(replaced)).select(new.columns)
+        times = new.union(_without(_without(kept, gone) if gone is not None else kept, new))
+    return prepare_partitions(times, PICKUP_MONTH, replaced, "dim_time", base_path, fmt)
+
+
+def _without(times: DataFrame, others: DataFrame) -> DataFrame:
+    """Rows of `times` whose pickup time `others` does not have."""
+    known = others.select(F.col("tpep_pickup_datetime").alias("__known"))
+    return times.join(known, times["tpep_pickup_datetime"].eqNullSafe(known["__known"]), "left_anti")
+
+
 def _quality(groups: DataFrame) -> LoadQuality:
     """All figures of a load in one aggregation over the distinct rows."""
     complete = has_required(groups)

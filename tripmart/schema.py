@@ -30,6 +30,48 @@ TRIP_COLUMNS = [
     "airport_fee",
 ]
 
+# Types of the raw trip columns. Times may be with or without zone.
+TRIP_TYPES = {
+    "VendorID": "bigint",
+    "tpep_pickup_datetime": "timestamp_ntz",
+    "tpep_dropoff_datetime": "timestamp_ntz",
+    "passenger_count": "double",
+    "trip_distance": "double",
+    "RatecodeID": "double",
+    "store_and_fwd_flag": "string",
+    "PULocationID": "bigint",
+    "DOLocationID": "bigint",
+    "payment_type": "bigint",
+    "fare_amount": "double",
+    "extra": "double",
+    "mta_tax": "double",
+    "tip_amount": "double",
+    "tolls_amount": "double",
+    "improvement_surcharge": "double",
+    "total_amount": "double",
+    "congestion_surcharge": "double",
+    "airport_fee": "double",
+}
+
+# Columns of the trip fact, in order.
+FACT_COLUMNS = [
+    "trip_id",
+    "VendorID",
+    "tpep_pickup_datetime",
+    "tpep_dropoff_datetime",
+    "PULocationID",
+    "DOLocationID",
+    "passenger_count",
+    "payment_type",
+    "RateCodeID",
+    "trip_distance",
+    "fare_amount",
+    "tip_amount",
+    "total_amount",
+    "trip_duration_minutes",
+    "price_per_mile",
+]
+
 # Columns that must be present in a usable trip.
 REQUIRED_COLUMNS = ["trip_distance", "total_amount"]
 
@@ -75,10 +117,10 @@ RATE_CODES = [
     (99, "Unknown"),
 ]
 
-# A load that keeps less than this share of its rows deserves a look.
+# Fixed value: a load that keeps less than this share of its rows deserves a look.
 RETENTION_WARNING_PCT = 85.0
 
-# Tables of the star schema.
+# Tables of the star schema.
 STAR_TABLES = [
     "dim_time",
     "dim_taxi_zone",

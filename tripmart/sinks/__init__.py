@@ -1,8 +1,17 @@
 from tripmart.sinks.files import delete_at_exit, delete_path, path_exists
 from tripmart.sinks.staging import new_folder, shared_folder, staging_folder, write_and_read
 from tripmart.sinks.tables import (
+    Prepared,
     append_missing,
+    check_columns,
+    check_layout,
     create_schema,
+    discard,
+    partition_filter,
+    prepare_partition,
+    prepare_partitions,
+    prepare_table,
+    put_in_place,
     read_saved,
     register_table,
     replace_partition,
@@ -13,12 +22,21 @@ from tripmart.sinks.tables import (
 )
 
 __all__ = [
+    "Prepared",
     "append_missing",
+    "check_columns",
+    "check_layout",
     "create_schema",
     "delete_at_exit",
     "delete_path",
+    "discard",
     "new_folder",
+    "partition_filter",
     "path_exists",
+    "prepare_partition",
+    "prepare_partitions",
+    "prepare_table",
+    "put_in_place",
     "read_saved",
     "register_table",
     "replace_partition",

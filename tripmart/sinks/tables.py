@@ -1,18 +1,37 @@
-"""Writing tables and registering them in the catalog."""
+"""Writing tables and registering them in the catalog.
+
+A table is first written whole to a folder beside its place, under a name that
+readers ignore. When everything of a load is complete, the folders are moved to
+their places, and what was there is deleted last. Two loads into one base path
+must not overlap.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.schema import quoted
-from tripmart.sinks.files import holds_files, path_exists
-
-# Formats that keep their own columns and partitions beside the data.
+from tripmart.sinks.files import (
+    delete_path,
+    folders_at,
+    holds_files,
+    path_exists,
+    recover,
+    recover_below,
+    swap_in,
+)
+
+# Formats that keep their own columns, versions and partitions beside the data.
 SELF_DESCRIBING = ("delta", "iceberg")
 
+# Fixed value: how Hive layouts write a null partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 
 def table_path(base_path: str, name: str) -> str:
     """The one place where table `name` lies under `base_path`."""
@@ -24,6 +43,129 @@ def read_saved(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path) if path_exists(spark, path) else None
 
 
+@dataclass(frozen=True)
+class Prepared:
+    """A table, or partitions of it, complete beside the place it will take."""
+
+    rows: DataFrame
+    name: str
+    path: str
+    fmt: str
+    moves: list[tuple[str, str]] = field(default_factory=list)
+    partition_by: tuple[str, ...] = ()
+    added: list[dict[str, object]] = field(default_factory=list)
+    removed: list[dict[str, object]] = field(default_factory=list)
+
+    def read(self) -> DataFrame:
+        """The prepared rows as written; rows of self-describing formats are written only by `put_in_place`."""
+        if not self.moves:
+            return self.rows
+        columns = [f for f in self.rows.schema.fields if f.name not in self.partition_by]
+        reader = self.rows.sparkSession.read.format(self.fmt)
+        return reader.schema(type(self.rows.schema)(columns)).load([new for new, _ in self.moves])
+
+
+def check_layout(
+    spark: SparkSession, name: str, base_path: str, fmt: str = "parquet", partitioned: bool = False
+) -> None:
+    """Refuse a plain table where partitions lie, and partitions where a plain table lies.
+
+    A swap that was cut off is undone first.
+    """
+    path = table_path(base_path, name)
+    recover(spark, path)
+    recover_below(spark, path)
+    if partitioned and fmt not in SELF_DESCRIBING and holds_files(spark, path, "part-*"):
+        raise ValueError(f"{path} holds a table without partitions; choose another folder")
+    if not partitioned and any("=" in folder for folder in folders_at(spark, path, 1)):
+        raise ValueError(f"{path} holds partitions, which a plain load would delete; choose another folder")
+
+
+def check_columns(df: DataFrame, name: str, base_path: str, fmt: str = "parquet") -> None:
+    """Refuse to replace a saved table, or a part of it, by one of other columns or types."""
+    path = table_path(base_path, name)
+    old = read_saved(df.sparkSession, path, fmt)
+
+    def columns(df: DataFrame) -> list[tuple[str, str]]:
+        return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+
+    if old is not None and columns(old) != columns(df):
+        raise ValueError(f"columns of {path} would change: {columns(old)} to {columns(df)}")
+
+
+def prepare_table(df: DataFrame, name: str, base_path: str, fmt: str = "parquet") -> Prepared:
+    """Write a whole table beside its place."""
+    path = table_path(base_path, name)
+    if fmt in SELF_DESCRIBING:
+        return Prepared(df, name, path, fmt)
+    new = _beside(base_path, name)
+    df.write.format(fmt).save(new)
+    return Prepared(df, name, path, fmt, [(new, path)])
+
+
+def prepare_partition(
+    df: DataFrame, partition: Mapping[str, int], name: str, base_path: str, fmt: str = "parquet"
+) -> Prepared:
+    """Write one partition of a table beside its place, even if `df` is empty.
+
+    Its values are constants, so the write needs no shuffle or sort.
+    """
+    path = table_path(base_path, name)
+    labelled = df.withColumns({c: F.lit(value) for c, value in partition.items()})
+    by, added = tuple(partition), [dict(partition)]
+    if fmt in SELF_DESCRIBING:
+        return Prepared(labelled, name, path, fmt, [], by, added)
+    new = _beside(base_path, name)
+    df.write.format(fmt).save(new)
+    return Prepared(labelled, name, path, fmt, [(new, f"{path}/{_folder(partition)}")], by, added)
+
+
+def prepare_partitions(
+    df: DataFrame,
+    partition_by: Sequence[str],
+    replaced: Iterable[Mapping[str, int | None]],
+    name: str,
+    base_path: str,
+    fmt: str = "parquet",
+) -> Prepared:
+    """Write the partitions in `replaced` beside their places; those without rows will be removed."""
+    path, replaced = table_path(base_path, name), [dict(p) for p in replaced]
+    by = tuple(partition_by)
+    if fmt in SELF_DESCRIBING:
+        return Prepared(df, name, path, fmt, [], by, replaced)
+    new = _beside(base_path, name)
+    df.write.format(fmt).partitionBy(*by).save(new)
+    written = set(folders_at(df.sparkSession, new, len(by)))
+    added = [p for p in replaced if _folder(p) in written]
+    removed = [p for p in replaced if _folder(p) not in written]
+    moves = [(f"{new}/{_folder(p)}", f"{path}/{_folder(p)}") for p in added]
+    return Prepared(df, name, path, fmt, moves, by, added, removed)
+
+
+def put_in_place(prepared: Prepared, schema: str | None = None) -> DataFrame:
+    """Move what was prepared to its place, and return the whole table as read back."""
+    spark, fmt = prepared.rows.sparkSession, prepared.fmt
+    if fmt in SELF_DESCRIBING:
+        writer = prepared.rows.write.format(fmt).mode("overwrite")
+        if prepared.partition_by:
+            chosen = " OR ".join(f"({_condition(p)})" for p in prepared.added)
+            writer = writer.option("replaceWhere", chosen).partitionBy(*prepared.partition_by)
+        else:
+            writer = writer.option("overwriteSchema", "true")
+        writer.save(prepared.path)
+    for new, target in prepared.moves:
+        swap_in(spark, new, target)
+    for partition in prepared.removed:
+        delete_path(spark, f"{prepared.path}/{_folder(partition)}")
+    return publish(prepared, schema)
+
+
+def discard(prepared: Prepared) -> None:
+    """Delete what was prepared and will not be put in place."""
+    for new, _ in prepared.moves:
+        delete_path(prepared.rows.sparkSession, new)
+
+
 def save_tables(
     tables: Mapping[str, DataFrame],
     base_path: str,
@@ -35,11 +177,14 @@ def save_tables(
 
     A temp view is made per table and, given a `schema`, an external catalog
     table. `schema_change=False` refuses to replace a table of other columns.
+    All tables are complete before the first one takes its place.
     """
-    return {
-        name: save_table(df, name, base_path, schema, fmt, schema_change)
-        for name, df in tables.items()
-    }
+    for name, df in tables.items():
+        check_layout(df.sparkSession, name, base_path, fmt)
+        if not schema_change:
+            check_columns(df, name, base_path, fmt)
+    prepared = [prepare_table(df, name, base_path, fmt) for name, df in tables.items()]
+    return {p.name: put_in_place(p, schema) for p in prepared}
 
 
 def save_table(
@@ -49,17 +194,9 @@ def save_table(
     schema: str | None = None,
     fmt: str = "parquet",
     schema_change: bool = True,
-    append: bool = False,
 ) -> DataFrame:
-    """`save_tables` for one table; `append` adds to what is there instead."""
-    path = table_path(base_path, name)
-    if not schema_change:
-        _refuse_other_columns(df, read_saved(df.sparkSession, path, fmt), path)
-    writer = df.write.format(fmt).mode("append" if append else "overwrite")
-    if schema_change and not append:
-        writer = writer.option("overwriteSchema", "true")
-    writer.save(path)
-    return publish(df, name, path, schema, fmt)
+    """`save_tables` for one table."""
+    return save_tables({name: df}, base_path, schema, fmt, schema_change)[name]
 
 
 def replace_partition(
@@ -70,41 +207,57 @@ def replace_partition(
     schema: str | None = None,
     fmt: str = "parquet",
 ) -> DataFrame:
-    """Replace one partition of a table and return the whole table.
-
-    The partition is replaced even if `df` is empty, which a dynamic overwrite
-    would not do. Its values are constants, so the write needs no shuffle or sort.
-    """
-    spark, path = df.sparkSession, table_path(base_path, name)
-    if fmt not in SELF_DESCRIBING and holds_files(spark, path, "part-*"):
-        raise ValueError(f"{path} holds a table without partitions; choose another folder")
+    """Replace one partition of a table and return the whole table; columns and types must stay."""
+    check_layout(df.sparkSession, name, base_path, fmt, partitioned=True)
     labelled = df.withColumns({c: F.lit(value) for c, value in partition.items()})
-    if fmt in SELF_DESCRIBING:
-        condition = " AND ".join(f"{quoted(c)} = {value}" for c, value in partition.items())
-        writer = labelled.write.format(fmt).mode("overwrite").option("replaceWhere", condition)
-        writer.partitionBy(*partition).save(path)
-    else:
-        folder = "/".join(f"{c}={value}" for c, value in partition.items())
-        df.write.format(fmt).mode("overwrite").save(f"{path}/{folder}")
-    return publish(labelled, name, path, schema, fmt, list(partition))
+    check_columns(labelled, name, base_path, fmt)
+    return put_in_place(prepare_partition(df, partition, name, base_path, fmt), schema)
 
 
-def publish(
-    written: DataFrame,
+def append_missing(
+    df: DataFrame,
+    key: str,
     name: str,
-    path: str,
+    base_path: str,
     schema: str | None = None,
     fmt: str = "parquet",
-    partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Read back what was written to `path`, as temp view and catalog table too.
+    """Add to a saved plain table the rows whose key it lacks, so the key stays unique.
+
+    `df` must be unique on `key` itself and have the table's columns. Running it
+    twice adds nothing. The whole table is compared: for a table that grows with
+    every load, replace the partitions that a load touches instead.
+    """
+    path = table_path(base_path, name)
+    check_layout(df.sparkSession, name, base_path, fmt)
+    saved = read_saved(df.sparkSession, path, fmt)
+    if saved is not None:
+        check_columns(df, name, base_path, fmt)
+        known = saved.select(F.col(quoted(key)).alias("__known"))
+        # Null-safe equality is still a hash or merge join, and finds a null key again.
+        df = df.join(known, df[quoted(key)].eqNullSafe(known["__known"]), "left_anti")
+    df.write.format(fmt).mode("append").save(path)
+    return publish(Prepared(df, name, path, fmt), schema)
+
+
+def publish(prepared: Prepared, schema: str | None = None) -> DataFrame:
+    """Read back what is in place, as temp view and catalog table too.
 
     The columns are known, so plain files need no job that infers them.
     """
-    saved = read_written(written, path, fmt)
-    saved.createOrReplaceTempView(name)
+    saved = read_written(prepared.rows, prepared.path, prepared.fmt)
+    saved.createOrReplaceTempView(prepared.name)
     if schema is not None:
-        register_table(saved, schema, name, path, fmt, partition_by)
+        register_table(
+            saved,
+            schema,
+            prepared.name,
+            prepared.path,
+            prepared.fmt,
+            prepared.partition_by,
+            prepared.added,
+            prepared.removed,
+        )
     return saved
 
 
@@ -114,14 +267,6 @@ def read_written(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     return (reader if fmt in SELF_DESCRIBING else reader.schema(df.schema)).load(path)
 
 
-def _refuse_other_columns(new: DataFrame, old: DataFrame | None, path: str) -> None:
-    def columns(df: DataFrame) -> list[tuple[str, str]]:
-        return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-
-    if old is not None and columns(old) != columns(new):
-        raise ValueError(f"columns of {path} would change: {columns(old)} to {columns(new)}")
-
-
 def create_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
     where = f" LOCATION '{_literal(location)}'" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(schema)}{where}")
@@ -139,50 +284,93 @@ def register_table(
     path: str,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    added: Iterable[Mapping[str, object]] = (),
+    removed: Iterable[Mapping[str, object]] = (),
 ) -> None:
     """Point `schema.name` at the files of `saved` in `path`.
 
-    An external table of that name is registered anew, so the catalog never
-    keeps an old location or old columns. A managed table owns its files and is
+    An external table of that name stays, with its comment, grants and
+    statistics, while columns, format and partitioning are the same: its
+    location is altered if need be, and partitions are added and dropped one by
+    one. Otherwise it is registered anew. A managed table owns its files and is
     left alone.
     """
     spark = saved.sparkSession
     create_schema(spark, schema)
-    table = f"{quoted(schema)}.{quoted(name)}"
-    if spark.catalog.tableExists(table):
-        if spark.catalog.getTable(table).tableType == "MANAGED":
-            raise ValueError(f"{table} is a managed table; choose another schema or drop it")
+    table, where = f"{quoted(schema)}.{quoted(name)}", f"LOCATION '{_literal(path)}'"
+    known = _registered(spark, table)
+    plain = fmt not in SELF_DESCRIBING
+    wanted = [(f.name, f.dataType.simpleString()) for f in saved.schema.fields]
+    same = known and known["columns"] == wanted and known["provider"] == fmt
+    same = same and known["partition_by"] == list(partition_by) and (not partition_by or known["at"](path))
+    if known and not same:
         spark.sql(f"DROP TABLE {table}")
+    if same and not known["at"](path):
+        spark.sql(f"ALTER TABLE {table} SET {where}")
+    if not same:
+        columns = f"({saved.schema.toDDL()})" if plain else ""
+        by = ", ".join(map(quoted, partition_by))
+        partitions = f"PARTITIONED BY ({by})" if plain and partition_by else ""
+        spark.sql(f"CREATE TABLE {table} {columns} USING {fmt} {partitions} {where}")
+        if partitions:  # the folders that are there, without a scan of what is in them
+            added = [_values(f) for f in folders_at(spark, path, len(partition_by))]
+    if plain and partition_by:
+        for partition in removed:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(partition)})")
+        if listed := " ".join(f"PARTITION ({_spec(p)})" for p in added):
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {listed}")
+    spark.catalog.refreshTable(table)
+
+
+def _registered(spark: SparkSession, table: str) -> dict | None:
+    """Columns, format, partitioning and place of an external catalog table."""
+    if not spark.catalog.tableExists(table):
+        return None
+    if spark.catalog.getTable(table).tableType == "MANAGED":
+        raise ValueError(f"{table} is a managed table; choose another schema or drop it")
+    # Columns come first, then sections that begin with a line of their own.
+    parts: dict[str, list[tuple[str, str]]] = {"": []}
+    section = ""
+    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
+        if row["col_name"].startswith("# ") and row["col_name"] != "# col_name":
+            section = row["col_name"]
+            parts[section] = []
+        elif row["col_name"] and row["col_name"] != "# col_name":
+            parts[section].append((row["col_name"], row["data_type"]))
+    facts = dict(parts["# Detailed Table Information"])
+    place = spark._jvm.org.apache.hadoop.fs.Path(facts["Location"]).toUri().getPath()
+    return {
+        "columns": parts[""],
+        "partition_by": [name for name, _ in parts.get("# Partition Information", [])],
+        "provider": facts["Provider"].lower(),
+        "at": lambda path: spark._jvm.org.apache.hadoop.fs.Path(path).toUri().getPath() == place,
+    }
 
-    columns = partitions = ""
-    if fmt not in SELF_DESCRIBING:
-        columns = f"({saved.schema.toDDL()})"
-        if partition_by:
-            partitions = f"PARTITIONED BY ({', '.join(map(quoted, partition_by))})"
-    where = f"LOCATION '{_literal(path)}'"
-    spark.sql(f"CREATE TABLE {table} {columns} USING {fmt} {partitions} {where}")
-    if partitions:
-        spark.sql(f"MSCK REPAIR TABLE {table}")
 
+def _beside(base_path: str, name: str) -> str:
+    return f"{base_path.rstrip('/')}/_new-{name}-{uuid.uuid4().hex}"
 
-def append_missing(
-    df: DataFrame,
-    key: str,
-    name: str,
-    base_path: str,
-    schema: str | None = None,
-    fmt: str = "parquet",
-) -> DataFrame:
-    """Add to the saved table the rows whose key it lacks, so the key stays unique.
 
-    `df` must be unique on `key` itself. Running it twice adds nothing.
-    """
-    saved = read_saved(df.sparkSession, table_path(base_path, name), fmt)
-    if saved is not None:
-        known = saved.select(F.col(quoted(key)).alias("__known"))
-        # Null-safe equality is still a hash or merge join, and finds a null key again.
-        df = df.join(known, df[quoted(key)].eqNullSafe(known["__known"]), "left_anti")
-    return save_table(df, name, base_path, schema, fmt, append=True)
+def _folder(partition: Mapping[str, object]) -> str:
+    return "/".join(f"{c}={NULL_PARTITION if v is None else v}" for c, v in partition.items())
+
+
+def _values(folder: str) -> dict[str, object]:
+    pairs = (part.split("=", 1) for part in folder.split("/"))
+    return {c: None if v == NULL_PARTITION else v for c, v in pairs}
+
+
+def _spec(partition: Mapping[str, object]) -> str:
+    return ", ".join(f"{quoted(c)} = {'null' if v is None else v}" for c, v in partition.items())
+
+
+def _condition(partition: Mapping[str, object]) -> str:
+    return " AND ".join(f"{quoted(c)} <=> {'null' if v is None else v}" for c, v in partition.items())
+
+
+def partition_filter(partitions: Iterable[Mapping[str, object]]) -> str:
+    """A condition on partition columns alone, so that only these partitions are read."""
+    return " OR ".join(f"({_condition(p)})" for p in partitions) or "false"
 
 
 def _literal(text: str) -> str:

@@ -3,6 +3,7 @@ from tripmart.sources.trips import (
     MONTH_FILE,
     MONTH_FOLDER,
     canonical_names,
+    canonical_types,
     month_path,
     read_trips,
 )
@@ -11,6 +12,7 @@ __all__ = [
     "MONTH_FILE",
     "MONTH_FOLDER",
     "canonical_names",
+    "canonical_types",
     "dim_payment_type",
     "dim_rate_code",
     "dim_taxi_zone",

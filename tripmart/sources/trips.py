@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
-from tripmart.schema import TRIP_COLUMNS
+from tripmart.schema import TRIP_COLUMNS, TRIP_TYPES, quoted
 
 # Fixed value: naming pattern of the published monthly files.
 MONTH_FILE = "yellow_tripdata_{year:04d}-{month:02d}.parquet"
@@ -32,6 +34,27 @@ def canonical_names(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(renames) if renames else df
 
 
+def canonical_types(df: DataFrame) -> DataFrame:
+    """Give the known trip columns one type, as it drifts between months.
+
+    Nulls stay; a value that the type cannot hold raises instead of becoming
+    null. Zoned times stay zoned, unknown columns stay as they are.
+    """
+    columns = {}
+    for field in df.schema.fields:
+        kind, wanted = field.dataType.simpleString(), TRIP_TYPES.get(field.name)
+        if wanted is None or kind == wanted or (wanted == "timestamp_ntz" and kind == "timestamp"):
+            continue
+        value = F.col(quoted(field.name))
+        cast = value.try_cast(wanted)
+        fits = cast.isNotNull()
+        if isinstance(field.dataType, NumericType) and wanted in ("bigint", "double"):
+            fits = fits & cast.try_cast(kind).eqNullSafe(value)
+        message = F.concat(F.lit(f"{field.name} does not fit {wanted}: "), value.cast("string"))
+        columns[field.name] = F.when(value.isNull() | fits, cast).otherwise(F.raise_error(message).cast(wanted))
+    return df.withColumns(columns) if columns else df
+
+
 def read_trips(
     spark: SparkSession,
     root: str,
@@ -39,13 +62,14 @@ def read_trips(
     month: int | str,
     pattern: str = MONTH_FILE,
 ) -> DataFrame:
-    """The raw trips of one month, with the schema of the file.
+    """The raw trips of one month, known columns in their canonical types.
 
-    Only that month's path is listed and scanned. A missing month raises.
+    Only that month's path is listed and scanned. A missing month raises, and so
+    does, when it is read, a value that does not fit its column's type.
     """
     path = month_path(root, year, month, pattern)
     try:
-        return canonical_names(spark.read.parquet(path))
+        return canonical_types(canonical_names(spark.read.parquet(path)))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
