@@ -19,12 +19,21 @@ BLANK = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def stage(df: DataFrame) -> DataFrame:
+#: Narrow rows of one file, at least.
+FILE_ROWS = 500_000
+
+
+def stage(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Write `df` to a new table in the shared folder and go on from its files.
 
     Readers see the same rows however often a task is repeated. The table is
     deleted when Python ends, as the result may still be read until then.
+
+    Given that there are about `rows` narrow rows, they go to few files. What
+    `df` does after its last exchange is then done by as few tasks.
     """
+    if rows is not None:
+        df = df.coalesce(4 + rows // FILE_ROWS)
     spark = df.sparkSession
     folder = new_folder(spark)
     delete_at_exit(spark, folder)
@@ -84,20 +93,21 @@ def text_bytes(documents: DataFrame) -> int:
     return total["n"] or 0
 
 
-def running_totals(df: DataFrame, order: Sequence[Column], **values: Column) -> DataFrame:
+def running_totals(df: DataFrame, order: Sequence[Column], about: int | None = None, **values: Column) -> DataFrame:
     """`df` sorted by `order`, with the totals of each value over all rows before a row.
 
     The rows are range-sorted and staged; totals per sorted part, one row each,
     give what lies before a part, and a window inside the part gives the rest.
     No part depends on a key's rows being together, so a hot key is spread over
     as many parts as its share asks for. Integer totals do not depend on where
-    the parts begin. Ties in `order` come in any order, and must not matter.
+    the parts begin. `about` is how many rows there are, as for `stage`. Ties in `order` come in any order, and must not matter.
     """
     mid = F.monotonically_increasing_id()
     rows = stage(
         df.withColumns({f"{name}_": value.cast("long") for name, value in values.items()})
         .orderBy(*order)
-        .withColumns({"part_": F.shiftright(mid, 33), "row_": mid})
+        .withColumns({"part_": F.shiftright(mid, 33), "row_": mid}),
+        about,
     )
     parts = rows.groupBy("part_").agg(*[F.sum(f"{name}_").alias(f"{name}_all_") for name in values])
     before = Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)  # a row for each part

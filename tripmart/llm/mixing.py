@@ -121,8 +121,9 @@ def shares(
         )
     )
     sources = targets(sizes.groupBy("src").agg(F.sum("size").alias("source_size")), weights, max_epochs)
+    n = sizes.count()
     order = [F.col("src"), F.col("key"), F.col("doc_id"), F.col("size"), F.col("text_hash")]
-    placed = running_totals(sizes, order, before=F.col("size")).join(sources, "src")
+    placed = running_totals(sizes, order, n, before=F.col("size")).join(sources, "src")
     budget = F.floor(F.col("target") + 0.5)
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0)
     rest = F.col("budget") - F.col("epochs") * F.col("source_size") - (F.col("before") - F.col("base"))

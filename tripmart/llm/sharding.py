@@ -59,7 +59,7 @@ def shard_documents(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
         )
     )
     bundle = F.pmod(F.xxhash64("group"), F.lit(BUNDLES)).cast("string")
-    groups = stage(rows.groupBy("group").agg(F.sum("size").alias("size")))
+    groups = stage(rows.groupBy("group").agg(F.sum("size").alias("size")), rows.count())
     total = groups.agg(F.sum("size")).first()[0] or 0
     least = total / (shards * LARGE)
     large = [tuple(r) for r in groups.filter(F.col("size") >= least).select("group", "size").collect()]
@@ -76,7 +76,7 @@ def shard_documents(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
         .select("doc_id", "size", "text_crc32", "shard")
     )
     order = [F.col("shard"), F.xxhash64("doc_id"), F.col("doc_id"), F.col("text_crc32"), F.col("size")]
-    numbered = running_totals(found, order, place=F.lit(1))
+    numbered = running_totals(found, order, rows.count(), place=F.lit(1))
     counts = {r["shard"]: r["n"] for r in numbered.groupBy("shard").agg(F.count("*").alias("n")).collect()}
     starts = [sum(counts.get(j, 0) for j in range(i)) for i in range(shards)]
     first = F.element_at(F.array(*[F.lit(x).cast(LongType()) for x in starts]), F.col("shard") + 1)

@@ -25,8 +25,12 @@ CELL = 1 << 15
 FLUSH = 1 << 20
 #: Documents of a leaf of the tree, and children of a node.
 LEAF, FANOUT = 16, 8
-#: Candidates for each document of a list in the first round; each later round takes eight times as many.
-CANDIDATES, MORE = 16, 8
+#: Candidates for each document of a list in the first round; each later round takes sixteen times as many.
+CANDIDATES, MORE = 64, 16
+#: Bits of a bitmap for each shingle, at least: of all documents', and of those in trees, whose levels use a quarter.
+NARROW, WIDE, QUARTER = 2, 16, 4
+#: Narrow rows that take as much room in a file as a set or a bitmap.
+WIDE_ROWS = 25
 #: Up to so many ids are broadcast to pick the documents whose sets are needed; more are joined.
 BROADCAST_IDS = 1 << 21
 
@@ -65,9 +69,9 @@ def set_id(found: np.ndarray) -> int:
     return int(mixed(np.array([total]))[0].astype(np.int64))
 
 
-def bitmap(found: np.ndarray) -> bytes:
-    """A bit for each hash, in a map of at least two bits for each of them, a power of two."""
-    width = max(64, 1 << (2 * len(found) - 1).bit_length())
+def bitmap(found: np.ndarray, share: int) -> bytes:
+    """A bit for each hash, in a map of at least `share` bits for each of them, a power of two."""
+    width = max(64 * QUARTER, 1 << (share * len(found) - 1).bit_length())
     bits = np.zeros(width, np.uint8)
     bits[(found & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -85,7 +89,7 @@ class Tree:
     """A hierarchy over documents: a node has its documents' bitmaps or-ed together and the range of their sizes."""
 
     def __init__(self, maps: np.ndarray, sizes: np.ndarray, classes: np.ndarray) -> None:
-        slack = sizes - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
+        slack = sizes - _bits(maps)
         self.levels = [(maps, sizes, sizes, slack, classes)]
         width = LEAF
         while len(self.levels[-1][0]) > 1:
@@ -130,11 +134,7 @@ def dual_traversal(a: Tree, b: Tree) -> tuple[np.ndarray, np.ndarray]:
     height = max(len(a.levels), len(b.levels)) - 1
     left, right = np.zeros(1, np.int64), np.zeros(1, np.int64)
     while True:
-        kept = []
-        for at in range(0, len(left), 1 << 14):
-            kept.append(_may_meet(a.level(height), b.level(height), left[at : at + (1 << 14)], right[at : at + (1 << 14)]))
-        kept = np.concatenate(kept) if kept else np.empty(0, bool)
-        left, right = left[kept], right[kept]
+        left, right = _kept(a.level(height), b.level(height), left, right)
         if height == 0:
             if a is b:
                 different = left < right
@@ -153,7 +153,7 @@ def dual_traversal(a: Tree, b: Tree) -> tuple[np.ndarray, np.ndarray]:
 def _may_meet(a: tuple, b: tuple, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     maps_a, low_a, high_a, slack_a, class_a = (x[left] for x in a)
     maps_b, low_b, high_b, slack_b, class_b = (x[right] for x in b)
-    common = np.bitwise_count(maps_a & maps_b).sum(axis=1, dtype=np.int64) + np.minimum(slack_a, slack_b)
+    common = _bits(maps_a & maps_b) + np.minimum(slack_a, slack_b)
     common = np.minimum(common, np.minimum(high_a, high_b))
     enough = (100 + SIMILARITY) * common >= SIMILARITY * (low_a + low_b)
     sizes = (100 * high_a >= SIMILARITY * low_b) & (100 * high_b >= SIMILARITY * low_a)
@@ -165,26 +165,47 @@ def candidates(maps: list[bytes], sizes: np.ndarray, classes: np.ndarray) -> tup
 
     Documents are put into trees by the width of their bitmaps. Similar ones
     differ by a quarter in size, so by one width at most; the wider is folded.
+    Trees have bitmaps folded to a quarter; pairs that they leave are held
+    against each other by whole bitmaps.
     """
     widths = np.array([len(m) for m in maps]) // 8
     _, named = np.unique(classes, return_inverse=True)
-    trees, found = {}, []
+    layers, found = {}, []
     for width in np.unique(widths).tolist():
         own = np.flatnonzero(widths == width)
         own = own[np.lexsort((sizes[own], named[own]))]
         wide = np.frombuffer(b"".join(maps[i] for i in own), np.uint64).reshape(len(own), width)
-        trees[width] = own, wide
-        tree = Tree(wide, sizes[own], named[own])
-        found.append(tuple(own[x] for x in dual_traversal(tree, tree)))
-        if width // 2 in trees:
-            less, narrow = trees[width // 2]
-            pairs = dual_traversal(
-                Tree(narrow, sizes[less], named[less]), Tree(folded(wide, width // 2), sizes[own], named[own])
-            )
-            found.append((less[pairs[0]], own[pairs[1]]))
+        layers[width] = own, wide
+        for other in (width, width // 2):
+            if other in layers:
+                less, theirs = layers[other]
+                pairs = _pairs(theirs, sizes[less], named[less], folded(wide, other), sizes[own], named[own], other == width)
+                found.append((less[pairs[0]], own[pairs[1]]))
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
+def _pairs(maps_a, sizes_a, classes_a, maps_b, sizes_b, classes_b, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places in either of two lists of documents with bitmaps of one width."""
+    less = max(1, maps_a.shape[1] // QUARTER)
+    a = Tree(folded(maps_a, less), sizes_a, classes_a)
+    b = a if same else Tree(folded(maps_b, less), sizes_b, classes_b)
+    left, right = dual_traversal(a, b)
+    leaf = lambda maps, sizes, classes: (maps, sizes, sizes, sizes - _bits(maps), classes)
+    return _kept(leaf(maps_a, sizes_a, classes_a), leaf(maps_b, sizes_b, classes_b), left, right)
+
+
+def _bits(maps: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
+
+
+def _kept(a: tuple, b: tuple, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of nodes that may meet, looked at some at a time."""
+    some = max(1, (1 << 21) // max(1, a[0].shape[1]))
+    kept = [_may_meet(a, b, left[at : at + some], right[at : at + some]) for at in range(0, len(left), some)]
+    kept = np.concatenate(kept) if kept else np.empty(0, bool)
+    return left[kept], right[kept]
+
+
 def similar_groups(documents: DataFrame, cell: int = CELL, per_document: int = CANDIDATES) -> DataFrame:
     """The group of every document: `doc_id, n_shingles, component_id`; see `grouped`."""
     return grouped(documents, cell, per_document).select("doc_id", "n_shingles", "component_id")
@@ -223,8 +244,9 @@ def grouped(documents: DataFrame, cell: int = CELL, per_document: int = CANDIDAT
        shingles, in any common order. Rarity comes from a table of counters of
        fixed size. Classes meet in one inverted list for each of these shingles;
        a list that may be longer than `cell` is dealt into pairs of cells.
-    3. Every class of a list is compared with the list's first: bitmaps and
-       sizes first, then whole sets. Links are contracted to components.
+    3. Every class of a list is compared with the one that is in most lists, the
+       likely origin of copies: bitmaps and sizes first, then whole sets. Links
+       are contracted to components.
     4. Lists that still have several components get a signature tree, whose dual
        traversal leaves the pairs of different components that may be similar;
        these are compared by whole sets. A class brings at most `per_document`
@@ -250,22 +272,23 @@ def grouped(documents: DataFrame, cell: int = CELL, per_document: int = CANDIDAT
     described = read.filter("slice is null").select("doc_id", "text_hash", "n", "set", "map")
     classes = described.filter("n > 0").groupBy("set")
     classes = stage(classes.agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("map").alias("map")))
+    n = classes.count()
     counters = _counters(read.filter("slice is not null").select("slice", "counts"))
     shared = spark.sparkContext.broadcast(counters)
     buckets = max(1, -(-text_bytes(documents) // BUCKET_BYTES))
     lists = stage(_lists(rows, shared, buckets, cell))
-    pairs = stage(lists.select("list", F.explode("members").alias("a"), F.col("members")[0].alias("b")).filter("a <> b")
-                  .select("a", "b").distinct())
-    links = _verified(rows, classes, pairs)
+    links = _verified(rows, classes, _star_pairs(lists), n)
     rest = lists.filter(F.size("members") > 2)
     while True:
-        roots = components(links)
-        pairs, left_over = _tree_pairs(rest, classes, roots, per_document)
-        links = stage(links.union(_verified(rows, classes, pairs)))
+        roots = components(links, n)
+        pairs, left_over = _tree_pairs(rows, rest, classes, roots, per_document, n)
+        found = _verified(rows, classes, pairs, n)
+        if found.take(1):
+            links = links.union(found)
+            roots = components(links, n)
         if not left_over:
             break
         per_document *= MORE
-    roots = components(links)
     named = classes.join(roots, classes["set"] == roots["node"], "left").select(
         "set", F.coalesce("root", "set").alias("root"), "first_id"
     )
@@ -299,7 +322,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column(2),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
-                pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary()),
+                pa.array([bitmap(s, NARROW) if len(s) else None for s in sets], pa.binary()),
                 pa.nulls(n, pa.int32()),
                 pa.nulls(n, pa.binary()),
             ],
@@ -337,7 +360,7 @@ def prefix(found: np.ndarray, counters: np.ndarray) -> np.ndarray:
 
 
 def _lists(rows: DataFrame, shared, buckets: int, cell: int) -> DataFrame:
-    """`list, members`: the classes that share a shingle of their prefixes, each different list once, members sorted."""
+    """`list, members, times`: the classes that share a shingle of their prefixes, and how many shingles have this list."""
 
     def flush(tokens: list[np.ndarray], sets: list[int]) -> Iterator[pa.RecordBatch]:
         keys = np.concatenate(tokens)
@@ -390,16 +413,24 @@ def _lists(rows: DataFrame, shared, buckets: int, cell: int) -> DataFrame:
         with np.errstate(over="ignore"):
             names = np.add.reduceat(mixed(sets.view(np.uint64) + MIX[0]), starts) * MIX[1] + n.astype(np.uint64)
         several = np.flatnonzero(n > 1)
-        _, first = np.unique(names[several], return_index=True)
+        _, first, times = np.unique(names[several], return_index=True, return_counts=True)
         kept = several[first]
         at = np.repeat(starts[kept] - (np.cumsum(n[kept]) - n[kept]), n[kept]) + np.arange(n[kept].sum())
         bounds = np.concatenate([[0], np.cumsum(n[kept])])
         members = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(sets[at], pa.int64()))
-        return pa.table({"list": pa.array(names[kept].view(np.int64)), "members": members})
+        return pa.table({"list": pa.array(names[kept].view(np.int64)), "members": members, "times": pa.array(times)})
 
     sent = rows.select("text").mapInArrow(send, "bucket long, n long, keys binary, sets binary")
-    met = sent.groupBy("bucket").applyInArrow(meet, "list long, members array<long>")
-    return met.dropDuplicates(["list"])
+    met = sent.groupBy("bucket").applyInArrow(meet, "list long, members array<long>, times long")
+    return met.groupBy("list").agg(F.first("members").alias("members"), F.sum("times").alias("times"))
+
+
+def _star_pairs(lists: DataFrame) -> DataFrame:
+    """Each class (`a`) of a list with the one that shares most shingles with others (`b`)."""
+    members = lists.select("list", "times", F.explode("members").alias("a"))
+    shared = members.groupBy("a").agg(F.sum("times").alias("weight"))
+    first = members.join(shared, "a").groupBy("list").agg(F.max(F.struct("weight", "a")).alias("first"))
+    return members.join(first, "list").select("a", F.col("first.a").alias("b")).filter("a <> b").distinct()
 
 
 def _dealt(keys: np.ndarray, sets: np.ndarray, counters: np.ndarray, cell: int) -> tuple[np.ndarray, np.ndarray]:
@@ -419,7 +450,7 @@ def _dealt(keys: np.ndarray, sets: np.ndarray, counters: np.ndarray, cell: int)
     return np.concatenate([keys[cool], cells]), np.concatenate([sets[cool], sets[hot][at]])
 
 
-def _verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+def _verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame, about: int) -> DataFrame:
     """The pairs (`a, b`) of linked classes: first by bitmaps and sizes, then by whole sets."""
 
     def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -441,12 +472,13 @@ def _verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFram
     known = classes.select("set", "n", "map")
     fitting = pairs.join(side(known, "a"), "a").join(side(known, "b"), "b")
     fitting = fitting.filter((100 * F.col("n_a") >= SIMILARITY * F.col("n_b")) & (100 * F.col("n_b") >= SIMILARITY * F.col("n_a")))
-    left = stage(fitting.select("a", "b", "n_a", "map_a", "n_b", "map_b").mapInArrow(possible, "a long, b long"))
+    left = fitting.select("a", "b", "n_a", "map_a", "n_b", "map_b").mapInArrow(possible, "a long, b long")
+    left = stage(left.distinct(), about)
     if not left.take(1):
         return left
     needed = left.select(F.col("a").alias("set")).union(left.select(F.col("b").alias("set"))).distinct()
-    needed = stage(needed.join(classes, "set").select("set", "first_id"))
-    sets = stage(_sets(rows, needed))
+    needed = stage(needed.join(classes, "set").select("set", "first_id"), about)
+    sets = _sets(rows, needed, "found")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -459,13 +491,15 @@ def _verified(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFram
             )
 
     whole = left.join(side(sets, "a"), "a").join(side(sets, "b"), "b")
-    return stage(whole.select("a", "b", "n_a", "found_a", "n_b", "found_b").mapInArrow(linked, "a long, b long"))
+    links = whole.select("a", "b", "n_a", "found_a", "n_b", "found_b").mapInArrow(linked, "a long, b long")
+    return stage(links.distinct(), about)
 
 
-def _sets(rows: DataFrame, needed: DataFrame) -> DataFrame:
-    """`set, n, found` of the needed classes: their whole sets, made again from one document of each."""
+def _sets(rows: DataFrame, needed: DataFrame, what: str) -> DataFrame:
+    """`set, n` of the needed classes with the whole set (`found`) or a wide bitmap (`map`), made again from a document."""
     ids = needed.select(F.col("first_id").alias("doc_id")).distinct()
-    if ids.count() <= BROADCAST_IDS:
+    n = ids.count()
+    if n <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     some = rows.join(ids, rows["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
 
@@ -476,17 +510,17 @@ def _sets(rows: DataFrame, needed: DataFrame) -> DataFrame:
                 [
                     pa.array([set_id(s) for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([squeeze_sorted(s) for s in sets], pa.binary()),
+                    pa.array([squeeze_sorted(s) if what == "found" else bitmap(s, WIDE) for s in sets], pa.binary()),
                 ],
-                names=["set", "n", "found"],
+                names=["set", "n", what],
             )
 
-    made = some.select("text").mapInArrow(make, "set long, n long, found binary")
-    return made.join(needed.select("set"), "set", "left_semi").dropDuplicates(["set"])
+    made = some.select("text").mapInArrow(make, f"set long, n long, {what} binary")
+    return stage(made.join(needed.select("set"), "set", "left_semi").dropDuplicates(["set"]), WIDE_ROWS * n)
 
 
 def _tree_pairs(
-    lists: DataFrame, classes: DataFrame, roots: DataFrame, per_document: int
+    rows: DataFrame, lists: DataFrame, classes: DataFrame, roots: DataFrame, per_document: int, about: int
 ) -> tuple[DataFrame, bool]:
     """Candidates of the lists with several components, and whether some were left over."""
     members = lists.select("list", F.explode("members").alias("set"))
@@ -494,8 +528,10 @@ def _tree_pairs(
         "list", "set", F.coalesce("root", "set").alias("root")
     )
     several = rooted.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    open_lists = rooted.join(several.select("list"), "list").join(classes.select("set", "n", "map"), "set")
-    dealt = open_lists.select("list", "set", "root", "n", "map").repartition("list").sortWithinPartitions("list", "set")
+    open_lists = stage(rooted.join(several.select("list"), "list"), about)
+    needed = stage(open_lists.select("set").distinct().join(classes, "set").select("set", "first_id"), about)
+    maps = _sets(rows, needed, "map")
+    dealt = open_lists.join(maps, "set").select("list", "set", "root", "n", "map").repartition("list").sortWithinPartitions("list", "set")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -509,9 +545,9 @@ def _tree_pairs(
         if held is not None and len(held):
             yield from _search(held, per_document)
 
-    found = stage(dealt.mapInArrow(search, "a long, b long, more boolean"))
-    left_over = bool(found.filter("more").take(1))
-    return found.select("a", "b").distinct(), left_over
+    found = dealt.mapInArrow(search, "a long, b long, more boolean")
+    found = stage(found.groupBy("a", "b").agg(F.max("more").alias("more")), about)
+    return found.select("a", "b"), bool(found.filter("more").take(1))
 
 
 def _search(table: pa.Table, per_document: int) -> Iterator[pa.RecordBatch]:
@@ -523,8 +559,6 @@ def _search(table: pa.Table, per_document: int) -> Iterator[pa.RecordBatch]:
     maps = table.column("map").to_pylist()
     for start, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
         left, right = candidates(maps[start:end], sizes[start:end], roots[start:end])
-        tried = np.minimum(left, right) > 0  # pairs with the list's first have been compared
-        left, right = left[tried], right[tried]
         if not len(left):
             continue
         order = np.lexsort((right, left))

@@ -102,7 +102,8 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     key = ["id_", "null_", "hash_"]
     ids = base.groupBy(*key).agg(F.first(F.length("text_")).cast("long").alias("n_"), F.count("*").alias("copies_"))
     order = [F.col("null_"), F.col("id_").desc(), F.col("hash_")]
-    placed = stage(running_totals(ids, order, place_=F.lit(1)))
+    n = base.count()
+    placed = stage(running_totals(ids, order, n, place_=F.lit(1)), n)
     seen = placed.agg(F.count("*").alias("n"), F.max("copies_").alias("copies")).first()
     after = F.when(F.col("place_") == seen["n"] - 1, 0).otherwise(F.col("place_") + 1)
     reader = placed.select(
