@@ -27,6 +27,8 @@ FLUSH = 1 << 20
 LEAF, FANOUT = 16, 8
 #: Candidates for each document of a list in the first round; each later round takes sixteen times as many.
 CANDIDATES, MORE = 64, 16
+#: Rows of the lists with one centre that may be looked at together.
+TOGETHER = 1 << 20
 #: Bits of a bitmap for each shingle, at least: of all documents', and of those in trees, whose levels use a quarter.
 NARROW, WIDE, QUARTER = 2, 16, 4
 #: Narrow rows that take as much room in a file as a set or a bitmap.
@@ -247,11 +249,12 @@ def grouped(documents: DataFrame, cell: int = CELL, per_document: int = CANDIDAT
     3. Every class of a list is compared with the one that is in most lists, the
        likely origin of copies: bitmaps and sizes first, then whole sets. Links
        are contracted to components.
-    4. Lists that still have several components get a signature tree, whose dual
-       traversal leaves the pairs of different components that may be similar;
-       these are compared by whole sets. A class brings at most `per_document`
-       candidates a list and round; rounds with more follow until none is left
-       over.
+    4. Lists that still have several components are put together by the class
+       that they were compared with, unless that gives too many rows, and get a
+       signature tree, whose dual traversal leaves the pairs of different
+       components that may be similar; these are compared by whole sets. A class
+       brings at most `per_document` candidates a tree and round; rounds with
+       more follow until none is left over.
 
     Returns `doc_id, text_hash, n_shingles, root, component_id`: the size of the
     set, a name of the component, null for documents without words, and the
@@ -277,11 +280,14 @@ def grouped(documents: DataFrame, cell: int = CELL, per_document: int = CANDIDAT
     shared = spark.sparkContext.broadcast(counters)
     buckets = max(1, -(-text_bytes(documents) // BUCKET_BYTES))
     lists = stage(_lists(rows, shared, buckets, cell))
-    links = _verified(rows, classes, _star_pairs(lists), n)
+    centres = _centres(lists)
+    stars = lists.select("list", F.explode("members").alias("a")).join(centres, "list")
+    stars = stars.select("a", F.col("centre").alias("b")).filter("a <> b").distinct()
+    links = _verified(rows, classes, stars, n)
     rest = lists.filter(F.size("members") > 2)
     while True:
         roots = components(links, n)
-        pairs, left_over = _tree_pairs(rows, rest, classes, roots, per_document, n)
+        pairs, left_over = _tree_pairs(rows, rest, centres, classes, roots, per_document, n)
         found = _verified(rows, classes, pairs, n)
         if found.take(1):
             links = links.union(found)
@@ -425,12 +431,12 @@ def _lists(rows: DataFrame, shared, buckets: int, cell: int) -> DataFrame:
     return met.groupBy("list").agg(F.first("members").alias("members"), F.sum("times").alias("times"))
 
 
-def _star_pairs(lists: DataFrame) -> DataFrame:
-    """Each class (`a`) of a list with the one that shares most shingles with others (`b`)."""
+def _centres(lists: DataFrame) -> DataFrame:
+    """`list, centre`: the class of each list that shares most shingles with others."""
     members = lists.select("list", "times", F.explode("members").alias("a"))
     shared = members.groupBy("a").agg(F.sum("times").alias("weight"))
     first = members.join(shared, "a").groupBy("list").agg(F.max(F.struct("weight", "a")).alias("first"))
-    return members.join(first, "list").select("a", F.col("first.a").alias("b")).filter("a <> b").distinct()
+    return stage(first.select("list", F.col("first.a").alias("centre")))
 
 
 def _dealt(keys: np.ndarray, sets: np.ndarray, counters: np.ndarray, cell: int) -> tuple[np.ndarray, np.ndarray]:
@@ -520,7 +526,13 @@ def _sets(rows: DataFrame, needed: DataFrame, what: str) -> DataFrame:
 
 
 def _tree_pairs(
-    rows: DataFrame, lists: DataFrame, classes: DataFrame, roots: DataFrame, per_document: int, about: int
+    rows: DataFrame,
+    lists: DataFrame,
+    centres: DataFrame,
+    classes: DataFrame,
+    roots: DataFrame,
+    per_document: int,
+    about: int,
 ) -> tuple[DataFrame, bool]:
     """Candidates of the lists with several components, and whether some were left over."""
     members = lists.select("list", F.explode("members").alias("set"))
@@ -528,16 +540,22 @@ def _tree_pairs(
         "list", "set", F.coalesce("root", "set").alias("root")
     )
     several = rooted.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    open_lists = stage(rooted.join(several.select("list"), "list"), about)
-    needed = stage(open_lists.select("set").distinct().join(classes, "set").select("set", "first_id"), about)
+    counted = rooted.groupBy("list").agg(F.count("*").alias("rows")).join(several.select("list"), "list")
+    counted = stage(counted.join(centres, "list"), about)
+    large = counted.groupBy("centre").agg(F.sum("rows").alias("all")).filter(F.col("all") > TOGETHER)
+    key = F.when(F.col("all").isNull(), F.col("centre")).otherwise(F.col("list")).alias("tree")
+    trees = counted.join(large, "centre", "left").select("list", key)
+    together = stage(rooted.join(trees, "list").select("tree", "set", "root").distinct(), about)
+    needed = stage(together.select("set").distinct().join(classes, "set").select("set", "first_id"), about)
     maps = _sets(rows, needed, "map")
-    dealt = open_lists.join(maps, "set").select("list", "set", "root", "n", "map").repartition("list").sortWithinPartitions("list", "set")
+    dealt = together.join(maps, "set").select("tree", "set", "root", "n", "map")
+    dealt = dealt.repartition("tree").sortWithinPartitions("tree", "set")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             held = pa.concat_tables([held, pa.table(batch)]) if held is not None else pa.table(batch)
-            names = held.column("list").to_numpy()
+            names = held.column("tree").to_numpy()
             done = int(np.searchsorted(names != names[-1], False)) if len(names) else 0
             if done:
                 yield from _search(held.slice(0, done), per_document)
@@ -553,7 +571,7 @@ def _tree_pairs(
 def _search(table: pa.Table, per_document: int) -> Iterator[pa.RecordBatch]:
     """Candidates of whole lists, which follow each other in the table."""
     table = table.combine_chunks()
-    names = table.column("list").to_numpy()
+    names = table.column("tree").to_numpy()
     cuts = np.append(np.flatnonzero(np.diff(names, prepend=names[:1] - 1)), len(names))
     sets, roots, sizes = (table.column(c).to_numpy() for c in ("set", "root", "n"))
     maps = table.column("map").to_pylist()
