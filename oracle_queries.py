@@ -7,6 +7,7 @@ with a window.
 
 from __future__ import annotations
 
+# Code lists, names and order of columns.
 PAYMENT_TYPES = """
     SELECT * FROM (VALUES (1, 'Credit card'), (2, 'Cash'), (3, 'No charge'), (4, 'Dispute'),
         (5, 'Unknown'), (6, 'Voided trip')) AS t(payment_type, payment_type_desc)
@@ -189,6 +190,9 @@ QUERIES = {
     "dim_time": "SELECT * FROM dim_time",
     "fact_trips": "SELECT * FROM fact",
     "dim_taxi_zone": "SELECT * FROM dim_taxi_zone",
+    "load_by_month": "SELECT * FROM fact",
+    "dim_time_by_month": "SELECT * FROM dim_time",
+    "table_sample": "SELECT * FROM dim_taxi_zone ORDER BY location_id LIMIT 5",
     "quality_report": """
         SELECT r.n AS initial_count, c.n AS final_count,
             CAST(c.n AS DOUBLE) / r.n * 100 AS retention_pct,
@@ -221,8 +225,6 @@ QUERIES = {
             round(avg(tip_amount / CASE WHEN fare_amount > 0 THEN fare_amount END) * 100, 2)
                 AS tip_percentage
         FROM fact f
-        LEFT JOIN dim_taxi_zone p ON PULocationID = CAST(p.location_id AS BIGINT)
-        LEFT JOIN dim_taxi_zone d ON DOLocationID = CAST(d.location_id AS BIGINT)
         LEFT JOIN dim_payment_type t ON f.payment_type = t.payment_type
         GROUP BY payment_type_desc ORDER BY trip_count DESC, payment_type_desc
     """,
@@ -233,8 +235,6 @@ QUERIES = {
             round(avg(price_per_mile), 2) AS avg_price_per_mile,
             round(sum(total_amount), 2) AS total_revenue
         FROM fact f
-        LEFT JOIN dim_taxi_zone p ON PULocationID = CAST(p.location_id AS BIGINT)
-        LEFT JOIN dim_taxi_zone d ON DOLocationID = CAST(d.location_id AS BIGINT)
         LEFT JOIN dim_rate_code r ON f.RateCodeID = r.RateCodeID
         GROUP BY rate_code_desc ORDER BY trip_count DESC, rate_code_desc
     """,

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import re
+import sys
 from pathlib import Path
 
+import load_month
 import pytest
 from conftest import SF_SMALL, rows
 from pyspark.errors import AnalysisException
@@ -355,6 +357,38 @@ def test_no_scan_for_partitions(spark, landing, tmp_path, monkeypatch):
     assert not any("MSCK" in text.upper() for text in said)
 
 
+# The job script
+
+
+def test_the_job_prints_every_row(spark, landing, tmp_path, monkeypatch, capsys):
+    job = ["load_month.py", "--schema", "mart_job"]
+    load_args = ["--source", landing, "--zones", f"{landing}/zones", "--year", "2021", "--month", "9"]
+    monkeypatch.setattr(sys, "argv", [*job, *load_args, "--target", str(tmp_path)])
+    load_month.main()
+    first = capsys.readouterr().out
+    monkeypatch.setattr(sys, "argv", [*job, "--reports-only"])
+    load_month.main()
+    second = capsys.readouterr().out
+    for name, report in reports.all_reports(open_star(spark, "mart_job")).items():
+        for said in (first, second):
+            block = said.split(f"\n{name}\n")[1].split("\n\n")[0].splitlines()
+            lines = [" ".join(map(str, row)).split() for row in report.collect()]
+            assert [line.split() for line in block[1 : len(lines) + 1]] == lines
+    assert reports.busiest_hours(open_star(spark, "mart_job")).count() > 10
+    monkeypatch.setattr(sys, "argv", job)
+    with pytest.raises(SystemExit):
+        load_month.main()
+
+
+def test_reports_on_months_of_different_types(spark):
+    import __spark_entry__ as entry
+
+    plain = reports.all_reports(entry.star(spark, SF_SMALL))
+    assert {name: rows(r) for name, r in reports.all_reports(entry.months(spark, SF_SMALL)).items()} == {
+        name: rows(r) for name, r in plain.items()
+    }
+
+
 # Reports without a load
 
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from conftest import rows
 
-from tripmart.sources import MONTH_FOLDER, canonical_names, month_path, read_trips, read_zones
+from tripmart.sources import MONTH_FOLDER, canonical_names, canonical_types, month_path, read_trips, read_zones
 
 
 @pytest.mark.parametrize("month", [8, "8", "08"])
@@ -37,6 +37,30 @@ def test_names_get_one_spelling(spark):
     assert canonical_names(df).columns == ["airport_fee", "RatecodeID", "Extra_column"]
 
 
+def test_types_get_one_form(spark, tmp_path):
+    df = spark.sql(
+        "SELECT CAST(1 AS INT) AS VendorID, CAST(2 AS BIGINT) AS RatecodeID, CAST(NULL AS BIGINT) AS passenger_count,"
+        " 5.0D AS PULocationID, '7' AS payment_type, TIMESTAMP '2021-08-01 00:00:00' AS tpep_pickup_datetime, 1 AS extra_one"
+    )
+    typed = canonical_types(df)
+    assert dict(typed.dtypes) == {
+        "VendorID": "bigint",
+        "RatecodeID": "double",
+        "passenger_count": "double",
+        "PULocationID": "bigint",
+        "payment_type": "bigint",
+        "tpep_pickup_datetime": "timestamp",
+        "extra_one": "int",
+    }
+    assert rows(typed.drop("tpep_pickup_datetime")) == [(1, 2.0, None, 5, 7, 1)]
+
+
+@pytest.mark.parametrize("value", ["1.5D", "'x'", "1e300D"])
+def test_a_value_that_does_not_fit_raises(spark, value):
+    with pytest.raises(Exception, match="VendorID does not fit"):
+        canonical_types(spark.sql(f"SELECT {value} AS VendorID")).collect()
+
+
 def test_zones_are_text(spark, tmp_path):
     path = tmp_path / "zones.csv"
     path.write_text(

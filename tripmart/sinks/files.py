@@ -27,6 +27,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     _deletion(spark, path)()
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder and those above it, if they are not there."""
+    hadoop_path, file_system = _resolve(spark, path)
+    file_system.mkdirs(hadoop_path)
+
+
 def folders_at(spark: SparkSession, path: str, depth: int) -> list[str]:
     """Names of the folders `depth` levels below `path`, relative to it, without hidden ones."""
     hadoop_path, file_system = _resolve(spark, path)

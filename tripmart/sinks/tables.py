@@ -20,6 +20,7 @@ from tripmart.sinks.files import (
     delete_path,
     folders_at,
     holds_files,
+    make_folder,
     path_exists,
     recover,
     recover_below,
@@ -40,7 +41,8 @@ def table_path(base_path: str, name: str) -> str:
 
 def read_saved(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
     """The table at `path`, or None if nothing has been written there."""
-    return spark.read.format(fmt).load(path) if path_exists(spark, path) else None
+    there = path_exists(spark, path) if fmt in SELF_DESCRIBING else holds_files(spark, path, "[^._]*")
+    return spark.read.format(fmt).load(path) if there else None
 
 
 @dataclass(frozen=True)
@@ -55,6 +57,7 @@ class Prepared:
     partition_by: tuple[str, ...] = ()
     added: list[dict[str, object]] = field(default_factory=list)
     removed: list[dict[str, object]] = field(default_factory=list)
+    beside: str | None = None
 
     def read(self) -> DataFrame:
         """The prepared rows as written; rows of self-describing formats are written only by `put_in_place`."""
@@ -100,7 +103,7 @@ def prepare_table(df: DataFrame, name: str, base_path: str, fmt: str = "parquet"
         return Prepared(df, name, path, fmt)
     new = _beside(base_path, name)
     df.write.format(fmt).save(new)
-    return Prepared(df, name, path, fmt, [(new, path)])
+    return Prepared(df, name, path, fmt, [(new, path)], beside=new)
 
 
 def prepare_partition(
@@ -117,7 +120,7 @@ def prepare_partition(
         return Prepared(labelled, name, path, fmt, [], by, added)
     new = _beside(base_path, name)
     df.write.format(fmt).save(new)
-    return Prepared(labelled, name, path, fmt, [(new, f"{path}/{_folder(partition)}")], by, added)
+    return Prepared(labelled, name, path, fmt, [(new, f"{path}/{_folder(partition)}")], by, added, beside=new)
 
 
 def prepare_partitions(
@@ -139,7 +142,7 @@ def prepare_partitions(
     added = [p for p in replaced if _folder(p) in written]
     removed = [p for p in replaced if _folder(p) not in written]
     moves = [(f"{new}/{_folder(p)}", f"{path}/{_folder(p)}") for p in added]
-    return Prepared(df, name, path, fmt, moves, by, added, removed)
+    return Prepared(df, name, path, fmt, moves, by, added, removed, new)
 
 
 def put_in_place(prepared: Prepared, schema: str | None = None) -> DataFrame:
@@ -153,6 +156,8 @@ def put_in_place(prepared: Prepared, schema: str | None = None) -> DataFrame:
         else:
             writer = writer.option("overwriteSchema", "true")
         writer.save(prepared.path)
+    elif prepared.partition_by:
+        make_folder(spark, prepared.path)  # so that a table without any partition can be read
     for new, target in prepared.moves:
         swap_in(spark, new, target)
     for partition in prepared.removed:
@@ -161,9 +166,9 @@ def put_in_place(prepared: Prepared, schema: str | None = None) -> DataFrame:
 
 
 def discard(prepared: Prepared) -> None:
-    """Delete what was prepared and will not be put in place."""
-    for new, _ in prepared.moves:
-        delete_path(prepared.rows.sparkSession, new)
+    """Delete what was prepared and has not been put in place."""
+    if prepared.beside:
+        delete_path(prepared.rows.sparkSession, prepared.beside)
 
 
 def save_tables(
