@@ -1,0 +1,52 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+SF_SMALL = "/root/testdata/sf0.001"
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars int"
+
+#: Nulls, empty and blank texts, ties, repeated rows, repeated ids, other scripts, long words, long texts.
+AWKWARD = [
+    (1, "one two three four five six seven", "en", "a", 33),
+    (2, "One  two\tthree FOUR five six\nseven", "en", "a", 33),
+    (2, "One  two\tthree FOUR five six\nseven", "en", "a", 33),
+    (3, "one two three four five six eight", None, "b", 33),
+    (4, None, "en", None, None),
+    (5, "", "en", "", 0),
+    (6, " \t\n\x0b\x0c\r ", "en", "b", 7),
+    (None, "a text without id but with words enough to make shingles", "en", None, 50),
+    (7, "x", "en", "a", 1),
+    (7, "y z", "en", "a", 3),
+    (8, "日本語 テスト   ünïcödé İ ΣΑΣ é <|endoftext|> don't 3rd \U0001f44d\U0001f3fd", "ja", "b", 50),
+    (9, "w" * 3000 + " " + "v" * 10, "en", "a", 3011),
+    (10, " ".join(f"word{i % 97} and{i}" for i in range(3000)), "en", "a", 40000),
+    (11, " ".join(f"word{i % 97} and{i}" for i in range(2990)), "en", "c", 40000),
+    (-5, "one two three four five six seven", "en", "a", 33),
+]
+
+
+@pytest.fixture(scope="session")
+def awkward(spark):
+    """Awkward rows, with columns named like those that operators add."""
+    df = spark.createDataFrame(AWKWARD, COLUMNS)
+    return df.selectExpr("*", "'x' AS chunk", "1 AS size", "2 AS shard", "3 AS score", "4 AS n", "5 AS `key`", "6 AS label")
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return spark.createDataFrame([], COLUMNS)
+
+
+@pytest.fixture(scope="session")
+def small(spark):
+    return spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def labels(spark):
+    return spark.read.parquet(f"{SF_SMALL}/labels.parquet")

@@ -1,0 +1,227 @@
+"""Language model, fingerprints, BPE and token counts against plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tripmart.llm import lm, tokens
+from tripmart.llm.lm import score_documents
+from tripmart.llm.packed import open_sorted, open_up, split_words, squeeze, squeeze_sorted
+from tripmart.llm.syncmers import SKETCH, fingerprints
+from tripmart.llm.tokens import count_tokens
+from tripmart.llm.wordtable import digests, encode_and_decode
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def texts(df):
+    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+
+
+# Packing
+
+
+@given(st.lists(st.text(alphabet=st.characters(codec="utf-8"), max_size=30) | st.none(), max_size=8))
+@settings(max_examples=60, deadline=None)
+def test_words_are_split_like_the_pattern(found):
+    places, starts, distinct = split_words(pa.array(found, pa.string()), lower=True)
+    listed = [distinct[int(p)].as_py() for p in places]
+    assert [listed[s:e] for s, e in zip(starts[:-1], starts[1:], strict=True)] == [words(t) for t in found]
+
+
+@given(st.lists(st.integers(0, 2**64 - 1), max_size=50))
+@settings(max_examples=50, deadline=None)
+def test_packed_numbers_come_back(values):
+    numbers = np.array(values, np.uint64)
+    assert open_up(squeeze(numbers), "<u8", len(numbers)).tolist() == values
+    ordered = np.sort(numbers)
+    assert open_sorted(squeeze_sorted(ordered), len(ordered)).tolist() == ordered.tolist()
+
+
+# Language model
+
+
+def brute_scores(rows, order, weights_from=None):
+    """Counts by plain loops; scores with the operator's weights."""
+    own = [(i, [*words(t), None]) for i, t in rows]
+    held = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in own]
+    counts = Counter(w for (_, t), h in zip(own, held, strict=True) if not h for w in t)
+    total, distinct = sum(counts.values()), len(counts)
+    out = []
+    for (i, t), h in zip(own, held, strict=True):
+        base = sum(math.log10((counts[w] + 1) / (total + distinct + 1)) for w in t)
+        out.append((i, h, len(t), sum(counts[w] > 0 for w in t), total, round(base, 6)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("name", ["awkward", "small", "empty"])
+def test_counts_and_base_scores(request, name):
+    df = request.getfixturevalue(name)
+    found = score_documents(df).collect()
+    assert sorted((tuple(r)[:5] + (round(r["base_score"], 6),) for r in found), key=str) == brute_scores(texts(df), 2)
+    assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in found)
+
+
+def test_scores_are_those_of_the_mixture(spark, small, monkeypatch):
+    """Weights are taken from the operator, everything else from plain counts."""
+    seen = {}
+    learn = lm._learn
+
+    def kept(*args):
+        seen["weights"] = learn(*args)
+        return seen["weights"]
+
+    monkeypatch.setattr(lm, "_learn", kept)
+    for order in (1, 2, 3):
+        found = {r["doc_id"]: r for r in score_documents(small, order).collect()}
+        own = {i: [*words(t), "\n"] for i, t in texts(small)}
+        grams = Counter()
+        for i, t in own.items():
+            if not found[i]["held_out"]:
+                t = ["\t"] * (order - 1) + t
+                for n in range(1, order + 1):
+                    grams.update(tuple(t[j - n + 1 : j + 1]) for j in range(order - 1, len(t)))
+        ends, total = grams[("\n",)], found[0]["train_tokens"]
+        distinct = sum(len(g) == 1 for g in grams)
+        for i in list(own)[::9]:
+            score, t = 0.0, ["\t"] * (order - 1) + own[i]
+            for j in range(order - 1, len(t)):
+                parts, bucket = [1 / (distinct + 1), grams[(t[j],)] / total], 0
+                for n in range(2, order + 1):
+                    before = tuple(t[j - n + 1 : j])
+                    times = ends if before == ("\t",) * (n - 1) else grams[before]
+                    parts.append(grams[tuple(t[j - n + 1 : j + 1])] / times if times else 0)
+                    if times:
+                        bucket = 1 + (n - 2) * lm.LOGS + int(math.log2(times))
+                score += math.log10(sum(w * p for w, p in zip(seen["weights"][bucket], parts, strict=True)))
+            assert found[i]["score"] == pytest.approx(score, rel=1e-9)
+
+
+def test_the_model_is_better_than_its_base(small):
+    held = [r for r in score_documents(small).collect() if r["held_out"]]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+    assert lm.start_weights(3).sum(axis=1) == pytest.approx(1)
+
+
+# Fingerprints
+
+
+def brute_edits(rows):
+    order = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0), reverse=True)
+    out = {}
+    for k, (i, t) in enumerate(order):
+        t, following = t or "", order[(k + 1) % len(order)][1] or ""
+        half = len(t) // 2
+        out[i] = (len(t), hashlib.sha256((t[: len(t) - half] + following[:half]).encode()).hexdigest())
+    return out
+
+
+def test_edited_texts_and_likeness(small):
+    found = {r["doc_id"]: r for r in fingerprints(small).collect()}
+    rows = texts(small)
+    assert {i: (r["n_chars"], r["edited_sha256"]) for i, r in found.items()} == brute_edits(rows)
+    prints = {}
+    for i, t in rows:
+        prints.setdefault(t, set()).add(found[i]["fingerprint"])
+    assert all(len(p) == 1 for p in prints.values())
+    order = sorted(found, reverse=True)
+    for k, i in enumerate(order):
+        r, following = found[i], found[order[(k + 1) % len(order)]]
+        for other, near in ((r["edited_fingerprint"], "near_edited"), (following["fingerprint"], "near_next")):
+            a, b = (sorted(re.findall("." * 8, x)) for x in (r["fingerprint"], other))
+            least = sorted({*a, *b})[:SKETCH]
+            expected = sum(x in a and x in b for x in least) / len(least) if least else 1.0
+            assert r[near] == pytest.approx(expected)
+    near = [r["near_edited"] for r in found.values() if r["n_chars"] > 1000]
+    assert min(near) > 0.1 and 0.2 < sum(near) / len(near) < 0.5
+
+
+def test_anchors_do_not_depend_on_context(spark):
+    from tripmart.llm.syncmers import with_anchors
+
+    body = [f"w{i * 7919 % 1000}" for i in range(200)]
+    rows = [(0, " ".join(body)), (1, " ".join(["before", "it"] + body + ["and", "after"]))]
+    found = with_anchors(spark.createDataFrame(rows, "i int, t string"), "t", "anchors").collect()
+    plain, moved = ({(a["place"], a["hash"]) for a in r["anchors"]} for r in found)
+    assert len(plain) > 30 and {(p + 2, h) for p, h in plain} <= moved
+
+
+def test_awkward_fingerprints(awkward, empty):
+    found = fingerprints(awkward).collect()
+    assert len(found) == awkward.count() and fingerprints(empty).count() == 0
+    by_id = {r["doc_id"]: r for r in found}
+    assert by_id[4]["fingerprint"] == by_id[5]["fingerprint"] == by_id[6]["fingerprint"] == ""
+    assert by_id[1]["fingerprint"] == by_id[2]["fingerprint"] == by_id[-5]["fingerprint"] != by_id[3]["fingerprint"]
+    assert all(0 <= r[c] <= 1 for r in found for c in ("near_edited", "near_next"))
+
+
+# BPE
+
+
+@pytest.mark.parametrize("name", ["awkward", "small", "empty"])
+def test_encoding_and_decoding_as_the_library_does(request, name):
+    df = request.getfixturevalue(name)
+    own = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expected = []
+    for i, t in texts(df):
+        ids = own.encode(t or "", add_special_tokens=False).ids
+        expected.append((i, ids, own.decode(ids, skip_special_tokens=False)))
+    encoded = encode_and_decode(df)
+    assert sorted(((r[0], r[1], r[2]) for r in encoded.collect()), key=str) == sorted(expected, key=str)
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    wanted = [(i, len(ids), sha(" ".join(map(str, ids))), sha(text)) for i, ids, text in expected]
+    assert sorted(map(tuple, digests(encoded).collect()), key=str) == sorted(wanted, key=str)
+
+
+# Token counts
+
+
+def library_counts(df):
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return sorted(
+        ((i, len((t or "").encode()), len(own.encode(t or "", add_special_tokens=False).ids)) for i, t in texts(df)), key=str
+    )
+
+
+@pytest.mark.parametrize("name", ["awkward", "small", "empty"])
+@pytest.mark.parametrize("sizes", [{}, {"huge": 300, "chunk": 100, "overlap": 4}, {"huge": 500, "chunk": 200, "ranks": None}])
+def test_counts_as_the_library_does(request, name, sizes):
+    df = request.getfixturevalue(name)
+    found = count_tokens(df, **sizes)
+    assert sorted((tuple(r)[:3] for r in found.collect()), key=str) == library_counts(df)
+    assert found.filter("over_limit <> (n_tokens > 512)").count() == 0
+
+
+def test_overlaps_without_a_stable_place_are_widened(spark):
+    rows = [(1, "x" * 900 + " " + "y " * 300), (2, "a  b\n\nc" * 200), (3, "é" * 700 + " z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = count_tokens(df, huge=200, chunk=100, overlap=8)
+    assert sorted((tuple(r)[:3] for r in found.collect()), key=str) == library_counts(df)
+
+
+@given(st.text(alphabet=st.characters(codec="utf-8"), max_size=80) | st.text(alphabet=" \n\t'aé1.ß<|", max_size=60))
+@settings(max_examples=300, deadline=None)
+def test_the_fast_library_agrees_where_it_is_used(text):
+    own = tokens.counter(tokens.VOCABULARY, tokens.RANKS)
+    encoded = own.slow.encode(text, add_special_tokens=False)
+    assert own.counts([text]) == [len(encoded.ids)]
+    if own.is_fast(text):
+        assert own.fast.encode_ordinary(text) == encoded.ids
+    assert len(own.ends(text)) == len(encoded.ids)
