@@ -1,12 +1,9 @@
-from __future__ import annotations
+"""Fixtures that the tests of this folder import by name."""
 
-import sys
-from pathlib import Path
+from __future__ import annotations
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
-
 SF_SMALL = "/root/testdata/sf0.001"
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars int"
 
@@ -50,3 +47,8 @@ def small(spark):
 @pytest.fixture(scope="session")
 def labels(spark):
     return spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+
+
+def rows(df) -> list[tuple]:
+    """All rows, in an order that does not depend on the plan."""
+    return sorted((tuple(r) for r in df.collect()), key=repr)

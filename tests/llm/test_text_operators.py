@@ -14,6 +14,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from llm_fixtures import awkward, empty, small  # noqa: F401
 from tokenizers import Tokenizer
 
 from tripmart.llm import lm, tokens
