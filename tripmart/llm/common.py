@@ -40,16 +40,23 @@ def stage(df: DataFrame, rows: int | None = None) -> DataFrame:
     return write_and_read(df, folder)
 
 
+#: Bytes of a batch of rows that goes to a Python worker, where the session sets nothing.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this library to the Python workers, once per application.
+    """Send this library to the Python workers, once per application, and bound what they get at once.
 
     Functions that run there are found by name, and a worker need not have the
-    library's folder on its path. The archive lies in the shared folder.
+    library's folder on its path. The archive lies in the shared folder. Batches
+    of texts are bounded by their bytes, unless the session has set a bound.
     """
     context = spark.sparkContext
+    if not context.getConf().contains(BATCH_SETTING) and spark.conf.get(BATCH_SETTING) == _default_batch(spark):
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     if context.applicationId in _shipped:
         return
     root = Path(__file__).resolve().parents[1]
@@ -67,6 +74,11 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def _default_batch(spark: SparkSession) -> str:
+    """The batch bound of a session in which nothing has been set."""
+    return spark.newSession().conf.get(BATCH_SETTING)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the given folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

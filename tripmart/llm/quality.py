@@ -99,7 +99,7 @@ def fit(train: DataFrame) -> Model:
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [terms(t).tobytes() for t in batch.column(1).to_pylist()]
+            found = [terms(t).astype(np.float16).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.binary()), batch.column(2)], names=["doc_id", "terms", "label"]
             )
@@ -110,10 +110,13 @@ def fit(train: DataFrame) -> Model:
     rate = float((labels.sum() + 0.5) / (len(labels) + 1))
     if not len(rows):
         return Model(np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), labels, rate)
-    counted = np.frombuffer(b"".join(rows["terms"]), np.float32).reshape(len(rows), TERMS)
-    frequency = (counted > 0).sum(axis=0)
+    matrix = np.empty((len(rows), TERMS), np.float32)
+    for i, found in enumerate(rows.pop("terms")):
+        matrix[i] = np.frombuffer(found, np.float16)
+    frequency = np.count_nonzero(matrix, axis=0)
     weight = (np.log((1 + len(rows)) / (1 + frequency)) + 1).astype(np.float32)
-    matrix = _unit(counted * weight)
+    matrix *= weight
+    matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-9)
     basis = np.random.default_rng(SEED).standard_normal((TERMS, LATENT + 16)).astype(np.float32)
     for _ in range(ROUNDS):
         basis, _ = np.linalg.qr(matrix.T @ (matrix @ basis))
