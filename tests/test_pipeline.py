@@ -383,10 +383,14 @@ def test_the_job_prints_every_row(spark, landing, tmp_path, monkeypatch, capsys)
 def test_reports_on_months_of_different_types(spark):
     import __spark_entry__ as entry
 
-    plain = reports.all_reports(entry.star(spark, SF_SMALL))
-    assert {name: rows(r) for name, r in reports.all_reports(entry.months(spark, SF_SMALL)).items()} == {
-        name: rows(r) for name, r in plain.items()
-    }
+    def rounded(tables):
+        """Float sums depend on their order in the last digits."""
+        return {
+            name: rows(r.select(*[F.round(c, 4) if kind == "double" else c for c, kind in r.dtypes]))
+            for name, r in reports.all_reports(tables).items()
+        }
+
+    assert rounded(entry.months(spark, SF_SMALL)) == rounded(entry.star(spark, SF_SMALL))
 
 
 # Reports without a load
