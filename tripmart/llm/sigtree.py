@@ -34,7 +34,7 @@ NARROW, WIDE, QUARTER = 2, 16, 4
 #: Narrow rows that take as much room in a file as a set or a bitmap.
 WIDE_ROWS = 25
 #: Up to so many ids are broadcast to pick the documents whose sets are needed; more are joined.
-BROADCAST_IDS = 1 << 21
+BROADCAST_IDS = 1 << 20
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
