@@ -164,6 +164,25 @@ def test_anchors_do_not_depend_on_context(spark):
     assert len(plain) > 30 and {(p + 2, h) for p, h in plain} <= moved
 
 
+def test_fingerprints_have_every_anchor_of_long_texts(spark):
+    body = [f"w{i * 7919 % 100003}" for i in range(6000)]
+    changed = [*body[:5000], "other", *body[5001:]]
+    passage = [f"v{i}" for i in range(6000)]
+    passage[3000:3050] = body[4000:4050]
+    made = [(3, " ".join(body)), (2, " ".join(changed)), (1, " ".join(passage))]
+    found = {r["doc_id"]: r for r in fingerprints(spark.createDataFrame(made, "doc_id long, text string")).collect()}
+    prints = {i: set(re.findall("." * 8, r["fingerprint"])) for i, r in found.items()}
+    assert min(len(p) for p in prints.values()) > 1000 and prints[3] != prints[2] and prints[2] & prints[1]
+    for i in (3, 2, 1):
+        hashes = {f"{a['hash'] % (1 << 64) >> 32:08x}" for a in found[i]["anchors"]}
+        assert hashes == prints[i] and found[i]["n_anchors"] == len(found[i]["anchors"])
+        places = [a["place"] for a in found[i]["anchors"]]
+        assert places == sorted(places) and places[-1] > 5900
+        following = prints[i - 1 or 3]
+        assert found[i]["near_next"] == pytest.approx(len(prints[i] & following) / len(prints[i] | following))
+    assert 0.99 < found[3]["near_next"] < 1 and 0 < found[2]["near_next"] < 0.01
+
+
 def test_awkward_fingerprints(awkward, empty):
     found = fingerprints(awkward).collect()
     assert len(found) == awkward.count() and fingerprints(empty).count() == 0

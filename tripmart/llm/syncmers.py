@@ -9,8 +9,8 @@ from tripmart.llm.common import BLANK, lower_ascii, running_totals, stage, text_
 
 #: Words of a k-mer, and of the inner substrings whose least hash is looked for.
 K, S = 8, 2
-#: Most anchors in a fingerprint: those with the least hashes.
-SKETCH = 128
+#: Most anchors in a fingerprint: no bound, it has every distinct one.
+SKETCH = None
 
 
 def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -52,26 +52,25 @@ def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
 
 
 def sketch(anchors: Column) -> Column:
-    """The distinct anchors' hashes cut to 32 bits, the least of them, sorted: array of bigint."""
-    hashes = F.transform(anchors, lambda a: F.shiftrightunsigned(a["hash"], 32))
-    return F.slice(F.array_sort(F.array_distinct(hashes)), 1, SKETCH)
+    """The distinct anchors' hashes, all of them, cut to their upper 32 bits, sorted: array of int."""
+    hashes = F.transform(anchors, lambda a: F.shiftright(a["hash"], 32).cast("int"))
+    return F.array_sort(F.array_distinct(hashes))
 
 
 def written(sketched: Column) -> Column:
     """A sketch as text: eight hexadecimal digits for each anchor."""
-    return F.array_join(F.transform(sketched, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
+    digits = lambda x: F.lpad(F.lower(F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")
+    return F.array_join(F.transform(sketched, digits), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Estimated Jaccard similarity of two documents' anchors, from their sketches.
+    """Jaccard similarity of two documents' distinct anchors, from their sketches.
 
-    Of the least hashes of both sketches together, the share that both have:
-    exact while both documents have no more distinct anchors than a sketch
-    holds. Two empty sketches are alike (1), an empty and another are not (0).
+    Two empty sketches are alike (1), an empty and another are not (0).
     """
-    least = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
-    both = F.size(F.array_intersect(least, F.array_intersect(a, b)))
-    return F.when(F.size(least) == 0, F.lit(1.0)).otherwise(both / F.size(least))
+    both = F.size(F.array_intersect(a, b))
+    of = F.size(a) + F.size(b) - both
+    return F.when(of == 0, F.lit(1.0)).otherwise(both / of)
 
 
 def fingerprints(documents: DataFrame) -> DataFrame:
@@ -83,14 +82,18 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     many of the next, or all if it has fewer.
 
     Returns `doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next, n_anchors`.
+    near_edited, near_next, n_anchors, anchors`. A fingerprint has every distinct
+    anchor, and `near_*` compare all of them; `anchors` are the document's own
+    with their places, as of `with_anchors`.
 
     Null text counts as empty. Rows that repeat both id and text count as one
     document, and its result is repeated as often. A single document is its own
     next. An empty table gives no rows.
 
     The order is found on ids alone. The text is shuffled once by id, then only
-    as much of it as the document before needs goes there.
+    as much of it as the document before needs goes there, with the sketch. A
+    document's own anchors are made again there, which takes
+    less disk than sending them.
     """
     text = text_of(documents)
     base = documents.select(
@@ -113,19 +116,14 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     own = base.join(links, key)
     if (seen["copies"] or 1) > 1:
         own = own.dropDuplicates(key)
-    own = with_anchors(own, "text_", "anchors_").withColumn("sketch_", sketch(F.col("anchors_")))
-    given = own.select(
+    given = with_anchors(own, "text_", "anchors_").select(
         *[F.col(f"to_{c}").alias(c) for c in key],
         F.expr("substring(text_, 1, cast(half_ as int))").alias("head_"),
-        F.col("sketch_").alias("next_"),
+        sketch(F.col("anchors_")).alias("next_"),
     )
     kept = F.expr("substring(text_, 1, cast(n_ - floor(n_ / 2) as int))")
-    edited = (
-        own.withColumn("n_anchors", F.size("anchors_"))
-        .select(*key, "text_", "n_", "copies_", "sketch_", "n_anchors")
-        .join(given, key)
-        .withColumn("edited_", F.concat(kept, "head_"))
-    )
+    both = own.select(*key, "text_", "n_", "copies_").join(given, key).withColumn("edited_", F.concat(kept, "head_"))
+    edited = with_anchors(both, "text_", "anchors").withColumn("sketch_", sketch(F.col("anchors")))
     edited = with_anchors(edited, "edited_", "anchors_").withColumn("edited_sketch_", sketch(F.col("anchors_")))
     result = edited.withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("copies_"))))
     return result.select(
@@ -136,5 +134,6 @@ def fingerprints(documents: DataFrame) -> DataFrame:
         written(F.col("edited_sketch_")).alias("edited_fingerprint"),
         likeness(F.col("sketch_"), F.col("edited_sketch_")).alias("near_edited"),
         likeness(F.col("sketch_"), F.col("next_")).alias("near_next"),
-        F.col("n_anchors").cast("long").alias("n_anchors"),
+        F.size("anchors").cast("long").alias("n_anchors"),
+        "anchors",
     )
