@@ -22,7 +22,7 @@ from tripmart.llm.mixing import mix, mixed_documents, targets
 from tripmart.llm.quality import good_documents, score_quality
 from tripmart.llm.segments import top_k
 from tripmart.llm.sharding import longest_first, shard_documents
-from tripmart.llm.sigtree import Tree, bitmap, dual_traversal, one_of_each_group, prefix, similar_groups
+from tripmart.llm.sigtree import Tree, bitmap, dual_traversal, linked_documents, one_of_each_group, prefix, similar_groups, similar_pairs
 from tripmart.llm.toxicity import harmless_documents, score_toxicity
 
 
@@ -173,6 +173,37 @@ def test_groups_are_those_of_all_links(request, monkeypatch, name, limits):
     assert sorted(map(tuple, found.collect()), key=str) == brute_groups(texts(df))
 
 
+def brute_links(documents):
+    own = []
+    for i, t in documents:
+        w = words(t)
+        own.append((i, frozenset(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))) if w else frozenset()))
+    linked = lambda a, b: bool(a & b) and 100 * len(a & b) >= 80 * len(a | b)
+    n = [sum(linked(s, o) for _, o in own) - bool(s) for _, s in own]
+    pairs = Counter()
+    for a in {s for _, s in own}:
+        for b in {s for _, s in own}:
+            if a != b and linked(a, b):
+                pairs[tuple(sorted((min((i for i, s in own if s == x and i is not None), default=None) for x in (a, b)), key=str))] += 1
+    return n, {p: k // 2 for p, k in pairs.items()}
+
+
+@pytest.mark.parametrize("name", ["awkward", "small", "empty", "copies"])
+@pytest.mark.parametrize("limits", [{}, {"cell": 4}])
+def test_links_inside_groups_are_counted_and_returned(request, monkeypatch, name, limits):
+    df = request.getfixturevalue(name)
+    if limits:
+        monkeypatch.setattr(sigtree, "TOGETHER", 30)
+        monkeypatch.setattr(sigtree, "PART_ROWS", 7)
+    n, pairs = brute_links(texts(df))
+    expected = sorted(((i, k) for (i, _), k in zip(texts(df), n, strict=True)), key=str)
+    found = linked_documents(df, **limits)
+    assert sorted(((r["doc_id"], r["n_links"]) for r in found.collect()), key=str) == expected
+    assert sorted((tuple(r)[:3] for r in found.collect()), key=str) == brute_groups(texts(df))
+    got = Counter(tuple(sorted((r["first_a"], r["first_b"]), key=str)) for r in similar_pairs(df, **limits).collect())
+    assert got == pairs and (name != "copies" or len(pairs) > 400)
+
+
 def test_one_of_each_group(awkward, small, empty):
     for df in (awkward, small, empty):
         groups = brute_groups(texts(df))

@@ -13,7 +13,7 @@ from tripmart.llm.mixing import mix
 from tripmart.llm.quality import score_quality
 from tripmart.llm.sharding import shard_documents
 from tripmart.llm.segments import top_k
-from tripmart.llm.sigtree import similar_groups
+from tripmart.llm.sigtree import linked_documents
 from tripmart.llm.syncmers import fingerprints
 from tripmart.llm.tokens import count_tokens
 from tripmart.llm.toxicity import score_toxicity
@@ -34,7 +34,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_language_model": _on_documents(score_documents),
         "op2_mixing": _on_documents(mix),
-        "op3_jaccard_join": _on_documents(similar_groups),
+        "op3_jaccard_join": _on_documents(linked_documents),
         "op4_sharding": _on_documents(shard_documents),
         "op5_syncmers": _on_documents(fingerprints),
         "op6_toxicity": _with_labels(score_toxicity),

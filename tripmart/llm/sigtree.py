@@ -29,6 +29,8 @@ LEAF, FANOUT = 16, 8
 CANDIDATES, MORE = 64, 16
 #: Rows of the lists with one centre that may be looked at together.
 TOGETHER = 1 << 20
+#: Rows, and bytes of sets, of a part of a tree in the search for all links; every two parts meet in a task.
+PART_ROWS, PART_BYTES = 1 << 10, 4 << 20
 #: Bits of a bitmap for each shingle, at least: of all documents', and of those in trees, whose levels use a quarter.
 NARROW, WIDE, QUARTER = 2, 16, 4
 #: Narrow rows that take as much room in a file as a set or a bitmap.
@@ -264,6 +266,59 @@ def grouped(documents: DataFrame, cell: int = CELL, per_document: int = CANDIDAT
     null id take part, but give no component its id. Rows that repeat an id are
     documents of their own. An empty table gives no rows.
     """
+    rows, described, classes, lists, centres, links = _starred(documents, cell)
+    n = classes.count()
+    rest = lists.filter(F.size("members") > 2)
+    while True:
+        roots = components(links, n)
+        pairs, left_over = _tree_pairs(rows, rest, centres, classes, roots, per_document, n)
+        found = _verified(rows, classes, pairs, n)
+        if found.take(1):
+            links = links.union(found)
+            roots = components(links, n)
+        if not left_over:
+            break
+        per_document *= MORE
+    return _named(described, classes, roots)
+
+
+def similar_pairs(documents: DataFrame, cell: int = CELL) -> DataFrame:
+    """Every link between two different sets, once: `a, b` (names of the sets), `first_a, first_b` (their smallest ids).
+
+    Equal sets are one class; see `grouped` for sets and links. The result grows
+    with the square of a group whose sets are all linked.
+    """
+    rows, _, classes, lists, centres, stars = _starred(documents, cell)
+    links = _all_links(rows, lists, centres, classes, stars, classes.count())
+    first = lambda end: classes.select(F.col("set").alias(end), F.col("first_id").alias(f"first_{end}"))
+    return links.join(first("a"), "a").join(first("b"), "b").select("a", "b", "first_a", "first_b")
+
+
+def linked_documents(documents: DataFrame, cell: int = CELL) -> DataFrame:
+    """The group of every document and its links: `doc_id, n_shingles, component_id, n_links`.
+
+    Groups are those of `grouped`. `n_links` is how many other documents a
+    document is linked with, those with an equal set included; 0 for documents
+    without words. Every pair of different sets that may be linked is compared,
+    also inside a group.
+    """
+    rows, described, classes, lists, centres, stars = _starred(documents, cell)
+    n = classes.count()
+    links = _all_links(rows, lists, centres, classes, stars, n)
+    grouped_ = _named(described, classes, components(links, n), "set")
+    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    copies = classes.select(F.col("set").alias("b"), "copies")
+    others = both.join(copies, "b").groupBy(F.col("a").alias("set")).agg(F.sum("copies").alias("others"))
+    counts = classes.join(others, "set", "left").select(
+        "set", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links")
+    )
+    return grouped_.join(counts, "set", "left").select(
+        "doc_id", "n_shingles", "component_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links")
+    )
+
+
+def _starred(documents: DataFrame, cell: int) -> tuple[DataFrame, ...]:
+    """Steps 1 to 3 of `grouped`: rows, described rows, classes, lists, their centres, and the links with centres."""
     spark = documents.sparkSession
     ship(spark)
     text = text_of(documents)
@@ -274,7 +329,7 @@ def grouped(documents: DataFrame, cell: int = CELL, per_document: int = CANDIDAT
     read = stage(rows.mapInArrow(_describe, kinds))
     described = read.filter("slice is null").select("doc_id", "text_hash", "n", "set", "map")
     classes = described.filter("n > 0").groupBy("set")
-    classes = stage(classes.agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("map").alias("map")))
+    classes = stage(classes.agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("map").alias("map"), F.count("*").alias("copies")))
     n = classes.count()
     counters = _counters(read.filter("slice is not null").select("slice", "counts"))
     shared = spark.sparkContext.broadcast(counters)
@@ -284,17 +339,11 @@ def grouped(documents: DataFrame, cell: int = CELL, per_document: int = CANDIDAT
     stars = lists.select("list", F.explode("members").alias("a")).join(centres, "list")
     stars = stars.select("a", F.col("centre").alias("b")).filter("a <> b").distinct()
     links = _verified(rows, classes, stars, n)
-    rest = lists.filter(F.size("members") > 2)
-    while True:
-        roots = components(links, n)
-        pairs, left_over = _tree_pairs(rows, rest, centres, classes, roots, per_document, n)
-        found = _verified(rows, classes, pairs, n)
-        if found.take(1):
-            links = links.union(found)
-            roots = components(links, n)
-        if not left_over:
-            break
-        per_document *= MORE
+    return rows, described, classes, lists, centres, links
+
+
+def _named(described: DataFrame, classes: DataFrame, roots: DataFrame, *more: str) -> DataFrame:
+    """Every document with its component, and the columns `more`."""
     named = classes.join(roots, classes["set"] == roots["node"], "left").select(
         "set", F.coalesce("root", "set").alias("root"), "first_id"
     )
@@ -306,6 +355,7 @@ def grouped(documents: DataFrame, cell: int = CELL, per_document: int = CANDIDAT
         F.col("n").alias("n_shingles"),
         "root",
         F.coalesce("component_id", "doc_id").alias("component_id"),
+        *more,
     )
 
 
@@ -592,3 +642,106 @@ def _search(table: pa.Table, per_document: int) -> Iterator[pa.RecordBatch]:
             ],
             names=["a", "b", "more"],
         )
+
+
+def _all_links(
+    rows: DataFrame, lists: DataFrame, centres: DataFrame, classes: DataFrame, stars: DataFrame, about: int
+) -> DataFrame:
+    """All links (`a, b`, the lesser first) of different classes: those of the stars and those inside the lists.
+
+    Lists with one centre form a tree, unless that gives too many rows. A tree
+    is dealt into parts of bounded rows and bytes, and every two parts meet in
+    one unit, each part with itself too. Narrow bitmaps leave the classes that
+    may have a link in their unit; their sets are sent there, and what wide
+    bitmaps leave of the pairs is compared by whole sets.
+    """
+    members = lists.filter(F.size("members") > 2).select("list", F.explode("members").alias("set"))
+    members = members.join(centres, "list").filter("set <> centre")
+    large = members.groupBy("centre").agg(F.count("*").alias("all")).filter(F.col("all") > TOGETHER)
+    key = F.when(F.col("all").isNull(), F.col("centre")).otherwise(F.col("list")).alias("tree")
+    together = stage(members.join(large, "centre", "left").select(key, "set").distinct(), about)
+    known = classes.select("set", "n", "map")
+    sizes = together.join(known.select("set", "n"), "set").groupBy("tree")
+    sizes = sizes.agg(F.count("*").alias("rows"), F.sum(8 * F.col("n")).alias("bytes")).filter("rows > 1")
+    parts = F.ceil(F.greatest(F.col("rows") / PART_ROWS, F.col("bytes") / PART_BYTES))
+    own = F.pmod(F.xxhash64("set", "tree"), "parts")
+    met = together.join(sizes.select("tree", parts.alias("parts")), "tree").withColumn("own", own)
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    unit = ["tree", "low", "high"]
+    met = met.select("tree", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "set")
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.repartition(*unit).sortWithinPartitions(*unit, "n", "set")
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own in _units(batches, unit):
+            left, right = candidates(own.column("map").to_pylist(), own.column("n").to_numpy(), _sides(own))
+            kept = np.unique(np.concatenate([left, right]))
+            if len(kept):
+                yield from own.select([*unit, "own", "set"]).take(pa.array(kept)).to_batches()
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own in _units(batches, unit):
+            n, names = own.column("n").to_numpy(), own.column("set").to_numpy()
+            sets = [open_sorted(s, k) for s, k in zip(own.column("found").to_pylist(), n.tolist(), strict=True)]
+            left, right = candidates([bitmap(s, WIDE) for s in sets], n, _sides(own))
+            both = _shared(sets, left, right)
+            kept = 100 * both >= SIMILARITY * (n[left] + n[right] - both)
+            a, b = names[left[kept]], names[right[kept]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    kinds = "tree long, low long, high long, own long, set long"
+    some = dealt(met.join(known, "set")).select(*unit, "own", "set", "n", "map").mapInArrow(near, kinds)
+    some = stage(some.distinct(), about)
+    needed = stage(some.select("set").distinct().join(classes, "set").select("set", "first_id"), about)
+    sets = _sets(rows, needed, "found")
+    whole = dealt(some.join(sets, "set")).select(*unit, "own", "set", "n", "found")
+    links = whole.mapInArrow(linked, "a long, b long")
+    return stage(links.union(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct())
+
+
+def _units(batches: Iterator[pa.RecordBatch], unit: list[str]) -> Iterator[pa.Table]:
+    """The rows of each unit, which follow each other in the batches."""
+    held: list[pa.Table] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = np.stack([batch.column(batch.schema.get_field_index(c)).to_numpy() for c in unit])
+        cuts = [0, *(1 + np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0))).tolist(), batch.num_rows]
+        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+            name = tuple(names[:, start].tolist())
+            if held and name != last:
+                yield pa.concat_tables(held).combine_chunks()
+                held = []
+            held.append(pa.table(batch.slice(start, end - start)))
+            last = name
+    if held:
+        yield pa.concat_tables(held).combine_chunks()
+
+
+def _sides(own: pa.Table) -> np.ndarray:
+    """Classes that keep pairs of one part out where two parts meet, and keep all pairs where a part meets itself."""
+    if own.column("low")[0] == own.column("high")[0]:
+        return np.arange(len(own))
+    return own.column("own").to_numpy()
+
+
+def _shared(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many hashes the two sets of each pair have in common."""
+    both = np.zeros(len(left), np.int64)
+    if not len(left):
+        return both
+    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    sizes = np.array([len(s) for s in sets])
+    codes = np.split(codes, np.cumsum(sizes)[:-1])
+    seen = np.zeros(1 + max(int(c.max()) for c in codes), np.int32)
+    order = np.argsort(left, kind="stable")
+    cuts = np.append(np.flatnonzero(np.diff(left[order], prepend=-1)), len(order))
+    for start, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        own, theirs = codes[left[order[start]]], right[order[start:end]]
+        seen[own] = 1
+        starts = np.cumsum(sizes[theirs]) - sizes[theirs]
+        both[order[start:end]] = np.add.reduceat(seen[np.concatenate([codes[i] for i in theirs.tolist()])], starts)
+        seen[own] = 0
+    return both
