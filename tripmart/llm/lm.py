@@ -107,9 +107,9 @@ class _Counts:
         rows = sorted(answers.to_pylist(), key=lambda r: (r["length"], r["bucket"]))
         for n in range(1, order + 1):
             own = [r for r in rows if r["length"] == n]
-            known = np.concatenate([open_up(r["counts"], "<u4", r["n"]) for r in own]).astype(np.int64)
+            known = np.concatenate([open_up(r["counts"], "<i8", r["n"]) for r in own])
             if deleted:
-                known -= np.concatenate([open_up(r["deleted"], "<u4", r["n"]) for r in own])
+                known -= np.concatenate([open_up(r["deleted"], "<i8", r["n"]) for r in own])
             _, inverse = np.unique(grams[n - 1], return_inverse=True)
             self.grams.append(known[inverse])
         self.last_grams = grams[-1]
@@ -207,7 +207,7 @@ def _answers(texts: DataFrame, order: int, chunks: int, buckets: int) -> DataFra
         rows: dict[str, list] = {k: [] for k in ("chunk", "bucket", "length", "n", "keys", "counts")}
         for length, keys in enumerate(grams, 1):
             distinct, inverse = np.unique(keys, return_inverse=True)
-            counts = np.bincount(inverse, trained, len(distinct)).astype("<u4")
+            counts = np.bincount(inverse, trained, len(distinct)).astype("<i8")
             cuts = bucket_cuts(distinct, buckets)
             for b in np.flatnonzero(np.diff(cuts)):
                 own = slice(cuts[b], cuts[b + 1])
@@ -224,7 +224,7 @@ def _answers(texts: DataFrame, order: int, chunks: int, buckets: int) -> DataFra
         places = [np.searchsorted(keys, k) for k in asked]
         counts, deleted = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
         for row, at in zip(rows, places, strict=True):
-            own = open_up(row["counts"], "<u4", row["n"])
+            own = open_up(row["counts"], "<i8", row["n"])
             counts[at] += own
             if row["chunk"] >= chunks:
                 deleted[at] += own
@@ -237,15 +237,15 @@ def _answers(texts: DataFrame, order: int, chunks: int, buckets: int) -> DataFra
             "gone": int(deleted.sum()),
             "gone_ends": int(deleted[at_end].sum()),
         }
-        none = squeeze(np.zeros(0, "<u4"))
+        none = squeeze(np.zeros(0, "<i8"))
         out = [
             {
                 "chunk": r["chunk"],
                 "bucket": r["bucket"],
                 "length": r["length"],
                 "n": r["n"],
-                "counts": squeeze(counts[at].astype("<u4")),
-                "deleted": squeeze(deleted[at].astype("<u4")) if r["chunk"] >= chunks else none,
+                "counts": squeeze(counts[at]),
+                "deleted": squeeze(deleted[at]) if r["chunk"] >= chunks else none,
                 **dict.fromkeys(("distinct", "ends", "gone", "gone_ends"), 0),
             }
             for r, at in zip(rows, places, strict=True)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import BLANK, WORD, running_totals, stage, text_of
+from tripmart.llm.rows import whole_row
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -63,29 +64,32 @@ def mixed_documents(
     whole = F.col("epochs") + F.when(F.col("extra") == F.col("size"), 1).otherwise(0)
     part = F.when((F.col("extra") > 0) & (F.col("extra") < F.col("size")), F.col("extra"))
     taken = words.filter("taken > 0").groupBy("doc_id", "source", "text_hash")
-    taken = stage(taken.agg(F.sum(whole).cast("int").alias("whole_"), F.collect_list(part).alias("parts_"), F.count("*").alias("rows_")))
-    text = text_of(documents)
-    rows = documents.withColumns({"id_": documents["doc_id"], "source_": documents["source"].cast("string"), "hash_": F.xxhash64(text)})
-    if taken.filter("rows_ > 1").take(1):
-        rows = rows.dropDuplicates(["id_", "source_", "hash_"])
-    same = (
-        rows["id_"].eqNullSafe(taken["doc_id"])
-        & rows["source_"].eqNullSafe(taken["source"])
-        & (rows["hash_"] == taken["text_hash"])
+    taken = stage(taken.agg(F.sum(whole).cast("int").alias("whole"), F.collect_list(part).alias("parts"), F.count("*").alias("rows")))
+    text, source = text_of(documents), documents["source"].cast("string")
+    rows = documents.select(  # the document's columns in one struct, where no name can clash
+        whole_row(documents).alias("row"),
+        documents["doc_id"].alias("id"),
+        source.alias("origin"),
+        F.xxhash64(text).alias("hash"),
     )
-    some = rows.join(taken.select("doc_id", "source", "text_hash", "whole_", "parts_"), same).select(
-        *[rows[c] for c in documents.columns], "whole_", "parts_"
+    if taken.filter("rows > 1").take(1):
+        rows = rows.dropDuplicates(["id", "origin", "hash"])
+    same = (
+        rows["id"].eqNullSafe(taken["doc_id"])
+        & rows["origin"].eqNullSafe(taken["source"])
+        & (rows["hash"] == taken["text_hash"])
     )
-    copies = F.concat(F.array_repeat(F.lit(None).cast("long"), F.col("whole_")), F.col("parts_"))
-    some = some.withColumn("cut_", F.explode(copies))
-    worded = F.regexp_extract_all("text", F.lit(f"{BLANK[:-1]}*{WORD}"), F.lit(0))
-    cut = F.array_join(F.slice(worded, 1, F.col("cut_").cast("int")), "")
-    some = some.withColumn("text", F.when(F.col("cut_").isNull(), F.col("text")).otherwise(cut))
+    copies = F.concat(F.array_repeat(F.lit(None).cast("long"), F.col("whole")), F.col("parts"))
+    some = rows.join(taken, same).select("row", F.explode(copies).alias("cut"))
+    worded = F.regexp_extract_all(F.col("row")["text"], F.lit(f"{BLANK[:-1]}*{WORD}"), F.lit(0))
+    cut = F.array_join(F.slice(worded, 1, F.col("cut").cast("int")), "")
+    some = some.withColumn("text", F.when(F.col("cut").isNull(), F.col("row")["text"]).otherwise(cut))
+    changed = {"text": F.col("text")}
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
-        counted = F.when(F.col("cut_").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind)
-        some = some.withColumn("n_chars", counted)
-    return some.select(*documents.columns)
+        kept = F.when(F.col("cut").isNull(), F.col("row")["n_chars"])
+        changed["n_chars"] = kept.otherwise(F.length("text")).cast(kind)
+    return some.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in documents.columns])
 
 
 def shares(
