@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from tripmart.llm.common import WORD, ship, stage, text_bytes, text_of
 from tripmart.llm.components import components
 from tripmart.llm.lm import MIX
-from tripmart.llm.packed import bucket_cuts, open_sorted, open_up, split_words, squeeze, squeeze_sorted, word_hashes
+from tripmart.llm.packed import bucket_cuts, one_array, open_sorted, open_up, split_words, squeeze, squeeze_sorted, word_hashes
+from tripmart.llm.rows import unwrapped, whole_row
 
 WORDS, SIMILARITY = 5, 80
 #: Counters of the table that tells rare shingles from common ones, and the rows it travels in.
@@ -46,6 +47,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def ordered(keys: np.ndarray) -> np.ndarray:
+    """Unsigned keys as signed numbers of the same order."""
+    return (keys ^ np.uint64(1 << 63)).view(np.int64)
+
+
 def shingle_sets(texts: pa.Array, size: int = WORDS) -> list[np.ndarray]:
     """The sorted distinct hashes of each text's shingles of `size` words; of all words if it has fewer."""
     places, starts, words = split_words(texts, lower=True)
@@ -222,16 +228,20 @@ def one_of_each_group(documents: DataFrame) -> DataFrame:
     the text). Documents without words are in no group, and all stay.
     """
     text = text_of(documents)
-    key = documents.withColumns({"key_id_": documents["doc_id"].cast("long"), "key_text_": F.xxhash64(text)})
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     kept = grouped(documents).filter("root is not null").groupBy("root").agg(F.min(place).alias("kept"))
-    kept = stage(kept.select(F.col("kept.doc_id").alias("kept_id_"), F.col("kept.text_hash").alias("kept_text_")))
-    same = F.col("key_id_").eqNullSafe(F.col("kept_id_")) & (F.col("key_text_") == F.col("kept_text_"))
-    worded = F.coalesce(text.rlike(WORD), F.lit(False))
-    found = key.filter(worded).join(kept, same, "left_semi")
-    if documents.groupBy(documents["doc_id"].alias("id"), F.xxhash64(text).alias("h")).count().filter("count > 1").take(1):
-        found = found.dropDuplicates(["key_id_", "key_text_"])
-    return found.union(key.filter(~worded)).drop("key_id_", "key_text_")
+    kept = stage(kept.select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.text_hash").alias("kept_hash")))
+    rows = documents.select(  # the document's columns in one struct, where no name can clash
+        whole_row(documents).alias("row"),
+        documents["doc_id"].cast("long").alias("id"),
+        F.xxhash64(text).alias("hash"),
+        F.coalesce(text.rlike(WORD), F.lit(False)).alias("worded"),
+    )
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash"))
+    found = rows.filter("worded").join(kept, same, "left_semi")
+    if rows.groupBy("id", "hash").count().filter("count > 1").take(1):
+        found = found.dropDuplicates(["id", "hash"])
+    return unwrapped(found.union(rows.filter("not worded")), documents.columns)
 
 
 def grouped(documents: DataFrame, cell: int = CELL, per_document: int = CANDIDATES) -> DataFrame:
@@ -288,8 +298,8 @@ def similar_pairs(documents: DataFrame, cell: int = CELL) -> DataFrame:
     Equal sets are one class; see `grouped` for sets and links. The result grows
     with the square of a group whose sets are all linked.
     """
-    rows, _, classes, lists, centres, stars = _starred(documents, cell)
-    links = _all_links(rows, lists, centres, classes, stars, classes.count())
+    rows, _, classes, shared, lists = _listed(documents, cell)
+    links = _tree_links(rows, lists, classes, shared, cell, classes.count(), pairs=True)
     first = lambda end: classes.select(F.col("set").alias(end), F.col("first_id").alias(f"first_{end}"))
     return links.join(first("a"), "a").join(first("b"), "b").select("a", "b", "first_a", "first_b")
 
@@ -300,15 +310,15 @@ def linked_documents(documents: DataFrame, cell: int = CELL) -> DataFrame:
     Groups are those of `grouped`. `n_links` is how many other documents a
     document is linked with, those with an equal set included; 0 for documents
     without words. Every pair of different sets that may be linked is compared,
-    also inside a group.
+    also inside a group, but links are not written out: each unit of the search
+    returns, for its classes, a spanning forest and the number of linked documents.
     """
-    rows, described, classes, lists, centres, stars = _starred(documents, cell)
+    rows, described, classes, shared, lists = _listed(documents, cell)
     n = classes.count()
-    links = _all_links(rows, lists, centres, classes, stars, n)
-    grouped_ = _named(described, classes, components(links, n), "set")
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    copies = classes.select(F.col("set").alias("b"), "copies")
-    others = both.join(copies, "b").groupBy(F.col("a").alias("set")).agg(F.sum("copies").alias("others"))
+    found = _tree_links(rows, lists, classes, shared, cell, n, pairs=False)
+    forest = found.select(F.col("set").alias("a"), F.col("root").alias("b"))
+    grouped_ = _named(described, classes, components(forest, n), "set")
+    others = found.groupBy("set").agg(F.sum("others").alias("others"))
     counts = classes.join(others, "set", "left").select(
         "set", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links")
     )
@@ -319,6 +329,16 @@ def linked_documents(documents: DataFrame, cell: int = CELL) -> DataFrame:
 
 def _starred(documents: DataFrame, cell: int) -> tuple[DataFrame, ...]:
     """Steps 1 to 3 of `grouped`: rows, described rows, classes, lists, their centres, and the links with centres."""
+    rows, described, classes, _, lists = _listed(documents, cell)
+    centres = _centres(lists)
+    stars = lists.select("list", F.explode("members").alias("a")).join(centres, "list")
+    stars = stars.select("a", F.col("centre").alias("b")).filter("a <> b").distinct()
+    links = _verified(rows, classes, stars, classes.count())
+    return rows, described, classes, lists, centres, links
+
+
+def _listed(documents: DataFrame, cell: int) -> tuple:
+    """Steps 1 and 2 of `grouped`: rows, described rows, classes, the broadcast counters, lists."""
     spark = documents.sparkSession
     ship(spark)
     text = text_of(documents)
@@ -330,16 +350,11 @@ def _starred(documents: DataFrame, cell: int) -> tuple[DataFrame, ...]:
     described = read.filter("slice is null").select("doc_id", "text_hash", "n", "set", "map")
     classes = described.filter("n > 0").groupBy("set")
     classes = stage(classes.agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("map").alias("map"), F.count("*").alias("copies")))
-    n = classes.count()
     counters = _counters(read.filter("slice is not null").select("slice", "counts"))
     shared = spark.sparkContext.broadcast(counters)
     buckets = max(1, -(-text_bytes(documents) // BUCKET_BYTES))
     lists = stage(_lists(rows, shared, buckets, cell))
-    centres = _centres(lists)
-    stars = lists.select("list", F.explode("members").alias("a")).join(centres, "list")
-    stars = stars.select("a", F.col("centre").alias("b")).filter("a <> b").distinct()
-    links = _verified(rows, classes, stars, n)
-    return rows, described, classes, lists, centres, links
+    return rows, described, classes, shared, lists
 
 
 def _named(described: DataFrame, classes: DataFrame, roots: DataFrame, *more: str) -> DataFrame:
@@ -416,7 +431,10 @@ def prefix(found: np.ndarray, counters: np.ndarray) -> np.ndarray:
 
 
 def _lists(rows: DataFrame, shared, buckets: int, cell: int) -> DataFrame:
-    """`list, members, times`: the classes that share a shingle of their prefixes, and how many shingles have this list."""
+    """`list, members, times, rep`: the classes that share a shingle of their prefixes.
+
+    `times` tells how many shingles (or cells of them) have this list, `rep` is the least of these.
+    """
 
     def flush(tokens: list[np.ndarray], sets: list[int]) -> Iterator[pa.RecordBatch]:
         keys = np.concatenate(tokens)
@@ -474,11 +492,16 @@ def _lists(rows: DataFrame, shared, buckets: int, cell: int) -> DataFrame:
         at = np.repeat(starts[kept] - (np.cumsum(n[kept]) - n[kept]), n[kept]) + np.arange(n[kept].sum())
         bounds = np.concatenate([[0], np.cumsum(n[kept])])
         members = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(sets[at], pa.int64()))
-        return pa.table({"list": pa.array(names[kept].view(np.int64)), "members": members, "times": pa.array(times)})
+        reps = ordered(keys[starts[kept]])  # keys ascend, so the first that has a list is the least
+        return pa.table(
+            {"list": pa.array(names[kept].view(np.int64)), "members": members, "times": pa.array(times), "rep": pa.array(reps)}
+        )
 
     sent = rows.select("text").mapInArrow(send, "bucket long, n long, keys binary, sets binary")
-    met = sent.groupBy("bucket").applyInArrow(meet, "list long, members array<long>, times long")
-    return met.groupBy("list").agg(F.first("members").alias("members"), F.sum("times").alias("times"))
+    met = sent.groupBy("bucket").applyInArrow(meet, "list long, members array<long>, times long, rep long")
+    return met.groupBy("list").agg(
+        F.first("members").alias("members"), F.sum("times").alias("times"), F.min("rep").alias("rep")
+    )
 
 
 def _centres(lists: DataFrame) -> DataFrame:
@@ -644,41 +667,55 @@ def _search(table: pa.Table, per_document: int) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _all_links(
-    rows: DataFrame, lists: DataFrame, centres: DataFrame, classes: DataFrame, stars: DataFrame, about: int
+def _tree_links(
+    rows: DataFrame, lists: DataFrame, classes: DataFrame, shared, cell: int, about: int, pairs: bool
 ) -> DataFrame:
-    """All links (`a, b`, the lesser first) of different classes: those of the stars and those inside the lists.
+    """What signature trees over all lists find: links (`a, b`), or for each class `set, root, others`.
 
     Lists with one centre form a tree, unless that gives too many rows. A tree
     is dealt into parts of bounded rows and bytes, and every two parts meet in
     one unit, each part with itself too. Narrow bitmaps leave the classes that
     may have a link in their unit; their sets are sent there, and what wide
     bitmaps leave of the pairs is compared by whole sets.
+
+    Two classes may meet in several trees. The pair belongs to the tree that has
+    the list of the least key that both prefixes hold. Both sets are at hand in
+    a unit, and its rows carry the least keys of their lists, so a unit knows its
+    own pairs. Of these it returns, without `pairs`, a spanning forest (`root` is
+    a class that links of the unit lead to) and how many documents each class is
+    linked with. That is a row for each class and unit, however many links.
     """
-    members = lists.filter(F.size("members") > 2).select("list", F.explode("members").alias("set"))
-    members = members.join(centres, "list").filter("set <> centre")
-    large = members.groupBy("centre").agg(F.count("*").alias("all")).filter(F.col("all") > TOGETHER)
-    key = F.when(F.col("all").isNull(), F.col("centre")).otherwise(F.col("list")).alias("tree")
-    together = stage(members.join(large, "centre", "left").select(key, "set").distinct(), about)
-    known = classes.select("set", "n", "map")
-    sizes = together.join(known.select("set", "n"), "set").groupBy("tree")
-    sizes = sizes.agg(F.count("*").alias("rows"), F.sum(8 * F.col("n")).alias("bytes")).filter("rows > 1")
+    of_list = lists.join(_centres(lists), "list")
+    large = of_list.groupBy("centre").agg(F.sum(F.size("members")).alias("all")).filter(F.col("all") > TOGETHER)
+    large = F.broadcast(large.select("centre", F.lit(True).alias("alone")))  # a row for 2^20 rows, at most
+    key = F.when(F.col("alone"), F.col("list")).otherwise(F.col("centre")).alias("tree")
+    members = of_list.join(large, "centre", "left").select(key, "rep", F.explode("members").alias("set"))
+    together = stage(members.groupBy("tree", "set").agg(F.collect_list("rep").alias("reps")), about)
+    known = classes.select("set", "n", "map", "copies")
+    sizes = together.select("tree", "set").join(known.select("set", "n"), "set").groupBy("tree")
+    sizes = sizes.agg(F.count("*").alias("rows"), F.sum(8 * F.col("n")).alias("bytes"))
     parts = F.ceil(F.greatest(F.col("rows") / PART_ROWS, F.col("bytes") / PART_BYTES))
-    own = F.pmod(F.xxhash64("set", "tree"), "parts")
-    met = together.join(sizes.select("tree", parts.alias("parts")), "tree").withColumn("own", own)
-    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    wide = stage(sizes.select("tree", parts.alias("parts")).filter("parts > 1"), about)
+    wide = F.broadcast(wide) if wide.count() <= BROADCAST_IDS else wide
+    met = together.join(wide, "tree", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    met = met.withColumn("own", F.pmod(F.xxhash64("set", "tree"), "parts"))
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     unit = ["tree", "low", "high"]
-    met = met.select("tree", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "set")
+    met = met.select(
+        "tree", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "set", "reps"
+    )
 
     def dealt(df: DataFrame) -> DataFrame:
         return df.repartition(*unit).sortWithinPartitions(*unit, "n", "set")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for own in _units(batches, unit):
+            if len(own) < 2:
+                continue
             left, right = candidates(own.column("map").to_pylist(), own.column("n").to_numpy(), _sides(own))
             kept = np.unique(np.concatenate([left, right]))
             if len(kept):
-                yield from own.select([*unit, "own", "set"]).take(pa.array(kept)).to_batches()
+                yield from own.select([*unit, "own", "set", "reps", "copies"]).take(pa.array(kept)).to_batches()
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for own in _units(batches, unit):
@@ -687,17 +724,78 @@ def _all_links(
             left, right = candidates([bitmap(s, WIDE) for s in sets], n, _sides(own))
             both = _shared(sets, left, right)
             kept = 100 * both >= SIMILARITY * (n[left] + n[right] - both)
-            a, b = names[left[kept]], names[right[kept]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            left, right = left[kept], right[kept]
+            if not len(left):
+                continue
+            met_at = _least_common([_keys(s, shared.value, cell) for s in sets], left, right)
+            mine = np.isin(met_at, one_array(own.column("reps")).flatten().to_numpy())
+            left, right = left[mine], right[mine]
+            if pairs:
+                a, b = names[left], names[right]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                continue
+            copies = own.column("copies").to_numpy()
+            others = np.zeros(len(own), np.int64)
+            np.add.at(others, left, copies[right])
+            np.add.at(others, right, copies[left])
+            some = np.unique(np.concatenate([left, right]))
+            roots = names[_roots(len(own), left, right)[some]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names[some]), pa.array(roots), pa.array(others[some])], names=["set", "root", "others"]
+            )
 
-    kinds = "tree long, low long, high long, own long, set long"
-    some = dealt(met.join(known, "set")).select(*unit, "own", "set", "n", "map").mapInArrow(near, kinds)
-    some = stage(some.distinct(), about)
+    kinds = "tree long, low long, high long, own long, set long, reps array<long>, copies long"
+    some = dealt(met.join(known, "set")).select(*unit, "own", "set", "n", "map", "reps", "copies").mapInArrow(near, kinds)
+    some = stage(some, about)
     needed = stage(some.select("set").distinct().join(classes, "set").select("set", "first_id"), about)
     sets = _sets(rows, needed, "found")
-    whole = dealt(some.join(sets, "set")).select(*unit, "own", "set", "n", "found")
-    links = whole.mapInArrow(linked, "a long, b long")
-    return stage(links.union(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct())
+    whole = dealt(some.join(sets, "set")).select(*unit, "own", "set", "n", "found", "reps", "copies")
+    return stage(whole.mapInArrow(linked, "a long, b long" if pairs else "set long, root long, others long"))
+
+
+def _keys(found: np.ndarray, counters: np.ndarray, cell: int) -> np.ndarray:
+    """The keys of the lists that a set is in, ordered as `rep` is."""
+    keys = prefix(found, counters)
+    return ordered(_dealt(keys, np.full(len(keys), set_id(found), np.int64), counters, cell)[0])
+
+
+def _least_common(keys: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The least key that both of each pair have; linked pairs have one."""
+    distinct, codes = np.unique(np.concatenate(keys), return_inverse=True)
+    sizes = np.array([len(k) for k in keys])
+    codes = np.split(codes, np.cumsum(sizes)[:-1])
+    none = len(distinct)
+    seen = np.full(none, none, np.int64)
+    least = np.empty(len(left), np.int64)
+    for own, at in _by_left(left):
+        seen[codes[own]] = codes[own]
+        theirs = right[at]
+        starts = np.cumsum(sizes[theirs]) - sizes[theirs]
+        least[at] = np.minimum.reduceat(seen[np.concatenate([codes[i] for i in theirs.tolist()])], starts)
+        seen[codes[own]] = none
+    return distinct[least]
+
+
+def _by_left(left: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each left place, and where its pairs are."""
+    order = np.argsort(left, kind="stable")
+    cuts = np.append(np.flatnonzero(np.diff(left[order], prepend=-1)), len(order))
+    for start, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        yield int(left[order[start]]), order[start:end]
+
+
+def _roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """For each of n places the least place that links lead to."""
+    roots = np.arange(n)
+    while True:
+        least = np.minimum(roots[left], roots[right])
+        new = roots.copy()
+        np.minimum.at(new, roots[left], least)
+        np.minimum.at(new, roots[right], least)
+        new = new[new]
+        if (new == roots).all():
+            return roots
+        roots = new
 
 
 def _units(batches: Iterator[pa.RecordBatch], unit: list[str]) -> Iterator[pa.Table]:
@@ -736,12 +834,37 @@ def _shared(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.n
     sizes = np.array([len(s) for s in sets])
     codes = np.split(codes, np.cumsum(sizes)[:-1])
     seen = np.zeros(1 + max(int(c.max()) for c in codes), np.int32)
-    order = np.argsort(left, kind="stable")
-    cuts = np.append(np.flatnonzero(np.diff(left[order], prepend=-1)), len(order))
-    for start, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        own, theirs = codes[left[order[start]]], right[order[start:end]]
-        seen[own] = 1
+    for own, at in _by_left(left):
+        theirs = right[at]
+        seen[codes[own]] = 1
         starts = np.cumsum(sizes[theirs]) - sizes[theirs]
-        both[order[start:end]] = np.add.reduceat(seen[np.concatenate([codes[i] for i in theirs.tolist()])], starts)
-        seen[own] = 0
+        both[at] = np.add.reduceat(seen[np.concatenate([codes[i] for i in theirs.tolist()])], starts)
+        seen[codes[own]] = 0
     return both
+
+
+SQL = r"""
+WITH RECURSIVE tokens AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT row, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE
+    list_distinct([array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s
+  FROM tokens),
+classes AS (
+  SELECT row_number() OVER () AS class, s, len(s) AS n, count(*) AS copies, min(doc_id) AS first_id
+  FROM (SELECT row, doc_id, list_sort(s) AS s FROM sets) WHERE len(s) > 0 GROUP BY s),
+shingles AS (SELECT class, n, unnest(s) AS shingle FROM classes),
+links AS (
+  SELECT a.class AS a, b.class AS b FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.class <> b.class
+  AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.class, b.class, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT class AS a, class AS b FROM classes UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT reach.a AS class, min(first_id) AS component_id FROM reach JOIN classes ON reach.b = class GROUP BY reach.a),
+others AS (SELECT a AS class, sum(copies) AS others FROM links JOIN classes ON b = class GROUP BY a)
+SELECT doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+  CAST(coalesce(copies - 1 + coalesce(others, 0), 0) AS BIGINT) AS n_links
+FROM sets LEFT JOIN classes ON list_sort(sets.s) = classes.s LEFT JOIN least USING (class) LEFT JOIN others USING (class)
+"""
