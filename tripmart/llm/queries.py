@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import mixing, segments
+from tripmart.llm import mixing, phrases, segments, sigtree
 from tripmart.llm.common import table
 from tripmart.llm.lm import score_documents
 from tripmart.llm.mixing import mix
+from tripmart.llm.phrases import collocations
 from tripmart.llm.quality import score_quality
 from tripmart.llm.sharding import shard_documents
 from tripmart.llm.segments import top_k
@@ -42,8 +43,14 @@ def queries() -> dict[str, Query]:
         "op8_quality": _with_labels(score_quality),
         "op9_token_counts": _on_documents(count_tokens),
         "op10_top_k": lambda spark, sf_dir: top_k(table(spark, sf_dir, "embeddings")),
+        "op11_phrases": _on_documents(collocations),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.SQL, "op10_top_k": segments.SQL}
+    return {
+        "op2_mixing": mixing.SQL,
+        "op3_jaccard_join": sigtree.SQL,
+        "op10_top_k": segments.SQL,
+        "op11_phrases": phrases.SQL,
+    }
