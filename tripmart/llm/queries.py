@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.llm import mixing, phrases, segments, sigtree
+from tripmart.llm.alignment import align
 from tripmart.llm.common import table
 from tripmart.llm.lm import score_documents
 from tripmart.llm.mixing import mix
@@ -44,6 +45,7 @@ def queries() -> dict[str, Query]:
         "op9_token_counts": _on_documents(count_tokens),
         "op10_top_k": lambda spark, sf_dir: top_k(table(spark, sf_dir, "embeddings")),
         "op11_phrases": _on_documents(collocations),
+        "op12_alignment": _on_documents(align),
     }
 
 
