@@ -1,0 +1,117 @@
+"""Graph search against brute force."""
+
+from __future__ import annotations
+
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tripmart.llm.graph import Graph, nearest
+
+KIND = "vec_id long, embedding array<float>"
+
+
+def brute(df, k, step):
+    """Query and its vector, and the best others, added up in double precision from the first component on."""
+    rows = {(r["vec_id"], tuple(r["embedding"])) for r in df.select("vec_id", "embedding").collect() if usable(r)}
+    found = {}
+    for q, v in rows:
+        if q % step == 0:
+            scored = []
+            for i, w in rows:
+                if i != q and len(w) == len(v):
+                    total = 0.0
+                    for x, y in zip(v, w, strict=True):
+                        total += x * y
+                    scored.append((-total, i))
+            found[q, v] = [(r, i, -s) for r, (s, i) in enumerate(sorted(scored)[:k], 1)]
+    return found
+
+
+def usable(row):
+    v = row["embedding"]
+    good = row["vec_id"] is not None and v and all(x is not None and np.isfinite(x) for x in v)
+    return bool(good and any(v))
+
+
+def answers(df):
+    """Answers by query; queries of one id that differ in their vectors are told apart by where ranks begin anew."""
+    found = defaultdict(list)
+    for r in df.orderBy("query_id", "rank").collect():
+        found[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    return found
+
+
+def recall(found, exact):
+    wanted = {(q, i) for (q, _), rows in exact.items() for _, i, _ in rows}
+    return len(wanted & {(q, i) for q, rows in found.items() for _, i, _ in rows}) / len(wanted)
+
+
+@pytest.mark.parametrize("folder, shard_rows", [("sf0.01", 1 << 16), ("sf0.1", 1 << 16), ("sf0.1", 300)])
+def test_recall_and_scores(spark, folder, shard_rows):
+    df = spark.read.parquet(f"/root/testdata/{folder}/embeddings.parquet")
+    exact = brute(df, 20, 20)
+    found = answers(nearest(df, shard_rows=shard_rows))
+    assert set(found) == {q for q, _ in exact}
+    assert recall(found, exact) >= 0.95
+    scores = {(q, i): s for (q, _), rows in exact.items() for _, i, s in rows}
+    for q, rows in found.items():
+        assert [r for r, *_ in rows] == list(range(1, 21))
+        assert rows == sorted(rows, key=lambda r: (-r[2], r[1]))
+        assert all(scores.get((q, i), s) == s for _, i, s in rows)
+
+
+def test_awkward_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    some = [(i, [float(i % 7), 1.0, float(i % 3)]) for i in range(60)]
+    odd = [(None, [1.0, 2.0, 3.0]), (61, None), (62, []), (63, [0.0, -0.0, 0.0]), (64, [1.0, None, 2.0]), (65, [1.0, nan, 2.0])]
+    odd += [(66, [inf, 1.0, 1.0]), (100, [2.0, 1.0]), (101, [1.0, 5.0]), (3, [3.0, 1.0, 0.0]), (-20, [1.0, 1.0, -1.0])]
+    df = spark.createDataFrame(some + odd, KIND).withColumns({c: F.lit("x") for c in ("shard", "dim", "ids", "rank", "score")})
+    exact = {q: rows for (q, _), rows in brute(df, 5, 20).items()}
+    assert answers(nearest(df.repartition(3), k=5)) == exact
+    assert nearest(df.limit(0)).collect() == []
+
+
+def test_copies_of_one_vector(spark):
+    """A third of all rows have one vector; the smallest ids win."""
+    generator = np.random.default_rng(3)
+    others = generator.standard_normal((400, 8)).astype(np.float32)
+    rows = [(i, [1.0] * 8 if i % 3 == 0 else [float(x) for x in others[i]]) for i in range(400)]
+    df = spark.createDataFrame(rows, KIND)
+    exact = {q: rows for (q, _), rows in brute(df, 20, 20).items()}
+    found = answers(nearest(df.union(df), beam=200, shard_rows=100))
+    assert found == exact
+
+
+def test_graph_reaches_every_node_and_keeps_its_degree():
+    generator = np.random.default_rng(5)
+    centres = generator.standard_normal((12, 16)) * 8
+    vectors = (centres[generator.integers(0, 12, 900)] + generator.standard_normal((900, 16))).astype(np.float32)
+    graph = Graph.built(vectors, degree=8, beam=24, relaxed=1.2)
+    assert graph.edges.shape == (900, 8)
+    for i, edges in enumerate(graph.edges):
+        there = edges[edges >= 0]
+        assert len(set(there.tolist())) == len(there) and i not in there
+    reached, wave = set(graph.entries.tolist()), set(graph.entries.tolist())
+    while wave:
+        wave = {j for i in wave for j in graph.edges[i].tolist() if j >= 0} - reached
+        reached |= wave
+    assert len(reached) == 900
+
+
+def test_pruning_is_that_of_a_plain_loop():
+    generator = np.random.default_rng(7)
+    vectors = generator.standard_normal((50, 4)).astype(np.float32)
+    graph = Graph(vectors, np.full((50, 6), -1, np.int32), np.array([0]))
+    proposed = np.tile(np.arange(50), (50, 1))
+    found = graph._pruned(np.arange(50), proposed, 1.2)
+    far = ((vectors[:, None].astype(float) - vectors[None]) ** 2).sum(axis=2)
+    for i in range(50):
+        rest = [j for j in np.argsort(far[i], kind="stable")[:25].tolist() if j != i][:24]
+        kept = []
+        while rest and len(kept) < 6:
+            kept.append(rest[0])
+            rest = [j for j in rest[1:] if 1.44 * far[kept[-1], j] > far[i, j]]
+        assert [j for j in found[i].tolist() if j >= 0] == kept

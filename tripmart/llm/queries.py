@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmart.llm import mixing, phrases, segments, sigtree
 from tripmart.llm.alignment import align
 from tripmart.llm.common import table
+from tripmart.llm.graph import nearest
 from tripmart.llm.lm import score_documents
 from tripmart.llm.mixing import mix
 from tripmart.llm.phrases import collocations
@@ -46,6 +47,7 @@ def queries() -> dict[str, Query]:
         "op10_top_k": lambda spark, sf_dir: top_k(table(spark, sf_dir, "embeddings")),
         "op11_phrases": _on_documents(collocations),
         "op12_alignment": _on_documents(align),
+        "op13_nearest": lambda spark, sf_dir: nearest(table(spark, sf_dir, "embeddings")),
     }
 
 
