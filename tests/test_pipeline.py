@@ -15,11 +15,13 @@ from tripmart.operators import duplicate_rows, verify_tables
 from tripmart.plans import load, open_star, reports, run
 from tripmart.plans.pipeline import prepare_times
 from tripmart.schema import STAR_TABLES, TRIP_TYPES
+from tripmart.sinks import tables, versions
 from tripmart.sinks import (
     append_missing,
-    check_layout,
     path_exists,
     read_saved,
+    register_all,
+    replace_partition,
     save_table,
     save_tables,
     shared_folder,
@@ -262,7 +264,7 @@ def test_a_load_that_fails_midway_keeps_the_old_rows(spark, trips, months, tmp_p
     with pytest.raises(Exception, match="broken"):
         save_table(failing(spark, trips), "fact_trips", plain)
     assert saved_rows(spark, plain) == before
-    assert not [f.name for f in Path(plain).iterdir() if f.name.startswith("_new-dim")]
+    assert all(len(list(Path(plain, name).iterdir())) == 1 for name in (*STAR_TABLES, "duplicate_trips"))
 
 
 def test_lookups_are_checked_before_the_fact_is_replaced(spark, trips, tmp_path):
@@ -283,15 +285,6 @@ def test_a_load_without_a_needed_column_starts_no_job(spark, trips, tmp_path):
     spark.sparkContext.setJobGroup("tests", "tests")
 
 
-def test_a_swap_that_was_cut_off_is_undone(spark, trips, months):
-    base, before = months
-    month = Path(base) / "fact_trips/trip_year=2021/trip_month=8"
-    month.rename(month.with_name(".old-trip_month=8"))
-    assert saved_rows(spark, base)["fact_trips"] < before["fact_trips"]
-    check_layout(spark, "fact_trips", base, partitioned=True)
-    assert saved_rows(spark, base) == before
-
-
 def test_months_of_other_types_are_refused(spark, trips, months):
     base, before = months
     with pytest.raises(ValueError, match="would change"):
@@ -333,6 +326,108 @@ def test_only_the_months_that_change_are_read(spark, trips, tmp_path):
     assert prepared.added == [{"pickup_year": 1995, "pickup_month": 3}]
 
 
+# One switch for all tables
+
+
+def told(tables):
+    """What two reports say, of which one joins the time dimension; they agree within one load."""
+    hours = rows(reports.busiest_hours(tables))
+    assert hours == rows(reports.busiest_hours_by_join(tables))
+    return hours, {name: tables[name].count() for name in STAR_TABLES}
+
+
+@pytest.mark.parametrize("by_month", [False, True])
+def test_a_load_that_fails_anywhere_shows_the_old_tables_or_the_new(spark, trips, tmp_path, monkeypatch, by_month):
+    """Every call that changes files or the catalog fails once, before and after it has done its work."""
+    zones, month = sample_zones(spark, SF_SMALL), {"load_month": (2021, 8)} if by_month else {}
+    expected = []
+    for i, n in enumerate((300, 700)):
+        made = load(spark, trips.limit(n), zones, str(tmp_path / f"alone{i}"), **month)
+        expected.append(told(open_star(spark, base_path=str(tmp_path / f"alone{i}"))))
+        assert made.tables["fact_trips"].count() == expected[i][1]["fact_trips"]
+    places = [(versions, "move_new", False), (versions, "move_new", True), (tables, "register_table", False)]
+    if not by_month:
+        places += [(versions, "write_text", True), (versions, "delete_path", False)]
+    seen = set()
+    for at, (module, name, after) in enumerate(places):
+        base, schema = str(tmp_path / f"mart{at}{after}"), f"mart_fails_{int(by_month)}_{at}_{int(after)}"
+        load(spark, trips.limit(300), zones, base, schema, **month)
+        begun = open_star(spark, base_path=base)
+        work = getattr(module, name)
+
+        def broken(*args, work=work, after=after, **more):
+            if after:
+                work(*args, **more)
+            raise OSError("broken")
+
+        monkeypatch.setattr(module, name, broken)
+        try:
+            load(spark, trips.limit(700), zones, base, schema, **month)
+        except OSError:
+            pass
+        monkeypatch.undo()
+        found = told(open_star(spark, base_path=base))
+        assert found in expected
+        seen.add((name, after, expected.index(found)))
+        assert told(begun) == expected[0]  # a reader that had begun goes on with its tables
+        register_all(spark, base, schema)
+        assert told(open_star(spark, schema=schema)) == found
+        load(spark, trips.limit(700), zones, base, schema, **month)
+        assert told(open_star(spark, schema=schema)) == told(open_star(spark, base_path=base)) == expected[1]
+    assert {("move_new", False, 0), ("move_new", True, 1), ("register_table", False, 1)} <= seen
+
+
+def test_old_versions_go_with_the_load_after_next(spark, tmp_path):
+    base = str(tmp_path)
+    for n in (1, 2, 3, 4):
+        save_tables({"one": spark.range(n), "two": spark.range(n)}, base)
+        assert len(list(Path(base, "one").iterdir())) == min(n, 2)
+    assert len([f for f in Path(base, "_loads").iterdir() if f.suffix == ".json"]) == 2
+    (Path(base, "one") / "__version=left-by-a-process-that-died").mkdir()
+    save_table(spark.range(9), "one", base)
+    assert read_saved(spark, f"{base}/one").count() == 9 and read_saved(spark, f"{base}/two").count() == 4
+    assert len(list(Path(base, "one").iterdir())) == 2 and len(list(Path(base, "two").iterdir())) == 1
+
+
+def test_a_switch_that_another_load_has_overtaken_fails(spark, tmp_path):
+    base = str(tmp_path)
+    save_table(spark.range(3), "t", base)
+    before = versions.current(spark, base)
+    save_table(spark.range(4), "t", base)
+    with pytest.raises(Exception, match="(?i)exist"):
+        versions.switch(spark, base, before, before.tables)
+    assert read_saved(spark, f"{base}/t").count() == 4
+
+
+def test_partitions_of_many_versions_are_one_scan(spark, tmp_path):
+    base, kept = str(tmp_path), {}
+    for i, part in enumerate([1, 2, 3, 2, 4, 2]):
+        kept[part] = i
+        df = spark.range(5).withColumn("i", F.lit(i))
+        whole = replace_partition(df, {"p": part}, "parts", base, "sink_parts")
+        for found in (whole, spark.table("sink_parts.parts"), read_saved(spark, f"{base}/parts")):
+            assert rows(found.select("p", "i").distinct()) == sorted(kept.items())
+            assert found.count() == 5 * len(kept) and found.columns == ["id", "i", "p"]
+    plan = whole.filter("p = 3")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(p" in plan and "Union" not in plan
+
+
+def test_files_that_no_load_has_listed_are_refused(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/old")
+    with pytest.raises(ValueError, match="not a version"):
+        save_table(spark.range(2), "old", str(tmp_path))
+
+
+def test_open_star_runs_no_job(spark, trips, tmp_path):
+    load(spark, trips.limit(100), sample_zones(spark, SF_SMALL), str(tmp_path))
+    spark.sparkContext.setJobGroup("opening", "opening")
+    open_star(spark, base_path=str(tmp_path))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("opening")
+    spark.sparkContext.setJobGroup("tests", "tests")
+    with pytest.raises(FileNotFoundError, match="no table"):
+        open_star(spark, base_path=str(tmp_path / "nowhere"))
+
+
 # Catalog entries
 
 

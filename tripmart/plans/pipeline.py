@@ -26,6 +26,7 @@ from tripmart.schema import (
 )
 from tripmart.sinks import (
     Prepared,
+    check_catalog,
     check_columns,
     check_layout,
     discard,
@@ -34,6 +35,7 @@ from tripmart.sinks import (
     prepare_partitions,
     prepare_table,
     put_in_place,
+    read_all,
     read_saved,
     staging_folder,
     table_path,
@@ -126,8 +128,8 @@ def load(
     raw trips are read and shuffled once: distinct rows with their counts go to
     a staging table, and the quality figures, the duplicates and the fact are
     column-pruned scans of it. The time dimension comes from the written fact.
-    All tables are complete beside their places before the first one is put
-    there. Loads into one base path must not overlap.
+    All tables are complete before one move switches to them, so a reader sees
+    all tables of one load. Loads into one base path must not overlap.
     """
     time_zone = time_zone or spark.conf.get("spark.sql.session.timeZone")
     partition = dict(zip(LOAD_MONTH, load_month, strict=True)) if load_month else None
@@ -136,7 +138,7 @@ def load(
         "dim_rate_code": dim_rate_code(spark),
         "dim_taxi_zone": zones,
     }
-    _check(raw, lookups, base_path, fmt, partition, time_zone)
+    _check(raw, lookups, base_path, schema, fmt, partition, time_zone)
 
     prepared: list[Prepared] = []
     try:
@@ -158,22 +160,24 @@ def load(
         else:
             prepared.append(prepare_times(fact, partition, base_path, fmt))
         prepared += [prepare_table(df, name, base_path, fmt) for name, df in lookups.items()]
-        tables = {p.name: put_in_place(p, schema) for p in prepared}
-    finally:
-        for left in prepared:
-            discard(left)
-    return PipelineResult(tables, quality)
+    except BaseException:
+        discard(prepared)
+        raise
+    return PipelineResult(put_in_place(prepared, schema), quality)
 
 
 def open_star(
     spark: SparkSession, schema: str | None = None, base_path: str | None = None, fmt: str = "parquet"
 ) -> dict[str, DataFrame]:
-    """The saved star schema by table name, from a catalog schema or from its folder, for reports without a load."""
+    """The saved star schema by table name, from a catalog schema or from its folder, for reports without a load.
+
+    From a folder all tables are of one load. No job is run to find their columns.
+    """
     if (schema is None) == (base_path is None):
         raise ValueError("give a schema or a base path")
     if schema is not None:
         return {name: spark.table(f"{quoted(schema)}.{quoted(name)}") for name in STAR_TABLES}
-    return {name: spark.read.format(fmt).load(table_path(base_path, name)) for name in STAR_TABLES}
+    return read_all(spark, base_path, STAR_TABLES, fmt)
 
 
 def _fact(distinct_trips: DataFrame, time_zone: str) -> DataFrame:
@@ -184,12 +188,14 @@ def _check(
     raw: DataFrame,
     lookups: dict[str, DataFrame],
     base_path: str,
+    schema: str | None,
     fmt: str,
     partition: dict[str, int] | None,
     time_zone: str,
 ) -> None:
     """Everything that can be refused without reading trips."""
     spark = raw.sparkSession
+    check_catalog(spark, schema, (*STAR_TABLES, DUPLICATES_TABLE))
     columns = {"fact_trips": _fact(raw, time_zone), DUPLICATES_TABLE: zoneless(raw, time_zone)}
     for name in (*columns, "dim_time"):
         check_layout(spark, name, base_path, fmt, partitioned=partition is not None)

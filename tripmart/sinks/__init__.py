@@ -3,6 +3,7 @@ from tripmart.sinks.staging import new_folder, shared_folder, staging_folder, wr
 from tripmart.sinks.tables import (
     Prepared,
     append_missing,
+    check_catalog,
     check_columns,
     check_layout,
     create_schema,
@@ -12,7 +13,9 @@ from tripmart.sinks.tables import (
     prepare_partitions,
     prepare_table,
     put_in_place,
+    read_all,
     read_saved,
+    register_all,
     register_table,
     replace_partition,
     save_table,
@@ -24,6 +27,7 @@ from tripmart.sinks.tables import (
 __all__ = [
     "Prepared",
     "append_missing",
+    "check_catalog",
     "check_columns",
     "check_layout",
     "create_schema",
@@ -37,7 +41,9 @@ __all__ = [
     "prepare_partitions",
     "prepare_table",
     "put_in_place",
+    "read_all",
     "read_saved",
+    "register_all",
     "register_table",
     "replace_partition",
     "save_table",

@@ -27,14 +27,8 @@ def delete_path(spark: SparkSession, path: str) -> None:
     _deletion(spark, path)()
 
 
-def make_folder(spark: SparkSession, path: str) -> None:
-    """Make a folder and those above it, if they are not there."""
-    hadoop_path, file_system = _resolve(spark, path)
-    file_system.mkdirs(hadoop_path)
-
-
-def folders_at(spark: SparkSession, path: str, depth: int) -> list[str]:
-    """Names of the folders `depth` levels below `path`, relative to it, without hidden ones."""
+def folders_at(spark: SparkSession, path: str, depth: int, hidden: bool = False) -> list[str]:
+    """Names of the folders `depth` levels below `path`, relative to it, without hidden ones unless asked for."""
     hadoop_path, file_system = _resolve(spark, path)
     found = [("", hadoop_path)]
     for _ in range(depth):
@@ -42,61 +36,46 @@ def folders_at(spark: SparkSession, path: str, depth: int) -> list[str]:
         for name, folder in found:
             for status in file_system.listStatus(folder) if file_system.exists(folder) else ():
                 own = status.getPath().getName()
-                if status.isDirectory() and own[0] not in "._":
+                if status.isDirectory() and (hidden or own[0] not in "._"):
                     below.append((f"{name}/{own}".lstrip("/"), status.getPath()))
         found = below
     return [name for name, _ in found]
 
 
-def swap_in(spark: SparkSession, new: str, target: str) -> None:
-    """Move the complete folder `new` to `target`; what was there is deleted last.
-
-    The old folder is first moved aside, under a name that readers ignore. If
-    the new one cannot take its place, the old one goes back; if the process
-    ends in between, `recover` puts it back.
-    """
-    new_path, file_system = _resolve(spark, new)
-    target_path, _ = _resolve(spark, target)
-    aside, _ = _resolve(spark, _aside(target))
-    file_system.mkdirs(target_path.getParent())
-    had = file_system.exists(target_path)
-    if had and not file_system.rename(target_path, aside):
-        raise OSError(f"{target} could not be moved aside")
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder; none if there is no such folder."""
+    hadoop_path, file_system = _resolve(spark, folder)
+    statuses = file_system.listStatus(hadoop_path) if file_system.exists(hadoop_path) else ()
+    return [s.getPath().getName() for s in statuses if s.isFile()]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    hadoop_path, file_system = _resolve(spark, path)
+    stream = file_system.open(hadoop_path)
     try:
-        moved = file_system.rename(new_path, target_path)
-    except Exception:
-        moved = False
-    if not moved:
-        if had:
-            file_system.rename(aside, target_path)
-        raise OSError(f"{new} could not be moved to {target}")
-    if had:
-        file_system.delete(aside, True)
-
-
-def recover(spark: SparkSession, target: str) -> None:
-    """Undo a swap at `target` that was cut off: put the old folder back, or delete it if the new one is in place."""
-    target_path, file_system = _resolve(spark, target)
-    aside, _ = _resolve(spark, _aside(target))
-    if file_system.exists(aside):
-        if file_system.exists(target_path):
-            file_system.delete(aside, True)
-        else:
-            file_system.rename(aside, target_path)
-
-
-def recover_below(spark: SparkSession, path: str) -> None:
-    """`recover` for the partitions of the table at `path`."""
-    hadoop_path, file_system = _resolve(spark, f"{path}/*/.old-*")
-    for status in file_system.globStatus(hadoop_path) or ():
-        aside = status.getPath()
-        name = aside.getName().removeprefix(".old-")
-        recover(spark, f"{aside.getParent().toString()}/{name}")
-
-
-def _aside(target: str) -> str:
-    folder, _, name = target.rstrip("/").rpartition("/")
-    return f"{folder}/.old-{name}"
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, with the folders above it."""
+    hadoop_path, file_system = _resolve(spark, path)
+    stream = file_system.create(hadoop_path, False)
+    stream.write(text.encode())
+    stream.close()
+
+
+def move_new(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a file to a name that must be free; one step on file systems that can rename."""
+    jvm = spark._jvm
+    source, _ = _resolve(spark, path)
+    goal, file_system = _resolve(spark, target)
+    uri = file_system.makeQualified(goal).toUri()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(uri, spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    context.rename(file_system.makeQualified(source), file_system.makeQualified(goal), options)
 
 
 def delete_at_exit(spark: SparkSession, path: str) -> None:

@@ -1,31 +1,23 @@
 """Writing tables and registering them in the catalog.
 
-A table is first written whole to a folder beside its place, under a name that
-readers ignore. When everything of a load is complete, the folders are moved to
-their places, and what was there is deleted last. Two loads into one base path
-must not overlap.
+A table is first written whole to a version folder that nothing reads yet. When
+everything of a load is complete, one file that lists the folders of all tables
+is put in place (see `versions`), and the catalog follows it. Two loads into one
+base path must not overlap.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.schema import quoted
-from tripmart.sinks.files import (
-    delete_path,
-    folders_at,
-    holds_files,
-    make_folder,
-    path_exists,
-    recover,
-    recover_below,
-    swap_in,
-)
+from tripmart.sinks import versions
+from tripmart.sinks.files import delete_path, folders_at, holds_files, path_exists
+from tripmart.sinks.versions import Manifest, Saved
 
 # Formats that keep their own columns, versions and partitions beside the data.
 SELF_DESCRIBING = ("delta", "iceberg")
@@ -40,47 +32,72 @@ def table_path(base_path: str, name: str) -> str:
 
 
 def read_saved(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """The table at `path`, or None if nothing has been written there."""
-    there = path_exists(spark, path) if fmt in SELF_DESCRIBING else holds_files(spark, path, "[^._]*")
-    return spark.read.format(fmt).load(path) if there else None
+    """The table whose place is `path`, as the last load has left it, or None if there is none."""
+    if fmt in SELF_DESCRIBING:
+        return spark.read.format(fmt).load(path) if path_exists(spark, path) else None
+    base_path, _, name = path.rstrip("/").rpartition("/")
+    saved = versions.current(spark, base_path).tables.get(name)
+    return versions.read_version(spark, base_path, name, saved) if saved else None
+
+
+def read_all(spark: SparkSession, base_path: str, names: Iterable[str], fmt: str = "parquet") -> dict[str, DataFrame]:
+    """Several tables of one base path, all as the same load has left them."""
+    if fmt in SELF_DESCRIBING:
+        return {name: spark.read.format(fmt).load(table_path(base_path, name)) for name in names}
+    held = versions.current(spark, base_path).tables
+    if missing := [name for name in names if name not in held]:
+        raise FileNotFoundError(f"no table {', '.join(missing)} under {base_path}")
+    return {name: versions.read_version(spark, base_path, name, held[name]) for name in names}
 
 
 @dataclass(frozen=True)
 class Prepared:
-    """A table, or partitions of it, complete beside the place it will take."""
+    """A table, or partitions of it, complete in a version folder; `parts` are its folders by partition."""
 
     rows: DataFrame
     name: str
-    path: str
+    base_path: str
     fmt: str
-    moves: list[tuple[str, str]] = field(default_factory=list)
+    parts: dict[str, str] = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
     added: list[dict[str, object]] = field(default_factory=list)
     removed: list[dict[str, object]] = field(default_factory=list)
-    beside: str | None = None
+    version: str | None = None
+
+    @property
+    def path(self) -> str:
+        return table_path(self.base_path, self.name)
 
     def read(self) -> DataFrame:
         """The prepared rows as written; rows of self-describing formats are written only by `put_in_place`."""
-        if not self.moves:
-            return self.rows
-        columns = [f for f in self.rows.schema.fields if f.name not in self.partition_by]
-        reader = self.rows.sparkSession.read.format(self.fmt)
-        return reader.schema(type(self.rows.schema)(columns)).load([new for new, _ in self.moves])
+        return versions.read_version(self.rows.sparkSession, self.base_path, self.name, self.saved()) if self.version else self.rows
+
+    def saved(self, before: Saved | None = None) -> Saved:
+        """The whole table with what was prepared in it."""
+        written = {self.version: len(self.parts)}
+        new = Saved(self.fmt, self.rows.schema.json(), self.partition_by, self.parts, written)
+        if not self.partition_by or before is None:
+            return new
+        gone = {_folder(p) for p in (*self.added, *self.removed)}
+        parts = {**{k: v for k, v in before.parts.items() if k not in gone}, **self.parts}
+        return replace(new, parts=parts, written=before.written | written)
 
 
 def check_layout(
     spark: SparkSession, name: str, base_path: str, fmt: str = "parquet", partitioned: bool = False
 ) -> None:
-    """Refuse a plain table where partitions lie, and partitions where a plain table lies.
-
-    A swap that was cut off is undone first.
-    """
+    """Refuse a plain table where partitions lie, and partitions where a plain table lies."""
     path = table_path(base_path, name)
-    recover(spark, path)
-    recover_below(spark, path)
-    if partitioned and fmt not in SELF_DESCRIBING and holds_files(spark, path, "part-*"):
+    if fmt in SELF_DESCRIBING:
+        if not partitioned and any("=" in folder for folder in folders_at(spark, path, 1)):
+            raise ValueError(f"{path} holds partitions, which a plain load would delete; choose another folder")
+        return
+    if holds_files(spark, path, "part-*"):
+        raise ValueError(f"{path} holds files that are not a version of a table; choose another folder")
+    saved = versions.current(spark, base_path).tables.get(name)
+    if saved and partitioned and not saved.partition_by:
         raise ValueError(f"{path} holds a table without partitions; choose another folder")
-    if not partitioned and any("=" in folder for folder in folders_at(spark, path, 1)):
+    if saved and not partitioned and saved.partition_by:
         raise ValueError(f"{path} holds partitions, which a plain load would delete; choose another folder")
 
 
@@ -96,31 +113,36 @@ def check_columns(df: DataFrame, name: str, base_path: str, fmt: str = "parquet"
         raise ValueError(f"columns of {path} would change: {columns(old)} to {columns(df)}")
 
 
+def check_catalog(spark: SparkSession, schema: str | None, names: Iterable[str]) -> None:
+    """Refuse a catalog schema that has managed tables of these names."""
+    for name in names if schema is not None else ():
+        _registered(spark, f"{quoted(schema)}.{quoted(name)}")
+
+
 def prepare_table(df: DataFrame, name: str, base_path: str, fmt: str = "parquet") -> Prepared:
-    """Write a whole table beside its place."""
-    path = table_path(base_path, name)
+    """Write a whole table as a new version."""
     if fmt in SELF_DESCRIBING:
-        return Prepared(df, name, path, fmt)
-    new = _beside(base_path, name)
-    df.write.format(fmt).save(new)
-    return Prepared(df, name, path, fmt, [(new, path)], beside=new)
+        return Prepared(df, name, base_path, fmt)
+    folder, path = versions.new_version(base_path, name)
+    _write(df.write.format(fmt), df.sparkSession, path)
+    return Prepared(df, name, base_path, fmt, {"": folder}, version=folder)
 
 
 def prepare_partition(
     df: DataFrame, partition: Mapping[str, int], name: str, base_path: str, fmt: str = "parquet"
 ) -> Prepared:
-    """Write one partition of a table beside its place, even if `df` is empty.
+    """Write one partition of a table as a new version, even if `df` is empty.
 
     Its values are constants, so the write needs no shuffle or sort.
     """
-    path = table_path(base_path, name)
     labelled = df.withColumns({c: F.lit(value) for c, value in partition.items()})
     by, added = tuple(partition), [dict(partition)]
     if fmt in SELF_DESCRIBING:
-        return Prepared(labelled, name, path, fmt, [], by, added)
-    new = _beside(base_path, name)
-    df.write.format(fmt).save(new)
-    return Prepared(labelled, name, path, fmt, [(new, f"{path}/{_folder(partition)}")], by, added, beside=new)
+        return Prepared(labelled, name, base_path, fmt, {}, by, added)
+    folder, path = versions.new_version(base_path, name)
+    own = _folder(partition)
+    _write(df.write.format(fmt), df.sparkSession, path, own)
+    return Prepared(labelled, name, base_path, fmt, {own: f"{folder}/{own}"}, by, added, version=folder)
 
 
 def prepare_partitions(
@@ -131,44 +153,68 @@ def prepare_partitions(
     base_path: str,
     fmt: str = "parquet",
 ) -> Prepared:
-    """Write the partitions in `replaced` beside their places; those without rows will be removed."""
-    path, replaced = table_path(base_path, name), [dict(p) for p in replaced]
-    by = tuple(partition_by)
+    """Write the partitions in `replaced` as a new version; those without rows will be removed."""
+    replaced, by = [dict(p) for p in replaced], tuple(partition_by)
     if fmt in SELF_DESCRIBING:
-        return Prepared(df, name, path, fmt, [], by, replaced)
-    new = _beside(base_path, name)
-    df.write.format(fmt).partitionBy(*by).save(new)
-    written = set(folders_at(df.sparkSession, new, len(by)))
+        return Prepared(df, name, base_path, fmt, {}, by, replaced)
+    folder, path = versions.new_version(base_path, name)
+    _write(df.write.format(fmt).partitionBy(*by), df.sparkSession, path)
+    written = set(folders_at(df.sparkSession, path, len(by)))
     added = [p for p in replaced if _folder(p) in written]
     removed = [p for p in replaced if _folder(p) not in written]
-    moves = [(f"{new}/{_folder(p)}", f"{path}/{_folder(p)}") for p in added]
-    return Prepared(df, name, path, fmt, moves, by, added, removed, new)
+    parts = {_folder(p): f"{folder}/{_folder(p)}" for p in added}
+    return Prepared(df, name, base_path, fmt, parts, by, added, removed, folder)
 
 
-def put_in_place(prepared: Prepared, schema: str | None = None) -> DataFrame:
-    """Move what was prepared to its place, and return the whole table as read back."""
-    spark, fmt = prepared.rows.sparkSession, prepared.fmt
-    if fmt in SELF_DESCRIBING:
-        writer = prepared.rows.write.format(fmt).mode("overwrite")
-        if prepared.partition_by:
-            chosen = " OR ".join(f"({_condition(p)})" for p in prepared.added)
-            writer = writer.option("replaceWhere", chosen).partitionBy(*prepared.partition_by)
-        else:
-            writer = writer.option("overwriteSchema", "true")
-        writer.save(prepared.path)
-    elif prepared.partition_by:
-        make_folder(spark, prepared.path)  # so that a table without any partition can be read
-    for new, target in prepared.moves:
-        swap_in(spark, new, target)
-    for partition in prepared.removed:
-        delete_path(spark, f"{prepared.path}/{_folder(partition)}")
-    return publish(prepared, schema)
-
-
-def discard(prepared: Prepared) -> None:
-    """Delete what was prepared and has not been put in place."""
-    if prepared.beside:
-        delete_path(prepared.rows.sparkSession, prepared.beside)
+def _write(writer: DataFrameWriter, spark: SparkSession, version: str, part: str = "") -> None:
+    """Write a version, or a part of it, and leave nothing if that fails."""
+    try:
+        writer.save(f"{version}/{part}".rstrip("/"))
+    except BaseException:
+        delete_path(spark, version)
+        raise
+
+
+def put_in_place(prepared: Sequence[Prepared], schema: str | None = None) -> dict[str, DataFrame]:
+    """Switch to what was prepared, all tables at once, and return the whole tables as read back.
+
+    They must be of one base path. Formats with their own log are written one by
+    one before. If the switch does not happen, what was prepared is deleted.
+    """
+    spark, base_path = prepared[0].rows.sparkSession, prepared[0].base_path
+    try:
+        for p in prepared:
+            if p.fmt in SELF_DESCRIBING:
+                _overwrite(p)
+        before = versions.current(spark, base_path)
+        new = {p.name: p.saved(before.tables.get(p.name)) for p in prepared if p.version}
+        now = versions.switch(spark, base_path, before, before.tables | new) if new else before
+    except BaseException:
+        discard(prepared)
+        raise
+    found = {p.name: publish(p, now, schema) for p in prepared}
+    if new:
+        versions.clean(spark, base_path, now, before)
+    return found
+
+
+def _overwrite(prepared: Prepared) -> None:
+    writer = prepared.rows.write.format(prepared.fmt).mode("overwrite")
+    if prepared.partition_by:
+        chosen = " OR ".join(f"({_condition(p)})" for p in prepared.added)
+        writer = writer.option("replaceWhere", chosen).partitionBy(*prepared.partition_by)
+    else:
+        writer = writer.option("overwriteSchema", "true")
+    writer.save(prepared.path)
+
+
+def discard(prepared: Iterable[Prepared]) -> None:
+    """Delete what was prepared and is not in place."""
+    for p in prepared:
+        if p.version:
+            spark = p.rows.sparkSession
+            if not versions.current(spark, p.base_path).folders() & set(p.parts.values()):
+                delete_path(spark, f"{p.base_path.rstrip('/')}/{p.version}")
 
 
 def save_tables(
@@ -178,18 +224,24 @@ def save_tables(
     fmt: str = "parquet",
     schema_change: bool = True,
 ) -> dict[str, DataFrame]:
-    """Overwrite each table under `base_path` and return the tables as read back.
+    """Overwrite tables under `base_path`, all at once, and return them as read back.
 
     A temp view is made per table and, given a `schema`, an external catalog
     table. `schema_change=False` refuses to replace a table of other columns.
-    All tables are complete before the first one takes its place.
     """
     for name, df in tables.items():
         check_layout(df.sparkSession, name, base_path, fmt)
+        check_catalog(df.sparkSession, schema, [name])
         if not schema_change:
             check_columns(df, name, base_path, fmt)
-    prepared = [prepare_table(df, name, base_path, fmt) for name, df in tables.items()]
-    return {p.name: put_in_place(p, schema) for p in prepared}
+    prepared: list[Prepared] = []
+    try:
+        for name, df in tables.items():
+            prepared.append(prepare_table(df, name, base_path, fmt))
+    except BaseException:
+        discard(prepared)
+        raise
+    return put_in_place(prepared, schema) if prepared else {}
 
 
 def save_table(
@@ -214,9 +266,10 @@ def replace_partition(
 ) -> DataFrame:
     """Replace one partition of a table and return the whole table; columns and types must stay."""
     check_layout(df.sparkSession, name, base_path, fmt, partitioned=True)
+    check_catalog(df.sparkSession, schema, [name])
     labelled = df.withColumns({c: F.lit(value) for c, value in partition.items()})
     check_columns(labelled, name, base_path, fmt)
-    return put_in_place(prepare_partition(df, partition, name, base_path, fmt), schema)
+    return put_in_place([prepare_partition(df, partition, name, base_path, fmt)], schema)[name]
 
 
 def append_missing(
@@ -230,40 +283,58 @@ def append_missing(
     """Add to a saved plain table the rows whose key it lacks, so the key stays unique.
 
     `df` must be unique on `key` itself and have the table's columns. Running it
-    twice adds nothing. The whole table is compared: for a table that grows with
-    every load, replace the partitions that a load touches instead.
+    twice adds nothing. The whole table is compared and written as a new version:
+    for a table that grows with every load, replace the partitions that a load
+    touches instead.
     """
     path = table_path(base_path, name)
     check_layout(df.sparkSession, name, base_path, fmt)
+    check_catalog(df.sparkSession, schema, [name])
     saved = read_saved(df.sparkSession, path, fmt)
     if saved is not None:
         check_columns(df, name, base_path, fmt)
         known = saved.select(F.col(quoted(key)).alias("__known"))
         # Null-safe equality is still a hash or merge join, and finds a null key again.
-        df = df.join(known, df[quoted(key)].eqNullSafe(known["__known"]), "left_anti")
-    df.write.format(fmt).mode("append").save(path)
-    return publish(Prepared(df, name, path, fmt), schema)
-
-
-def publish(prepared: Prepared, schema: str | None = None) -> DataFrame:
-    """Read back what is in place, as temp view and catalog table too.
-
-    The columns are known, so plain files need no job that infers them.
+        missing = df.join(known, df[quoted(key)].eqNullSafe(known["__known"]), "left_anti")
+        df = saved.unionByName(missing)
+    return put_in_place([prepare_table(df, name, base_path, fmt)], schema)[name]
+
+
+def publish(prepared: Prepared, now: Manifest, schema: str | None = None) -> DataFrame:
+    """Read back what is in place, as temp view and catalog table too."""
+    spark, name, saved = prepared.rows.sparkSession, prepared.name, now.tables.get(prepared.name)
+    if prepared.fmt in SELF_DESCRIBING:
+        whole = read_written(prepared.rows, prepared.path, prepared.fmt)
+    else:
+        whole = versions.read_version(spark, prepared.base_path, name, saved)
+    whole.createOrReplaceTempView(name)
+    if schema is not None and prepared.fmt in SELF_DESCRIBING:
+        register_table(whole, schema, name, prepared.path, prepared.fmt, prepared.partition_by)
+    elif schema is not None:
+        register_saved(whole, schema, name, prepared.base_path, saved)
+    return whole
+
+
+def register_saved(whole: DataFrame, schema: str, name: str, base_path: str, saved: Saved) -> None:
+    """Point `schema.name` at the folders of a version."""
+    base = base_path.rstrip("/")
+    if saved.partition_by:
+        places = {folder: f"{base}/{place}" for folder, place in saved.parts.items()}
+        register_table(whole, schema, name, table_path(base, name), saved.fmt, saved.partition_by, places)
+    else:
+        register_table(whole, schema, name, f"{base}/{saved.parts['']}", saved.fmt)
+
+
+def register_all(spark: SparkSession, base_path: str, schema: str) -> None:
+    """Point a catalog schema at the tables of a base path as the last load has left them.
+
+    For a schema that has fallen behind: a load that ended between its switch
+    and the catalog, or one without a schema.
     """
-    saved = read_written(prepared.rows, prepared.path, prepared.fmt)
-    saved.createOrReplaceTempView(prepared.name)
-    if schema is not None:
-        register_table(
-            saved,
-            schema,
-            prepared.name,
-            prepared.path,
-            prepared.fmt,
-            prepared.partition_by,
-            prepared.added,
-            prepared.removed,
-        )
-    return saved
+    now = versions.current(spark, base_path)
+    check_catalog(spark, schema, now.tables)
+    for name, saved in now.tables.items():
+        register_saved(versions.read_version(spark, base_path, name, saved), schema, name, base_path, saved)
 
 
 def read_written(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
@@ -289,18 +360,17 @@ def register_table(
     path: str,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
-    added: Iterable[Mapping[str, object]] = (),
-    removed: Iterable[Mapping[str, object]] = (),
+    places: Mapping[str, str] | None = None,
 ) -> None:
-    """Point `schema.name` at the files of `saved` in `path`.
+    """Point `schema.name` at the files of `saved` in `path`, and its partitions at their `places`.
 
     An external table of that name stays, with its comment, grants and
     statistics, while columns, format and partitioning are the same: its
-    location is altered if need be, and partitions are added and dropped one by
-    one. Otherwise it is registered anew. A managed table owns its files and is
-    left alone.
+    location is altered if need be, and so are those of partitions. Nobody scans
+    for partitions, and none is missing while its location changes. Otherwise
+    the table is registered anew. A managed table owns its files and is left alone.
     """
-    spark = saved.sparkSession
+    spark, places = saved.sparkSession, places or {}
     create_schema(spark, schema)
     table, where = f"{quoted(schema)}.{quoted(name)}", f"LOCATION '{_literal(path)}'"
     known = _registered(spark, table)
@@ -317,16 +387,26 @@ def register_table(
         by = ", ".join(map(quoted, partition_by))
         partitions = f"PARTITIONED BY ({by})" if plain and partition_by else ""
         spark.sql(f"CREATE TABLE {table} {columns} USING {fmt} {partitions} {where}")
-        if partitions:  # the folders that are there, without a scan of what is in them
-            added = [_values(f) for f in folders_at(spark, path, len(partition_by))]
     if plain and partition_by:
-        for partition in removed:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(partition)})")
-        if listed := " ".join(f"PARTITION ({_spec(p)})" for p in added):
-            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {listed}")
+        _move_partitions(spark, table, places)
     spark.catalog.refreshTable(table)
 
 
+def _move_partitions(spark: SparkSession, table: str, places: Mapping[str, str]) -> None:
+    """Make a catalog table's partitions those of `places`."""
+    held = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    located = lambda f: f"PARTITION ({_spec(_values(f))}) LOCATION '{_literal(places[f])}'"
+    if new := " ".join(located(f) for f in places if f not in held):
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {new}")
+    for folder in held & set(places):
+        at = f"PARTITION ({_spec(_values(folder))})"
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {at}").filter("col_name = 'Location'").first()
+        if described is None or not described["data_type"].endswith(places[folder].rpartition(f"{versions.VERSION}=")[2]):
+            spark.sql(f"ALTER TABLE {table} {at} SET LOCATION '{_literal(places[folder])}'")
+    for folder in held - set(places):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(_values(folder))})")
+
+
 def _registered(spark: SparkSession, table: str) -> dict | None:
     """Columns, format, partitioning and place of an external catalog table."""
     if not spark.catalog.tableExists(table):
@@ -352,10 +432,6 @@ def _registered(spark: SparkSession, table: str) -> dict | None:
     }
 
 
-def _beside(base_path: str, name: str) -> str:
-    return f"{base_path.rstrip('/')}/_new-{name}-{uuid.uuid4().hex}"
-
-
 def _folder(partition: Mapping[str, object]) -> str:
     return "/".join(f"{c}={NULL_PARTITION if v is None else v}" for c, v in partition.items())
 
