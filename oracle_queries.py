@@ -282,5 +282,22 @@ QUERIES = {
 }
 
 
+QUERIES |= {
+    "dedup_by_digest": QUERIES["dedup_rows"],
+    "duplicates_by_digest": QUERIES["duplicate_rows"],
+    "summary_by_digest": QUERIES["duplicate_summary"],
+    "catalog_reports": f"""
+        SELECT 'busiest_hours' AS report, CAST(hour(tpep_pickup_datetime) AS VARCHAR) AS key, count(*) AS trips
+        FROM fact GROUP BY hour(tpep_pickup_datetime)
+        UNION ALL SELECT 'payment_analysis', payment_type_desc, count(*)
+        FROM fact f JOIN dim_payment_type t ON f.payment_type = t.payment_type GROUP BY payment_type_desc
+        UNION ALL SELECT 'pickup_boroughs', borough, count(*)
+        FROM fact JOIN dim_taxi_zone ON PULocationID = CAST(location_id AS BIGINT)
+        WHERE borough IS NOT NULL GROUP BY borough
+        UNION ALL SELECT 'table_counts', table_name, row_count FROM ({QUERIES["table_counts"]})
+    """,
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _sql(query) for name, query in QUERIES.items()}

@@ -1,0 +1,58 @@
+"""Repeated rows by digests against grouping whole rows."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tripmart.operators import (
+    dedup_by_digest,
+    dedup_rows,
+    duplicate_rows,
+    duplicate_summary,
+    duplicates_by_digest,
+    row_digest,
+    row_groups,
+    row_groups_by_digest,
+    summary_by_digest,
+)
+
+PAIRS = [(dedup_by_digest, dedup_rows), (duplicates_by_digest, duplicate_rows), (summary_by_digest, duplicate_summary)]
+
+
+@pytest.mark.parametrize("ours, plain", PAIRS)
+@pytest.mark.parametrize("more", [{}, {"bits": 2}, {"limit": 3}], ids=["whole", "four bits", "over the limit"])
+def test_digests_change_nothing(trips, ours, plain, more):
+    assert rows(ours(trips, **more)) == rows(plain(trips))
+
+
+def test_different_rows_of_one_digest_both_stay(spark):
+    df = spark.range(100).select((F.col("id") % 60).alias("id"))
+    first, second = row_digest(df, 2)
+    assert df.select(first, second).distinct().count() <= 16
+    found = row_groups_by_digest(df, bits=2)
+    assert rows(found) == rows(row_groups(df)) and found.count() == 60
+
+
+def test_equal_rows_have_equal_digests(spark):
+    nan = float("nan")
+    df = spark.createDataFrame(
+        [(0.0, "a", None), (-0.0, "a", None), (nan, None, "a"), (nan, None, "a"), (1.0, None, "a"), (1.0, "a", None)],
+        "x double, `b c` string, d string",
+    )
+    assert str(rows(row_groups_by_digest(df))) == str(rows(row_groups(df)))  # NaN is not equal to itself
+    single = df.filter("x = 0").limit(2).dropDuplicates().withColumn("x", F.lit(-0.0))
+    assert str(row_groups_by_digest(single).collect()) == str(row_groups(single).collect())
+    distinct = df.select(*row_digest(df)).distinct().count()
+    assert distinct == 4  # nulls in different columns tell rows apart
+    assert row_groups_by_digest(df.limit(0)).collect() == []
+
+
+def test_rows_that_occur_once_are_not_shuffled(trips):
+    plan = row_groups_by_digest(trips)._jdf.queryExecution().executedPlan().toString()
+    branches = plan.split("Union", 1)[1]
+    assert "LeftAnti" in branches and "LeftSemi" in branches
+    once = branches.split("LeftSemi")[0]
+    assert "Exchange hashpartitioning" not in once.split("LeftAnti")[0]
+    assert "BroadcastHashJoin" in once

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from tripmart.operators import duplicate_rows, verify_tables
-from tripmart.plans import load, open_star, reports, run
+from tripmart.plans import load, open_star, pipeline, reports, run
 from tripmart.plans.pipeline import prepare_times
 from tripmart.schema import STAR_TABLES, TRIP_TYPES
 from tripmart.sinks import tables, versions
@@ -377,6 +377,26 @@ def test_a_load_that_fails_anywhere_shows_the_old_tables_or_the_new(spark, trips
     assert {("move_new", False, 0), ("move_new", True, 1), ("register_table", False, 1)} <= seen
 
 
+@pytest.mark.parametrize("lost", ["fact_trips", "duplicate_trips", "trip_groups"])
+def test_a_load_in_which_a_step_loses_a_row_is_refused(spark, trips, tmp_path, monkeypatch, lost):
+    base, zones = str(tmp_path), sample_zones(spark, SF_SMALL)
+    load(spark, trips.limit(300), zones, base)
+    before = saved_rows(spark, base)
+    if lost == "fact_trips":
+        whole = pipeline.enrich_trips
+        monkeypatch.setattr(pipeline, "enrich_trips", lambda df: whole(df).filter("NOT VendorID <=> 1"))
+    elif lost == "duplicate_trips":
+        whole = pipeline.repeat_rows
+        monkeypatch.setattr(pipeline, "repeat_rows", lambda df: whole(df).limit(3))
+    else:  # files of the staged groups go after they were observed
+        whole = pipeline.write_and_read
+        monkeypatch.setattr(pipeline, "write_and_read", lambda df, path: whole(df, path).limit(5))
+    with pytest.raises(ValueError, match="should have"):
+        load(spark, trips, zones, base)
+    assert saved_rows(spark, base) == before
+    assert all(len(list(Path(base, name).iterdir())) == 1 for name in (*STAR_TABLES, "duplicate_trips"))
+
+
 def test_old_versions_go_with_the_load_after_next(spark, tmp_path):
     base = str(tmp_path)
     for n in (1, 2, 3, 4):

@@ -1,3 +1,10 @@
+from tripmart.operators.digests import (
+    dedup_by_digest,
+    duplicates_by_digest,
+    row_digest,
+    row_groups_by_digest,
+    summary_by_digest,
+)
 from tripmart.operators.enrich import enrich_trips
 from tripmart.operators.model import clean_trips, dim_time, enriched_trips, fact_trips
 from tripmart.operators.quality import (
@@ -15,6 +22,11 @@ from tripmart.operators.quality import (
 from tripmart.operators.tables import table_counts, table_sample, verify_tables
 
 __all__ = [
+    "dedup_by_digest",
+    "duplicates_by_digest",
+    "row_digest",
+    "row_groups_by_digest",
+    "summary_by_digest",
     "abs_amounts",
     "clean_trips",
     "dedup_rows",

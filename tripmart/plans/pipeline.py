@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.operators.digests import row_groups_by_digest
 from tripmart.operators.enrich import enrich_trips
 from tripmart.operators.model import dim_time, fact_trips, normalise, zoneless
 from tripmart.operators.quality import (
@@ -14,7 +15,6 @@ from tripmart.operators.quality import (
     count_columns,
     has_required,
     repeat_rows,
-    row_groups,
 )
 from tripmart.plans.reports import all_reports
 from tripmart.schema import (
@@ -37,6 +37,7 @@ from tripmart.sinks import (
     put_in_place,
     read_all,
     read_saved,
+    rows_in_files,
     staging_folder,
     table_path,
     write_and_read,
@@ -124,10 +125,12 @@ def load(
 ) -> PipelineResult:
     """`run` for raw trips and zones that are already DataFrames.
 
-    Columns, types and layout are checked before the first row is written. The
-    raw trips are read and shuffled once: distinct rows with their counts go to
-    a staging table, and the quality figures, the duplicates and the fact are
-    column-pruned scans of it. The time dimension comes from the written fact.
+    Columns, types and layout are checked before the first row is written. Rows
+    that occur once pass without a shuffle; distinct rows with their counts go to
+    a staging table. The quality figures are observed in that write; duplicates
+    and the fact are column-pruned scans of it. The rows that the writes of these
+    observe and those in their files are compared, so a step that loses one is refused. The time
+    dimension comes from the written fact.
     All tables are complete before one move switches to them, so a reader sees
     all tables of one load. Loads into one base path must not overlap.
     """
@@ -143,17 +146,35 @@ def load(
     prepared: list[Prepared] = []
     try:
         with staging_folder(spark) as staging:
-            groups = write_and_read(row_groups(raw), f"{staging}/trip_groups")
-            quality = _quality(groups)
-            repeated = zoneless(repeat_rows(groups.filter(F.col(OCCURRENCES) > 1)), time_zone)
+            seen = Observation("trip_groups")
+            found = row_groups_by_digest(raw, folder=f"{staging}/digests")
+            groups = write_and_read(found.observe(seen, *_figures(found)), f"{staging}/trip_groups")
+            quality, repeated = _quality(seen.get), seen.get["repeated"]
+            duplicates = zoneless(repeat_rows(groups.filter(F.col(OCCURRENCES) > 1)), time_zone)
+            wanted = {DUPLICATES_TABLE: repeated, "fact_trips": quality.final_count}
+            seen_written = {}
             for name, df in {
-                DUPLICATES_TABLE: repeated,
+                DUPLICATES_TABLE: duplicates,
                 "fact_trips": _fact(groups.drop(OCCURRENCES), time_zone),
             }.items():
+                seen_written[name] = Observation(name)
+                df = df.observe(seen_written[name], F.count(F.lit(1)).alias("rows"))
                 if partition is None:
                     prepared.append(prepare_table(df, name, base_path, fmt))
                 else:
                     prepared.append(prepare_partition(df, partition, name, base_path, fmt))
+            if all(p.version for p in prepared):  # formats with their own log write later
+                places = {p.name: (fmt, f"{base_path.rstrip('/')}/{p.version}") for p in prepared}
+                places["trip_groups"] = "parquet", f"{staging}/trip_groups"
+                counts = rows_in_files(spark, places)
+                observed = {name: seen.get["rows"] for name, seen in seen_written.items()}
+                observed["trip_groups"] = wanted["trip_groups"] = quality.distinct_count
+                for name in places:
+                    if not wanted[name] == observed[name] == counts[name]:
+                        raise ValueError(
+                            f"{name} should have {wanted[name]} rows; {observed[name]} were written"
+                            f" and its files have {counts[name]}"
+                        )
         fact = prepared[-1].read()
         if partition is None:
             prepared.append(prepare_table(dim_time(fact), "dim_time", base_path, fmt))
@@ -220,6 +241,8 @@ def prepare_times(fact: DataFrame, partition: dict[str, int], base_path: str, fm
     new = dim_time(fact).withColumns({"pickup_year": F.year(time), "pickup_month": F.month(time)})
     saved_fact = read_saved(spark, table_path(base_path, "fact_trips"), fmt)
     saved = read_saved(spark, table_path(base_path, "dim_time"), fmt)
+    if saved is None and saved_fact is None:
+        return prepare_partitions(new, PICKUP_MONTH, None, "dim_time", base_path, fmt)
     gone = None
     if saved_fact is not None:
         this_load = partition_filter([partition])
@@ -246,16 +269,21 @@ def _without(times: DataFrame, others: DataFrame) -> DataFrame:
     return times.join(known, times["tpep_pickup_datetime"].eqNullSafe(known["__known"]), "left_anti")
 
 
-def _quality(groups: DataFrame) -> LoadQuality:
-    """All figures of a load in one aggregation over the distinct rows."""
-    complete = has_required(groups)
-    counts = groups.agg(
-        F.coalesce(F.sum(OCCURRENCES), F.lit(0)).alias("initial"),
+def _figures(groups: DataFrame) -> list[Column]:
+    """All figures of a load over its distinct rows, as aggregates that are observed while they are written."""
+    complete, occurrences = has_required(groups), F.col(OCCURRENCES)
+    return [
+        F.coalesce(F.sum(occurrences), F.lit(0)).alias("initial"),
         F.count(F.lit(1)).alias("distinct"),
+        F.coalesce(F.sum(F.when(occurrences > 1, occurrences)), F.lit(0)).alias("repeated"),
         F.count_if(complete).alias("final"),
         *count_columns(groups, REQUIRED_COLUMNS, "null", lambda c: c.isNull()),
         *count_columns(groups, CURRENCY_COLUMNS, "negative", lambda c: complete & (c < 0)),
-    ).first()
+    ]
+
+
+def _quality(counts: dict[str, int]) -> LoadQuality:
+    """A load's figures from what was observed."""
     initial, distinct, final = counts["initial"], counts["distinct"], counts["final"]
     kept = final / initial * 100 if initial else None
     return LoadQuality(

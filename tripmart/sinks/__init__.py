@@ -1,5 +1,5 @@
 from tripmart.sinks.files import delete_at_exit, delete_path, path_exists
-from tripmart.sinks.staging import new_folder, shared_folder, staging_folder, write_and_read
+from tripmart.sinks.staging import new_folder, rows_in_files, shared_folder, staging_folder, write_and_read
 from tripmart.sinks.tables import (
     Prepared,
     append_missing,
@@ -46,6 +46,7 @@ __all__ = [
     "register_all",
     "register_table",
     "replace_partition",
+    "rows_in_files",
     "save_table",
     "save_tables",
     "shared_folder",

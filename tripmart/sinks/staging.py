@@ -12,7 +12,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tripmart.sinks.files import delete_path
 from tripmart.sinks.tables import read_written
@@ -56,3 +57,21 @@ def write_and_read(df: DataFrame, path: str) -> DataFrame:
     """Write `df` as Parquet and continue from the files."""
     df.write.mode("errorifexists").parquet(path)
     return read_written(df, path)
+
+
+def rows_in_files(spark: SparkSession, places: dict[str, tuple[str, str]]) -> dict[str, int]:
+    """Rows in the files of folders, by name: `places` has the format and the folder of each, whose last part is unique.
+
+    One scan for each format, which reads no column. Writes observe what their
+    tasks put out; files tell what is there if tasks were repeated.
+    """
+    found = {}
+    for fmt in {kind for kind, _ in places.values()}:
+        own = {name: folder for name, (kind, folder) in places.items() if kind == fmt}
+        files = spark.read.format(fmt).schema("none_ int").option("recursiveFileLookup", True).load(list(own.values()))
+        within = {name: F.contains(F.col("file_path"), F.lit(f.rpartition("=")[2])) for name, f in own.items()}
+        seen = Observation()
+        counts = [F.count_if(inside).alias(name) for name, inside in within.items()]
+        files.select("_metadata.file_path").observe(seen, *counts).write.format("noop").mode("overwrite").save()
+        found |= seen.get
+    return found

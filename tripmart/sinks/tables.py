@@ -148,18 +148,25 @@ def prepare_partition(
 def prepare_partitions(
     df: DataFrame,
     partition_by: Sequence[str],
-    replaced: Iterable[Mapping[str, int | None]],
+    replaced: Iterable[Mapping[str, int | None]] | None,
     name: str,
     base_path: str,
     fmt: str = "parquet",
 ) -> Prepared:
-    """Write the partitions in `replaced` as a new version; those without rows will be removed."""
-    replaced, by = [dict(p) for p in replaced], tuple(partition_by)
+    """Write the partitions in `replaced` as a new version; those without rows will be removed.
+
+    None: the table is new, and has the partitions that `df` has.
+    """
+    by = tuple(partition_by)
+    if replaced is None and fmt in SELF_DESCRIBING:
+        replaced = [r.asDict() for r in df.select(*by).distinct().collect()]
+    replaced = None if replaced is None else [dict(p) for p in replaced]
     if fmt in SELF_DESCRIBING:
         return Prepared(df, name, base_path, fmt, {}, by, replaced)
     folder, path = versions.new_version(base_path, name)
     _write(df.write.format(fmt).partitionBy(*by), df.sparkSession, path)
     written = set(folders_at(df.sparkSession, path, len(by)))
+    replaced = [_values(f) for f in sorted(written)] if replaced is None else replaced
     added = [p for p in replaced if _folder(p) in written]
     removed = [p for p in replaced if _folder(p) not in written]
     parts = {_folder(p): f"{folder}/{_folder(p)}" for p in added}
