@@ -154,11 +154,24 @@ BUSIEST_HOURS = """
 """
 
 
+def _exact_sum(x: str) -> str:
+    """The sum by whole numbers and two 40-bit parts of the fraction, each added up as integers."""
+    step = "1099511627776::DOUBLE"
+    high = f"({x} - trunc({x})) * {step}"
+    parts = [f"trunc({x})", f"trunc({high})", f"trunc(({high} - trunc({high})) * {step})"]
+    whole, high, low = (f"CAST(sum(CAST({part} AS HUGEINT)) AS DOUBLE)" for part in parts)
+    return f"({whole} + ({high} / {step} + {low} / ({step} * {step})))"
+
+
+def _exact_mean(x: str) -> str:
+    return f"{_exact_sum(x)} / count({x})"
+
+
 def _popular_zones(key: str, count_name: str) -> str:
     return f"""
         SELECT location_id, borough, zone, service_zone, count(*) AS {count_name},
-            round(avg(trip_distance), 2) AS avg_distance, round(avg(fare_amount), 2) AS avg_fare,
-            round(sum(total_amount), 2) AS total_revenue
+            {_exact_mean("trip_distance")} AS avg_distance, {_exact_mean("fare_amount")} AS avg_fare,
+            {_exact_sum("total_amount")} AS total_revenue
         FROM fact JOIN dim_taxi_zone ON {key} = CAST(location_id AS BIGINT)
         GROUP BY location_id, borough, zone, service_zone
         ORDER BY {count_name} DESC, location_id LIMIT 10
@@ -264,11 +277,11 @@ QUERIES = {
     """,
     "popular_pickups": _popular_zones("PULocationID", "pickup_count"),
     "popular_dropoffs": _popular_zones("DOLocationID", "dropoff_count"),
-    "popular_routes": """
+    "popular_routes": f"""
         SELECT PULocationID AS pickup_id, DOLocationID AS dropoff_id, count(*) AS trip_count,
-            round(avg(trip_distance), 2) AS avg_distance,
-            round(avg(trip_duration_minutes), 2) AS avg_duration,
-            round(sum(total_amount), 2) AS total_revenue
+            {_exact_mean("trip_distance")} AS avg_distance,
+            {_exact_mean("trip_duration_minutes")} AS avg_duration,
+            {_exact_sum("total_amount")} AS total_revenue
         FROM fact GROUP BY PULocationID, DOLocationID
         ORDER BY trip_count DESC, pickup_id, dropoff_id LIMIT 10
     """,

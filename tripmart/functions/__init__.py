@@ -1,3 +1,4 @@
+from tripmart.functions.exact import exact_parts, exact_sums, exact_total
 from tripmart.functions.trip_columns import (
     location_key,
     pickup_date,
@@ -9,6 +10,9 @@ from tripmart.functions.trip_columns import (
 )
 
 __all__ = [
+    "exact_parts",
+    "exact_sums",
+    "exact_total",
     "location_key",
     "pickup_date",
     "pickup_day_of_week",

@@ -6,7 +6,8 @@ scan stage, only totals are shuffled, and a key that holds a large share of the
 trips is already one record per task. Joins then meet totals, whose number is
 bounded by the keys and not by the trips, so no join touches the fact's rows.
 Means are kept as sum and count until the last step, because several keys may
-share one description.
+share one description. Reports with unrounded figures add up exactly, so that
+they are the same however the trips are partitioned.
 
 Sorted reports break ties by their group keys.
 """
@@ -31,6 +32,19 @@ def totals_per_key(fact: DataFrame, keys: list[str], **measures: str | Column) -
     return fact.groupBy(*keys).agg(*aggregates)
 
 
+def exact_totals_per_key(fact: DataFrame, keys: list[str], **measures: str) -> DataFrame:
+    """`totals_per_key` with sums that do not depend on the order of the trips, in parts; see `functions.exact`."""
+    aggregates = [F.count(F.lit(1)).alias("trips")]
+    for name, measure in measures.items():
+        aggregates += [*T.exact_sums(name, measure), F.count(measure).alias(f"{name}_n")]
+    return fact.groupBy(*keys).agg(*aggregates)
+
+
+def exact_mean(measure: str, again: bool = True) -> Column:
+    n = F.sum(f"{measure}_n") if again else F.col(f"{measure}_n")
+    return F.try_divide(T.exact_total(measure, again), n)
+
+
 def trip_count() -> Column:
     return F.sum("trips")
 
@@ -259,7 +273,7 @@ def popular_dropoffs(tables: Tables, limit: int = 10) -> DataFrame:
 
 
 def _popular_zones(tables: Tables, key: str, count_name: str, limit: int) -> DataFrame:
-    totals = totals_per_key(
+    totals = exact_totals_per_key(
         tables["fact_trips"],
         [key],
         distance="trip_distance",
@@ -272,9 +286,9 @@ def _popular_zones(tables: Tables, key: str, count_name: str, limit: int) -> Dat
         .groupBy("location_id", "borough", "zone", "service_zone")
         .agg(
             trip_count().alias(count_name),
-            mean("distance").alias("avg_distance"),
-            mean("fare").alias("avg_fare"),
-            total("revenue").alias("total_revenue"),
+            exact_mean("distance").alias("avg_distance"),
+            exact_mean("fare").alias("avg_fare"),
+            T.exact_total("revenue").alias("total_revenue"),
         )
         .orderBy(F.desc(count_name), "location_id")
         .limit(limit)
@@ -283,18 +297,22 @@ def _popular_zones(tables: Tables, key: str, count_name: str, limit: int) -> Dat
 
 def popular_routes(tables: Tables, limit: int = 10) -> DataFrame:
     """The pairs of location ids with most trips, with unrounded figures."""
-    return (
-        tables["fact_trips"]
-        .groupBy(F.col("PULocationID").alias("pickup_id"), F.col("DOLocationID").alias("dropoff_id"))
-        .agg(
-            F.count(F.lit(1)).alias("trip_count"),
-            F.avg("trip_distance").alias("avg_distance"),
-            F.avg("trip_duration_minutes").alias("avg_duration"),
-            F.sum("total_amount").alias("total_revenue"),
-        )
-        .orderBy(F.desc("trip_count"), "pickup_id", "dropoff_id")
-        .limit(limit)
+    totals = exact_totals_per_key(
+        tables["fact_trips"],
+        ["PULocationID", "DOLocationID"],
+        distance="trip_distance",
+        duration="trip_duration_minutes",
+        revenue="total_amount",
     )
+    first = totals.orderBy(F.desc("trips"), "PULocationID", "DOLocationID").limit(limit)
+    return first.select(
+        F.col("PULocationID").alias("pickup_id"),
+        F.col("DOLocationID").alias("dropoff_id"),
+        F.col("trips").alias("trip_count"),
+        exact_mean("distance", again=False).alias("avg_distance"),
+        exact_mean("duration", again=False).alias("avg_duration"),
+        T.exact_total("revenue", again=False).alias("total_revenue"),
+    ).orderBy(F.desc("trip_count"), "pickup_id", "dropoff_id")
 
 
 REPORTS: dict[str, Callable[[Tables], DataFrame]] = {
