@@ -296,6 +296,14 @@ QUERIES = {
 
 
 QUERIES |= {
+    "trip_ids": f"""
+        SELECT row_number() OVER (ORDER BY tpep_pickup_datetime NULLS FIRST, VendorID NULLS FIRST,
+            tpep_dropoff_datetime NULLS FIRST, PULocationID NULLS FIRST, DOLocationID NULLS FIRST,
+            passenger_count NULLS FIRST, payment_type NULLS FIRST, RateCodeID NULLS FIRST,
+            trip_distance NULLS FIRST, fare_amount NULLS FIRST, tip_amount NULLS FIRST,
+            total_amount NULLS FIRST, trip_duration_minutes NULLS FIRST, price_per_mile NULLS FIRST) - 1 AS trip_id, *
+        FROM (SELECT {FACT_COLUMNS} FROM enriched)
+    """,
     "dedup_by_digest": QUERIES["dedup_rows"],
     "duplicates_by_digest": QUERIES["duplicate_rows"],
     "summary_by_digest": QUERIES["duplicate_summary"],

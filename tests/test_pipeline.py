@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from tripmart.operators import duplicate_rows, verify_tables
+from tripmart.operators.numbering import numbered
 from tripmart.plans import load, open_star, pipeline, reports, run
 from tripmart.plans.pipeline import prepare_times
 from tripmart.schema import STAR_TABLES, TRIP_TYPES
@@ -102,6 +103,30 @@ def test_trip_ids_of_a_saved_fact_stay(spark, landing, tmp_path):
     assert fact.count() == fact.select("trip_id").distinct().count()
 
 
+def test_repeatable_ids(spark, trips, tmp_path):
+    zones, found = sample_zones(spark, SF_SMALL), []
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for i, n in enumerate((1, 3, 9)):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            raw = trips.repartition(n, F.rand(i))
+            found.append(load(spark, raw, zones, str(tmp_path / str(i)), repeatable_ids=True).tables["fact_trips"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert rows(found[0]) == rows(found[1]) == rows(found[2])
+    fact = found[2].orderBy("trip_id").collect()
+    assert [r["trip_id"] for r in fact] == list(range(len(fact)))
+    assert [r["tpep_pickup_datetime"] for r in fact] == sorted(r["tpep_pickup_datetime"] for r in fact)
+
+
+def test_numbers_of_equal_rows_and_of_none(spark, tmp_path):
+    df = spark.range(1000).select(F.when(F.col("id") % 3 > 0, 5).alias("x"), F.lit(None).cast("string").alias("a b"))
+    found = numbered(df.repartition(7), "n", f"{tmp_path}/a").orderBy("n").collect()
+    assert [r["n"] for r in found] == list(range(1000))
+    assert [r["x"] for r in found] == [None] * 334 + [5] * 666
+    assert numbered(df.limit(0), "n", f"{tmp_path}/b").collect() == []
+
+
 def test_next_month_replaces_the_last(spark, landing, tmp_path):
     base = str(tmp_path / "mart")
     first = run(spark, landing, f"{landing}/zones", 2021, 8, base).quality.final_count

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tripmart.operators.digests import row_groups_by_digest
 from tripmart.operators.enrich import enrich_trips
 from tripmart.operators.model import dim_time, fact_trips, normalise, zoneless
+from tripmart.operators.numbering import numbered
 from tripmart.operators.quality import (
     OCCURRENCES,
     count_columns,
@@ -19,6 +20,7 @@ from tripmart.operators.quality import (
 from tripmart.plans.reports import all_reports
 from tripmart.schema import (
     CURRENCY_COLUMNS,
+    FACT_COLUMNS,
     REQUIRED_COLUMNS,
     RETENTION_WARNING_PCT,
     STAR_TABLES,
@@ -56,6 +58,11 @@ DUPLICATES_TABLE = "duplicate_trips"
 LOAD_MONTH = ("trip_year", "trip_month")
 PICKUP_MONTH = ("pickup_year", "pickup_month")
 
+# The columns of the fact, in the order by which repeatable ids count: by pickup time first.
+TRIP_ORDER = sorted(
+    (c for c in FACT_COLUMNS if c != "trip_id"), key=lambda c: (c != "tpep_pickup_datetime", FACT_COLUMNS.index(c))
+)
+
 
 @dataclass(frozen=True)
 class LoadQuality:
@@ -96,6 +103,7 @@ def run(
     by_month: bool = False,
     pattern: str = MONTH_FILE,
     time_zone: str | None = "UTC",
+    repeatable_ids: bool = False,
 ) -> PipelineResult:
     """Load the trips of one month from the folder `source` and save the star schema.
 
@@ -106,11 +114,12 @@ def run(
     trip. A plain load refuses to replace months, and the other way round.
 
     Zoned times become local times of `time_zone` (None: the session's zone), so
-    that hours and dates are the same in every later session.
+    that hours and dates are the same in every later session. With
+    `repeatable_ids` a trip's id follows from the load's trips alone, see `load`.
     """
     raw = read_trips(spark, source, year, month, pattern)
     load_month = (int(year), int(month)) if by_month else None
-    return load(spark, raw, read_zones(spark, zones_path), base_path, schema, fmt, load_month, time_zone)
+    return load(spark, raw, read_zones(spark, zones_path), base_path, schema, fmt, load_month, time_zone, repeatable_ids)
 
 
 def load(
@@ -122,6 +131,7 @@ def load(
     fmt: str = "parquet",
     load_month: tuple[int, int] | None = None,
     time_zone: str | None = "UTC",
+    repeatable_ids: bool = False,
 ) -> PipelineResult:
     """`run` for raw trips and zones that are already DataFrames.
 
@@ -133,6 +143,11 @@ def load(
     dimension comes from the written fact.
     All tables are complete before one move switches to them, so a reader sees
     all tables of one load. Loads into one base path must not overlap.
+
+    `trip_id` is increasing and unique, but differs from load to load. With
+    `repeatable_ids` it is the trip's place, from 0, in the order of all the
+    fact's columns: the same trips get the same ids however they are partitioned.
+    That costs a range sort of the fact, which is then stored in that order.
     """
     time_zone = time_zone or spark.conf.get("spark.sql.session.timeZone")
     partition = dict(zip(LOAD_MONTH, load_month, strict=True)) if load_month else None
@@ -151,11 +166,14 @@ def load(
             groups = write_and_read(found.observe(seen, *_figures(found)), f"{staging}/trip_groups")
             quality, repeated = _quality(seen.get), seen.get["repeated"]
             duplicates = zoneless(repeat_rows(groups.filter(F.col(OCCURRENCES) > 1)), time_zone)
+            fact = _fact(groups.drop(OCCURRENCES), time_zone)
+            if repeatable_ids:
+                fact = numbered(fact.select(*TRIP_ORDER), "trip_id", f"{staging}/sorted").select(*FACT_COLUMNS)
             wanted = {DUPLICATES_TABLE: repeated, "fact_trips": quality.final_count}
             seen_written = {}
             for name, df in {
                 DUPLICATES_TABLE: duplicates,
-                "fact_trips": _fact(groups.drop(OCCURRENCES), time_zone),
+                "fact_trips": fact,
             }.items():
                 seen_written[name] = Observation(name)
                 df = df.observe(seen_written[name], F.count(F.lit(1)).alias("rows"))
