@@ -17,6 +17,8 @@ QUERY_STEP = 50
 #: Vectors in a packed block, and candidates and queries in a cell of the grid that tasks work on.
 BLOCK = 1024
 CELL = 8192
+#: Blocks of queries that a task keeps, each with a few kilobytes for a query.
+HELD = 32
 #: Candidates of a first block that are scored at once, so that there is something to prune by.
 SEED = 64
 #: Sums of products below this are exact in doubles.
@@ -184,6 +186,16 @@ class _Best:
                 self.least[i] = points[best[-1]]
 
 
+    def rows(self) -> pa.RecordBatch:
+        ids = [np.full(len(t[0]), i) for i, t in zip(self.ids, self.top, strict=True)]
+        keys = [np.full(len(t[0]), _key(v)) for v, t in zip(self.vectors, self.top, strict=True)]
+        columns = (ids, keys, [t[0] for t in self.top], [t[1] for t in self.top])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(x).astype(np.int64), pa.int64()) for x in columns],
+            names=["query_id", "query_key", "vec_id", "score"],
+        )
+
+
 class _Block:
     def __init__(self, ids: bytes, vectors: bytes, dim: int) -> None:
         self.ids = np.frombuffer(ids, "<i8")
@@ -201,26 +213,27 @@ def _runs(values: np.ndarray) -> tuple[list[int], list[int], list[int]]:
 
 
 def _score(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """The best rows of every block of queries that a task meets."""
+    """The best rows of every block of queries that a task meets.
+
+    A task keeps at most HELD blocks of queries. When it meets another, it gives
+    out what it has for the one it met longest ago; if that comes back, it begins
+    anew, and gives out more rows than it could have, never fewer.
+    """
     best: dict[tuple[int, bytes, int], _Best] = {}
     for batch in batches:
         for row in batch.to_pylist():
             block = _Block(row["ids"], row["vectors"], row["dim"])
             key = (row["dim"], row["q_ids"], hash(row["q_vectors"]))
-            if key not in best:
+            held = best.pop(key, None)
+            if held is None:
                 asked = _Block(row["q_ids"], row["q_vectors"], row["dim"])
-                best[key] = _Best(asked.ids, asked.vectors, k)
-            best[key].see(block)
+                held = _Best(asked.ids, asked.vectors, k)
+                if len(best) >= HELD:
+                    yield best.pop(next(iter(best))).rows()
+            best[key] = held  # the last one met stands last
+            held.see(block)
     for found in best.values():
-        ids = [np.full(len(t[0]), i) for i, t in zip(found.ids, found.top, strict=True)]
-        keys = [np.full(len(t[0]), _key(v)) for v, t in zip(found.vectors, found.top, strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate(x).astype(np.int64), pa.int64())
-                for x in (ids, keys, [t[0] for t in found.top], [t[1] for t in found.top])
-            ],
-            names=["query_id", "query_key", "vec_id", "score"],
-        )
+        yield found.rows()
 
 
 def _key(vector: np.ndarray) -> int:

@@ -32,10 +32,29 @@ PRIME = np.uint64(0x100000001B3)
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: Characters of a text that are looked at together.
+SLICE = 1 << 20
+
+
 def grams(text: str) -> np.ndarray:
-    """Hashes of all n-grams of the text's UTF-8 bytes, A to Z in lower case, white space as one space."""
-    words = b" ".join(text.encode().lower().split())
-    data = np.frombuffer(b" " + words + b" ", np.uint8).astype(np.uint64) + np.uint64(1)
+    """The distinct hashes of all n-grams of a text's characters, A to Z in lower case, white space as one space.
+
+    A long text is gone through in slices that overlap, so that a task holds some
+    sixty bytes for each character of a slice, whatever the text's length.
+    """
+    words = b" ".join(text.encode().lower().split()).decode()
+    data = np.frombuffer(f" {words} ".encode("utf-32-le"), np.uint32)
+    if len(data) <= SLICE:
+        return np.unique(_hashes(data))
+    seen = np.zeros(1 << BITS, bool)
+    for at in range(0, len(data), SLICE):
+        seen[_hashes(data[at : at + SLICE + max(LENGTHS) - 1])] = True
+    return np.flatnonzero(seen)
+
+
+def _hashes(data: np.ndarray) -> np.ndarray:
+    """Hashes of the n-grams of some characters."""
+    data = data.astype(np.uint64) + np.uint64(1)
     found, rolling = [], np.zeros(len(data), np.uint64)
     for n in range(1, max(LENGTHS) + 1):
         if len(data) < n:
@@ -56,7 +75,6 @@ class Model:
     def score(self, text: str) -> float:
         """Probability of label 1: every feature counts once, however often it occurs."""
         features = grams(text)
-        features = np.unique(features[self.weights[features] != 0])
         return float(1 / (1 + np.exp(-(self.intercept + self.weights[features].sum()))))
 
 
@@ -74,7 +92,7 @@ def _counts(train: DataFrame) -> DataFrame:
         some = False
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen[label, np.unique(grams(text))] += 1
+                seen[label, grams(text)] += 1
                 some = True
         if some:
             yield pa.RecordBatch.from_arrays(
@@ -130,7 +148,7 @@ def fit(train: DataFrame) -> Model:
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [grams(t) for t in batch.column(0).to_pylist()]
-            found = [np.unique(f[kept[f]]).astype(np.int32).tobytes() for f in found]
+            found = [f[kept[f]].astype(np.int32).tobytes() for f in found]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column(1)], names=["f", "label"])
 
     rows = train.select("text", "label").mapInArrow(own, "f binary, label int").toPandas()
