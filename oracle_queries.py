@@ -304,6 +304,7 @@ QUERIES |= {
             total_amount NULLS FIRST, trip_duration_minutes NULLS FIRST, price_per_mile NULLS FIRST) - 1 AS trip_id, *
         FROM (SELECT {FACT_COLUMNS} FROM enriched)
     """,
+    "load_trip_months": QUERIES["load_trips"],
     "dedup_by_digest": QUERIES["dedup_rows"],
     "duplicates_by_digest": QUERIES["duplicate_rows"],
     "summary_by_digest": QUERIES["duplicate_summary"],

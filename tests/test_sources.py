@@ -1,9 +1,21 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
-from tripmart.sources import MONTH_FOLDER, canonical_names, canonical_types, month_path, read_trips, read_zones
+from tripmart.sources import (
+    MONTH_FOLDER,
+    canonical_names,
+    canonical_types,
+    month_path,
+    months_between,
+    read_trip_months,
+    read_trips,
+    read_zones,
+)
 
 
 @pytest.mark.parametrize("month", [8, "8", "08"])
@@ -32,6 +44,40 @@ def test_missing_month_is_an_error(spark, tmp_path):
         read_trips(spark, str(tmp_path), 2021, 7)
 
 
+def test_a_range_of_months_is_the_union_of_its_months(spark, trips, tmp_path):
+    kinds = [{}, {"VendorID": "int", "RatecodeID": "bigint"}, {}, {"VendorID": "int", "RatecodeID": "bigint"}]
+    months = months_between((2020, 11), (2021, 2))
+    assert months == [(2020, 11), (2020, 12), (2021, 1), (2021, 2)]
+    for i, ((year, month), casts) in enumerate(zip(months, kinds, strict=True)):
+        df = trips.filter(F.col("payment_type") == i).withColumns({c: F.col(c).cast(k) for c, k in casts.items()})
+        df = df.withColumnRenamed("airport_fee", "Airport_fee") if i == 2 else df
+        df = df.withColumn("more", F.lit(i)) if i == 3 else df
+        df.write.parquet(month_path(str(tmp_path), year, month))
+    Path(month_path(str(tmp_path), 2021, 3)).write_text("not a file of trips")
+    found = read_trip_months(spark, str(tmp_path), months[0], months[-1])
+    united = None
+    for month in months:
+        own = read_trips(spark, str(tmp_path), *month)
+        united = own if united is None else united.unionByName(own, allowMissingColumns=True)
+    assert found.dtypes == united.dtypes and rows(found) == rows(united)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 4  # every month has another schema but two, and one has a further column
+    two = read_trip_months(spark, str(tmp_path), months[0], months[1])
+    assert two._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 2
+    assert all("2020-1" in name for name in two.inputFiles())
+
+
+def test_months_of_one_schema_are_one_scan(spark, trips, tmp_path):
+    for month in (1, 2, 3):
+        trips.limit(month).write.parquet(month_path(str(tmp_path), 2021, month))
+    found = read_trip_months(spark, str(tmp_path), (2021, 1), (2021, 3))
+    assert found.count() == 6 and found._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    with pytest.raises(FileNotFoundError, match="2021-04.*2021-05"):
+        read_trip_months(spark, str(tmp_path), (2021, 1), (2021, 5))
+    with pytest.raises(ValueError, match="after"):
+        read_trip_months(spark, str(tmp_path), (2021, 2), (2021, 1))
+
+
 def test_names_get_one_spelling(spark):
     df = spark.createDataFrame([(1.0, 2.0, 3)], ["Airport_fee", "RateCodeID", "Extra_column"])
     assert canonical_names(df).columns == ["airport_fee", "RatecodeID", "Extra_column"]

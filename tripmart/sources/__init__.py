@@ -5,6 +5,8 @@ from tripmart.sources.trips import (
     canonical_names,
     canonical_types,
     month_path,
+    months_between,
+    read_trip_months,
     read_trips,
 )
 
@@ -17,6 +19,8 @@ __all__ = [
     "dim_rate_code",
     "dim_taxi_zone",
     "month_path",
+    "months_between",
+    "read_trip_months",
     "read_trips",
     "read_zones",
 ]

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import NumericType, StructType
 
 from tripmart.schema import TRIP_COLUMNS, TRIP_TYPES, quoted
 
@@ -74,3 +76,46 @@ def read_trips(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         raise FileNotFoundError(f"no trips for {int(year):04d}-{int(month):02d}: {path}") from error
+
+
+def months_between(first: tuple[int, int], last: tuple[int, int]) -> list[tuple[int, int]]:
+    """All (year, month) from `first` to `last`, both included."""
+    start, end = (year * 12 + month - 1 for year, month in (first, last))
+    return [(n // 12, n % 12 + 1) for n in range(start, end + 1)]
+
+
+def read_trip_months(
+    spark: SparkSession,
+    root: str,
+    first: tuple[int, int],
+    last: tuple[int, int],
+    pattern: str = MONTH_FILE,
+) -> DataFrame:
+    """The raw trips of all months from `first` to `last`, known columns in their canonical types.
+
+    The same rows as the months read one by one and united; columns that a month
+    lacks are null there. Months whose files have the same columns and types are
+    one scan, so the plan grows with the number of schemas and not of months.
+    Only the months' paths are listed. A month that is missing raises, unless
+    `first` lies after `last`, which is an error too.
+    """
+    paths = [month_path(root, year, month, pattern) for year, month in months_between(first, last)]
+    if not paths:
+        raise ValueError(f"{first} lies after {last}")
+    alike: dict[str, list[str]] = {}
+    missing = []
+    for path in paths:
+        try:
+            alike.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            missing.append(path)
+    if missing:
+        raise FileNotFoundError(f"no trips: {', '.join(missing)}")
+    whole = None
+    for schema, own in alike.items():
+        found = spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(*own)
+        found = canonical_types(canonical_names(found))
+        whole = found if whole is None else whole.unionByName(found, allowMissingColumns=True)
+    return whole
