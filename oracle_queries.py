@@ -295,7 +295,22 @@ QUERIES = {
 }
 
 
+REPORTS = [
+    "pickup_boroughs",
+    "top_routes_by_revenue",
+    "payment_metrics",
+    "rate_code_metrics",
+    "busiest_hours",
+    "payment_analysis",
+    "rate_code_analysis",
+    "payment_by_rate",
+    "popular_pickups",
+    "popular_dropoffs",
+    "popular_routes",
+]
+
 QUERIES |= {
+    **{f"{name}_from_totals": QUERIES[name] for name in REPORTS},
     "trip_ids": f"""
         SELECT row_number() OVER (ORDER BY tpep_pickup_datetime NULLS FIRST, VendorID NULLS FIRST,
             tpep_dropoff_datetime NULLS FIRST, PULocationID NULLS FIRST, DOLocationID NULLS FIRST,

@@ -17,7 +17,7 @@ from tripmart.operators.quality import (
     has_required,
     repeat_rows,
 )
-from tripmart.plans.reports import all_reports
+from tripmart.plans.reports import TOTALS_TABLE, all_reports, month_totals
 from tripmart.schema import (
     CURRENCY_COLUMNS,
     FACT_COLUMNS,
@@ -104,6 +104,7 @@ def run(
     pattern: str = MONTH_FILE,
     time_zone: str | None = "UTC",
     repeatable_ids: bool = False,
+    keep_totals: bool = False,
 ) -> PipelineResult:
     """Load the trips of one month from the folder `source` and save the star schema.
 
@@ -119,7 +120,7 @@ def run(
     """
     raw = read_trips(spark, source, year, month, pattern)
     load_month = (int(year), int(month)) if by_month else None
-    return load(spark, raw, read_zones(spark, zones_path), base_path, schema, fmt, load_month, time_zone, repeatable_ids)
+    return load(spark, raw, read_zones(spark, zones_path), base_path, schema, fmt, load_month, time_zone, repeatable_ids, keep_totals)
 
 
 def load(
@@ -132,6 +133,7 @@ def load(
     load_month: tuple[int, int] | None = None,
     time_zone: str | None = "UTC",
     repeatable_ids: bool = False,
+    keep_totals: bool = False,
 ) -> PipelineResult:
     """`run` for raw trips and zones that are already DataFrames.
 
@@ -148,6 +150,10 @@ def load(
     `repeatable_ids` it is the trip's place, from 0, in the order of all the
     fact's columns: the same trips get the same ids however they are partitioned.
     That costs a range sort of the fact, which is then stored in that order.
+
+    With `keep_totals` a mart by month has a further table: what reports add up,
+    for each load month. It is replaced with its month, made for all months by
+    the first load that asks for it, and kept by every load from then on.
     """
     time_zone = time_zone or spark.conf.get("spark.sql.session.timeZone")
     partition = dict(zip(LOAD_MONTH, load_month, strict=True)) if load_month else None
@@ -198,6 +204,8 @@ def load(
             prepared.append(prepare_table(dim_time(fact), "dim_time", base_path, fmt))
         else:
             prepared.append(prepare_times(fact, partition, base_path, fmt))
+        if partition is not None and (keep_totals or read_saved(spark, table_path(base_path, TOTALS_TABLE), fmt)):
+            prepared.append(prepare_totals(fact, partition, base_path, fmt))
         prepared += [prepare_table(df, name, base_path, fmt) for name, df in lookups.items()]
     except BaseException:
         discard(prepared)
@@ -210,13 +218,15 @@ def open_star(
 ) -> dict[str, DataFrame]:
     """The saved star schema by table name, from a catalog schema or from its folder, for reports without a load.
 
-    From a folder all tables are of one load. No job is run to find their columns.
+    From a folder all tables are of one load. No job is run to find their
+    columns. Totals by load month are among the tables if the mart keeps them.
     """
     if (schema is None) == (base_path is None):
         raise ValueError("give a schema or a base path")
     if schema is not None:
-        return {name: spark.table(f"{quoted(schema)}.{quoted(name)}") for name in STAR_TABLES}
-    return read_all(spark, base_path, STAR_TABLES, fmt)
+        there = [n for n in (TOTALS_TABLE,) if spark.catalog.tableExists(f"{quoted(schema)}.{quoted(n)}")]
+        return {name: spark.table(f"{quoted(schema)}.{quoted(name)}") for name in (*STAR_TABLES, *there)}
+    return read_all(spark, base_path, STAR_TABLES, fmt, optional=(TOTALS_TABLE,))
 
 
 def _fact(distinct_trips: DataFrame, time_zone: str) -> DataFrame:
@@ -281,6 +291,18 @@ def prepare_times(fact: DataFrame, partition: dict[str, int], base_path: str, fm
     return prepare_partitions(times, PICKUP_MONTH, replaced, "dim_time", base_path, fmt)
 
 
+def prepare_totals(fact: DataFrame, partition: dict[str, int], base_path: str, fmt: str = "parquet") -> Prepared:
+    """The totals of a load month, whose new trips are in `fact`; of all months if none are saved yet."""
+    spark, months = fact.sparkSession, list(partition)
+    own = fact.withColumns({c: F.lit(value) for c, value in partition.items()})
+    if read_saved(spark, table_path(base_path, TOTALS_TABLE), fmt) is not None:
+        return prepare_partition(month_totals(own, months).drop(*months), partition, TOTALS_TABLE, base_path, fmt)
+    saved = read_saved(spark, table_path(base_path, "fact_trips"), fmt)
+    if saved is not None:
+        own = own.unionByName(saved.filter(f"NOT ({partition_filter([partition])})").select(own.columns))
+    return prepare_partitions(month_totals(own, months), months, None, TOTALS_TABLE, base_path, fmt)
+
+
 def _without(times: DataFrame, others: DataFrame) -> DataFrame:
     """Rows of `times` whose pickup time `others` does not have."""
     known = others.select(F.col("tpep_pickup_datetime").alias("__known"))

@@ -6,8 +6,9 @@ scan stage, only totals are shuffled, and a key that holds a large share of the
 trips is already one record per task. Joins then meet totals, whose number is
 bounded by the keys and not by the trips, so no join touches the fact's rows.
 Means are kept as sum and count until the last step, because several keys may
-share one description. Reports with unrounded figures add up exactly, so that
-they are the same however the trips are partitioned.
+share one description. Sums are exact until then, so figures are the same however
+the trips are partitioned. A mart by month can keep totals of each load month;
+reports then add these up and do not read the fact.
 
 Sorted reports break ties by their group keys.
 """
@@ -24,25 +25,75 @@ from tripmart import functions as T
 Tables = Mapping[str, DataFrame]
 
 
-def totals_per_key(fact: DataFrame, keys: list[str], **measures: str | Column) -> DataFrame:
-    """Trip count, and sum and non-null count of every measure, per key."""
-    aggregates = [F.count(F.lit(1)).alias("trips")]
-    for name, measure in measures.items():
-        aggregates += [F.sum(measure).alias(f"{name}_sum"), F.count(measure).alias(f"{name}_n")]
-    return fact.groupBy(*keys).agg(*aggregates)
+#: What reports add up for each trip, by name.
+MEASURES: dict[str, Callable[[], Column]] = {
+    "distance": lambda: F.col("trip_distance"),
+    "duration": lambda: F.col("trip_duration_minutes"),
+    "fare": lambda: F.col("fare_amount"),
+    "tip": lambda: F.col("tip_amount"),
+    "tip_ratio": T.tip_ratio,
+    "price": lambda: F.col("price_per_mile"),
+    "revenue": lambda: F.col("total_amount"),
+}
 
+#: The sets of keys by which reports total trips.
+KEY_SETS = [
+    ("PULocationID",),
+    ("DOLocationID",),
+    ("PULocationID", "DOLocationID"),
+    ("payment_type",),
+    ("RateCodeID",),
+    ("payment_type", "RateCodeID"),
+    ("pickup_hour",),
+]
+
+#: Table of totals by load month, and its column that tells by which keys.
+TOTALS_TABLE, BY = "trip_totals", "by"
 
-def exact_totals_per_key(fact: DataFrame, keys: list[str], **measures: str) -> DataFrame:
-    """`totals_per_key` with sums that do not depend on the order of the trips, in parts; see `functions.exact`."""
-    aggregates = [F.count(F.lit(1)).alias("trips")]
-    for name, measure in measures.items():
-        aggregates += [*T.exact_sums(name, measure), F.count(measure).alias(f"{name}_n")]
-    return fact.groupBy(*keys).agg(*aggregates)
 
+def month_totals(fact: DataFrame, months: list[str]) -> DataFrame:
+    """Totals of all measures by each set of keys and the columns `months`, to which those of more trips can be added.
+
+    Every trip is read once. It is counted for each set of keys before anything
+    is shuffled, so what is shuffled is bounded by the keys and not the trips.
+    Sums are in exact parts.
+    """
+    keys = list(dict.fromkeys(k for own in KEY_SETS for k in own))
+    hour = F.when(F.col("tpep_pickup_datetime").isNotNull(), T.pickup_hour())
+    rows = fact.select(*months, *[hour.alias(k) if k == "pickup_hour" else k for k in keys], *_measured())
+    sets = [[*months, *own] for own in KEY_SETS]
+    names = F.grouping_id()  # a bit for each column that a set does not have
+    grouped = rows.groupingSets(sets, *months, *keys).agg(
+        names.alias("set"),
+        F.count(F.lit(1)).alias("trips"),
+        *[a for m in MEASURES for a in (*T.exact_sums(m, m), F.count(m).alias(f"{m}_n"))],
+    )
+    own = {",".join(k): sum(1 << (len(keys) - 1 - i) for i, c in enumerate(keys) if c not in k) for k in KEY_SETS}
+    by = F.coalesce(*[F.when(F.col("set") == bits, F.lit(name)) for name, bits in own.items()])
+    return grouped.withColumn("set", by).withColumnRenamed("set", BY).select(BY, *keys, "trips", *_parts(), *months)
 
-def exact_mean(measure: str, again: bool = True) -> Column:
-    n = F.sum(f"{measure}_n") if again else F.col(f"{measure}_n")
-    return F.try_divide(T.exact_total(measure, again), n)
+
+def _measured() -> list[Column]:
+    return [measure().alias(name) for name, measure in MEASURES.items()]
+
+
+def _parts() -> list[str]:
+    return [f"{m}_{part}" for m in MEASURES for part in ("whole", "high", "low", "other", "n")]
+
+
+def totals_per_key(tables: Tables, keys: list[str], *measures: str) -> DataFrame:
+    """Trip count, and sum in exact parts and non-null count of every measure, per key; see `functions.exact`.
+
+    Totals that are kept by load month are added up, if the mart has them; then the fact is not read.
+    """
+    if TOTALS_TABLE in tables:
+        kept = tables[TOTALS_TABLE].filter(F.col(BY) == ",".join(keys))
+        parts = [f"{m}_{part}" for m in measures for part in ("whole", "high", "low", "other", "n")]
+        return kept.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("trips", *parts)])
+    aggregates = [F.count(F.lit(1)).alias("trips")]
+    for m in measures:
+        aggregates += [*T.exact_sums(m, MEASURES[m]()), F.count(MEASURES[m]()).alias(f"{m}_n")]
+    return tables["fact_trips"].groupBy(*keys).agg(*aggregates)
 
 
 def trip_count() -> Column:
@@ -50,11 +101,11 @@ def trip_count() -> Column:
 
 
 def total(measure: str) -> Column:
-    return F.sum(f"{measure}_sum")
+    return T.exact_total(measure)
 
 
 def mean(measure: str) -> Column:
-    return F.try_divide(F.sum(f"{measure}_sum"), F.sum(f"{measure}_n"))
+    return F.try_divide(T.exact_total(measure), F.sum(f"{measure}_n"))
 
 
 def _by_payment(totals: DataFrame, tables: Tables, how: str) -> DataFrame:
@@ -80,7 +131,7 @@ def _zones(tables: Tables, role: str) -> DataFrame:
 
 def pickup_boroughs(tables: Tables) -> DataFrame:
     """Trips per pickup borough; trips without a known borough are left out."""
-    totals = totals_per_key(tables["fact_trips"], ["PULocationID"], revenue="total_amount")
+    totals = totals_per_key(tables, ["PULocationID"], "revenue")
     zones = _zones(tables, "pickup").filter("pickup_borough IS NOT NULL")
     return (
         totals.join(zones, totals["PULocationID"] == zones["pickup_key"])
@@ -97,11 +148,11 @@ def pickup_boroughs(tables: Tables) -> DataFrame:
 def top_routes_by_revenue(tables: Tables, limit: int = 10) -> DataFrame:
     """The zone pairs that earn most."""
     totals = totals_per_key(
-        tables["fact_trips"],
+        tables,
         ["PULocationID", "DOLocationID"],
-        distance="trip_distance",
-        duration="trip_duration_minutes",
-        revenue="total_amount",
+        "distance",
+        "duration",
+        "revenue",
     )
     pickup = _zones(tables, "pickup").filter("pickup_zone IS NOT NULL")
     dropoff = _zones(tables, "dropoff").filter("dropoff_zone IS NOT NULL")
@@ -126,12 +177,12 @@ def payment_metrics(tables: Tables) -> DataFrame:
     `tip_percentage` is the mean of each trip's tip share, not the ratio of sums.
     """
     totals = totals_per_key(
-        tables["fact_trips"],
+        tables,
         ["payment_type"],
-        distance="trip_distance",
-        fare="fare_amount",
-        tip="tip_amount",
-        tip_ratio=T.tip_ratio(),
+        "distance",
+        "fare",
+        "tip",
+        "tip_ratio",
     )
     return (
         _by_payment(totals, tables, "left")
@@ -150,12 +201,12 @@ def payment_metrics(tables: Tables) -> DataFrame:
 def rate_code_metrics(tables: Tables) -> DataFrame:
     """Trip figures per rate code; unknown codes form a null group."""
     totals = totals_per_key(
-        tables["fact_trips"],
+        tables,
         ["RateCodeID"],
-        distance="trip_distance",
-        duration="trip_duration_minutes",
-        price="price_per_mile",
-        revenue="total_amount",
+        "distance",
+        "duration",
+        "price",
+        "revenue",
     )
     return (
         _by_rate(totals, tables, "left")
@@ -177,6 +228,9 @@ def busiest_hours(tables: Tables) -> DataFrame:
     The hour follows from the pickup time, which is also the key of `dim_time`,
     so the join is not needed: see `busiest_hours_by_join`.
     """
+    if TOTALS_TABLE in tables:
+        hours = totals_per_key(tables, ["pickup_hour"]).filter("pickup_hour IS NOT NULL")
+        return hours.select("pickup_hour", F.col("trips").alias("trip_count")).orderBy(F.desc("trip_count"), "pickup_hour")
     return (
         tables["fact_trips"]
         .filter("tpep_pickup_datetime IS NOT NULL")
@@ -192,7 +246,7 @@ def busiest_hours_by_join(tables: Tables) -> DataFrame:
     Both sides of the join can be large. Trips are counted per time first, which
     leaves both sides unique on the key; neither is broadcast by hint.
     """
-    per_time = totals_per_key(tables["fact_trips"], ["tpep_pickup_datetime"])
+    per_time = tables["fact_trips"].groupBy("tpep_pickup_datetime").agg(F.count(F.lit(1)).alias("trips"))
     hours = tables["dim_time"].select("tpep_pickup_datetime", "pickup_hour")
     return (
         per_time.join(hours, "tpep_pickup_datetime")
@@ -205,11 +259,11 @@ def busiest_hours_by_join(tables: Tables) -> DataFrame:
 def payment_analysis(tables: Tables) -> DataFrame:
     """Trips and money per known payment type."""
     totals = totals_per_key(
-        tables["fact_trips"],
+        tables,
         ["payment_type"],
-        fare="fare_amount",
-        tip="tip_amount",
-        revenue="total_amount",
+        "fare",
+        "tip",
+        "revenue",
     )
     return (
         _by_payment(totals, tables, "inner")
@@ -226,9 +280,7 @@ def payment_analysis(tables: Tables) -> DataFrame:
 
 def rate_code_analysis(tables: Tables) -> DataFrame:
     """Trips and money per known rate code. `avg_fare` is the mean total amount."""
-    totals = totals_per_key(
-        tables["fact_trips"], ["RateCodeID"], distance="trip_distance", revenue="total_amount"
-    )
+    totals = totals_per_key(tables, ["RateCodeID"], "distance", "revenue")
     return (
         _by_rate(totals, tables, "inner")
         .groupBy("rate_code_desc")
@@ -244,7 +296,7 @@ def rate_code_analysis(tables: Tables) -> DataFrame:
 
 def payment_by_rate(tables: Tables) -> DataFrame:
     """Trips per known rate code and payment type."""
-    totals = totals_per_key(tables["fact_trips"], ["payment_type", "RateCodeID"])
+    totals = totals_per_key(tables, ["payment_type", "RateCodeID"])
     return (
         _by_rate(_by_payment(totals, tables, "inner"), tables, "inner")
         .groupBy("rate_code_desc", "payment_type_desc")
@@ -273,12 +325,12 @@ def popular_dropoffs(tables: Tables, limit: int = 10) -> DataFrame:
 
 
 def _popular_zones(tables: Tables, key: str, count_name: str, limit: int) -> DataFrame:
-    totals = exact_totals_per_key(
-        tables["fact_trips"],
+    totals = totals_per_key(
+        tables,
         [key],
-        distance="trip_distance",
-        fare="fare_amount",
-        revenue="total_amount",
+        "distance",
+        "fare",
+        "revenue",
     )
     zones = tables["dim_taxi_zone"].withColumn("key", T.location_key("location_id"))
     return (
@@ -286,9 +338,9 @@ def _popular_zones(tables: Tables, key: str, count_name: str, limit: int) -> Dat
         .groupBy("location_id", "borough", "zone", "service_zone")
         .agg(
             trip_count().alias(count_name),
-            exact_mean("distance").alias("avg_distance"),
-            exact_mean("fare").alias("avg_fare"),
-            T.exact_total("revenue").alias("total_revenue"),
+            mean("distance").alias("avg_distance"),
+            mean("fare").alias("avg_fare"),
+            total("revenue").alias("total_revenue"),
         )
         .orderBy(F.desc(count_name), "location_id")
         .limit(limit)
@@ -297,22 +349,24 @@ def _popular_zones(tables: Tables, key: str, count_name: str, limit: int) -> Dat
 
 def popular_routes(tables: Tables, limit: int = 10) -> DataFrame:
     """The pairs of location ids with most trips, with unrounded figures."""
-    totals = exact_totals_per_key(
-        tables["fact_trips"],
+    totals = totals_per_key(
+        tables,
         ["PULocationID", "DOLocationID"],
-        distance="trip_distance",
-        duration="trip_duration_minutes",
-        revenue="total_amount",
+        "distance",
+        "duration",
+        "revenue",
+    )
+    return (
+        totals.groupBy(F.col("PULocationID").alias("pickup_id"), F.col("DOLocationID").alias("dropoff_id"))
+        .agg(
+            trip_count().alias("trip_count"),
+            mean("distance").alias("avg_distance"),
+            mean("duration").alias("avg_duration"),
+            total("revenue").alias("total_revenue"),
+        )
+        .orderBy(F.desc("trip_count"), "pickup_id", "dropoff_id")
+        .limit(limit)
     )
-    first = totals.orderBy(F.desc("trips"), "PULocationID", "DOLocationID").limit(limit)
-    return first.select(
-        F.col("PULocationID").alias("pickup_id"),
-        F.col("DOLocationID").alias("dropoff_id"),
-        F.col("trips").alias("trip_count"),
-        exact_mean("distance", again=False).alias("avg_distance"),
-        exact_mean("duration", again=False).alias("avg_duration"),
-        T.exact_total("revenue", again=False).alias("total_revenue"),
-    ).orderBy(F.desc("trip_count"), "pickup_id", "dropoff_id")
 
 
 REPORTS: dict[str, Callable[[Tables], DataFrame]] = {

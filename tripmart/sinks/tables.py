@@ -40,11 +40,15 @@ def read_saved(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return versions.read_version(spark, base_path, name, saved) if saved else None
 
 
-def read_all(spark: SparkSession, base_path: str, names: Iterable[str], fmt: str = "parquet") -> dict[str, DataFrame]:
-    """Several tables of one base path, all as the same load has left them."""
+def read_all(
+    spark: SparkSession, base_path: str, names: Iterable[str], fmt: str = "parquet", optional: Iterable[str] = ()
+) -> dict[str, DataFrame]:
+    """Several tables of one base path, all as the same load has left them, and the `optional` ones that are there."""
     if fmt in SELF_DESCRIBING:
-        return {name: spark.read.format(fmt).load(table_path(base_path, name)) for name in names}
+        there = [name for name in optional if path_exists(spark, table_path(base_path, name))]
+        return {name: spark.read.format(fmt).load(table_path(base_path, name)) for name in (*names, *there)}
     held = versions.current(spark, base_path).tables
+    names = [*names, *(name for name in optional if name in held)]
     if missing := [name for name in names if name not in held]:
         raise FileNotFoundError(f"no table {', '.join(missing)} under {base_path}")
     return {name: versions.read_version(spark, base_path, name, held[name]) for name in names}
