@@ -36,20 +36,21 @@ SPREAD = np.uint64(0x9E3779B97F4A7C15)
 SLICE = 1 << 20
 
 
-def grams(text: str) -> np.ndarray:
+def grams(text: str, kept: np.ndarray | None = None) -> np.ndarray:
     """The distinct hashes of all n-grams of a text's characters, A to Z in lower case, white space as one space.
 
-    A long text is gone through in slices that overlap, so that a task holds some
+    Given `kept`, a table of all hashes, only those of it. A long text is gone through in slices that overlap, so that a task holds some
     sixty bytes for each character of a slice, whatever the text's length.
     """
     words = b" ".join(text.encode().lower().split()).decode()
     data = np.frombuffer(f" {words} ".encode("utf-32-le"), np.uint32)
     if len(data) <= SLICE:
-        return np.unique(_hashes(data))
+        found = _hashes(data)
+        return np.unique(found if kept is None else found[kept[found]])
     seen = np.zeros(1 << BITS, bool)
     for at in range(0, len(data), SLICE):
         seen[_hashes(data[at : at + SLICE + max(LENGTHS) - 1])] = True
-    return np.flatnonzero(seen)
+    return np.flatnonzero(seen if kept is None else seen & kept)
 
 
 def _hashes(data: np.ndarray) -> np.ndarray:
@@ -72,9 +73,12 @@ class Model:
     weights: np.ndarray
     intercept: float
 
+    def __post_init__(self) -> None:
+        self.kept = self.weights != 0
+
     def score(self, text: str) -> float:
         """Probability of label 1: every feature counts once, however often it occurs."""
-        features = grams(text)
+        features = grams(text, self.kept)
         return float(1 / (1 + np.exp(-(self.intercept + self.weights[features].sum()))))
 
 
@@ -147,8 +151,7 @@ def fit(train: DataFrame) -> Model:
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [grams(t) for t in batch.column(0).to_pylist()]
-            found = [f[kept[f]].astype(np.int32).tobytes() for f in found]
+            found = [grams(t, kept).astype(np.int32).tobytes() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column(1)], names=["f", "label"])
 
     rows = train.select("text", "label").mapInArrow(own, "f binary, label int").toPandas()
