@@ -27,6 +27,8 @@ FOLDED = bytes(
 )
 #: Occurrences of a chunk, about, and bytes of text that are split at once.
 CHUNK_WORDS, SLICE = 1 << 21, 4 << 20
+#: Groups in a row of the table that has them.
+GROUPS = 1 << 13
 #: Bits of an id for the place of a group in its chunk, and for the place of a chunk in its task.
 GROUP_BITS, CHUNK_BITS = 29, 14
 
@@ -97,10 +99,9 @@ def mine(
     texts = documents.select(F.coalesce(documents["lang"].cast("string"), F.lit(UNKNOWN)).alias("lang"), text_of(documents).alias("text"))
     stages = Stages(spark)
     relation = stages.stage(texts.mapInArrow(_occurrences, _FIRST))
-    sizes = relation.select(F.explode(F.map_from_arrays("of_lang", "of_words"))).toDF("lang", "words")
-    sizes = stages.stage(sizes.groupBy("lang").agg(F.sum("words").alias("n")))
-    groups = relation.select("chunk", F.posexplode(F.arrays_zip("lang", "word", "times")))
-    groups = groups.select("chunk", F.col("pos").alias("group"), "col.*")
+    sizes = relation.select(F.explode(F.arrays_zip("of_lang", "of_words"))).select("col.*")
+    sizes = stages.stage(sizes.groupBy(F.col("of_lang").alias("lang")).agg(F.sum("of_words").alias("n")))
+    groups = _groups(relation, "lang", "word", "times")
     levels = []
     for size in range(1, longest + 1):
         keys = ["lang", "word"] if size == 1 else ["left", "right"]
@@ -111,12 +112,11 @@ def mine(
         relation, before = stages.stage(
             frequent.select("chunk", "group", "id")
             .groupBy("chunk")
-            .cogroup(relation.select("chunk", "n", "places", "groups").groupBy("chunk"))
+            .cogroup(relation.filter("n IS NOT NULL").select("chunk", "n", "places", "groups").groupBy("chunk"))
             .applyInArrow(_extended, _NEXT)
         ), (relation, frequent)
         stages.drop(*before)
-        groups = relation.select("chunk", F.posexplode(F.arrays_zip("left", "right", "times")))
-        groups = groups.select("chunk", F.col("pos").alias("group"), "col.*")
+        groups = _groups(relation, "left", "right", "times")
     phrases = _phrases(levels)
     kept = stages.stage(_scored(phrases, scale, cover).join(F.broadcast(sizes), "lang"))
     stages.drop(relation, frequent, *levels, sizes)
@@ -151,11 +151,38 @@ def _frequent(groups: DataFrame, keys: list[str], least: int) -> DataFrame:
     return totals.filter(F.col("a") >= least).select("chunk", "group", "id", "a", *keys)
 
 
+def _groups(relation: DataFrame, *columns: str) -> DataFrame:
+    """A row for each group of a chunk, out of the table's rows with some thousands of them."""
+    groups = relation.filter("start IS NOT NULL").select("chunk", "start", F.posexplode(F.arrays_zip(*columns)))
+    return groups.select("chunk", (F.col("start") + F.col("pos")).alias("group"), "col.*")
+
+
 _FIRST = (
-    "chunk long, n long, places binary, groups binary, lang array<string>, word array<string>, times array<long>,"
-    " of_lang array<string>, of_words array<long>"
+    "chunk long, n long, places binary, groups binary, of_lang array<string>, of_words array<long>,"
+    " start long, lang array<string>, word array<string>, times array<long>"
 )
-_NEXT = "chunk long, n long, places binary, groups binary, left array<long>, right array<long>, times array<long>"
+_NEXT = (
+    "chunk long, n long, places binary, groups binary, start long, left array<long>, right array<long>, times array<long>"
+)
+
+
+def _rows(schema: str, relation: dict, groups: dict[str, pa.Array]) -> pa.Table:
+    """A row with the occurrences of a chunk, and rows that have its groups, GROUPS each."""
+    n = len(groups["times"])
+    starts = range(0, n, GROUPS)
+    columns = {}
+    for field in schema.split(", "):
+        name, kind = field.split()
+        if name in groups:
+            offsets = pa.array([0, 0, *[min(n, s + GROUPS) for s in starts]], pa.int32())
+            columns[name] = pa.ListArray.from_arrays(offsets, groups[name])
+        elif name in ("chunk", "start"):
+            own = [relation["chunk"]] * (1 + len(starts)) if name == "chunk" else [None, *starts]
+            columns[name] = pa.array(own, pa.int64())
+        else:
+            kinds = {"long": pa.int64(), "binary": pa.binary(), "array<string>": pa.list_(pa.string())}
+            columns[name] = pa.array([relation[name], *[None] * len(starts)], kinds.get(kind, pa.list_(pa.int64())))
+    return pa.table(columns)
 
 
 class _Chunk:
@@ -176,7 +203,7 @@ class _Chunk:
         self.n += len(words)
         self.base += int(places[-1]) + 2
 
-    def row(self) -> pa.RecordBatch:
+    def rows(self) -> Iterator[pa.RecordBatch]:
         words = pa.chunked_array(self.words).unify_dictionaries()
         names, own = np.unique(np.array(self.langs, object), return_inverse=True)
         dictionary = words.chunk(0).dictionary
@@ -184,23 +211,22 @@ class _Chunk:
         lang = np.repeat(own, [len(c) for c in words.chunks])
         keys, groups, times = np.unique(lang * len(dictionary) + indices, return_inverse=True, return_counts=True)
         held = pa.array(names.tolist(), pa.string())
-        columns = {
-            "chunk": pa.array([self.name], pa.int64()),
-            "n": pa.array([self.n], pa.int64()),
-            "places": pa.array([_packed(np.concatenate(self.places))], pa.binary()),
-            "groups": pa.array([squeeze(groups.astype("<i4"))], pa.binary()),
-            "lang": _single(held.take(pa.array(keys // len(dictionary)))),
-            "word": _single(dictionary.take(pa.array(keys % len(dictionary)))),
-            "times": _single(pa.array(times, pa.int64())),
-            "of_lang": _single(held),
-            "of_words": _single(pa.array(np.bincount(lang), pa.int64())),
+        relation = {
+            "chunk": self.name,
+            "n": self.n,
+            "places": _packed(np.concatenate(self.places)),
+            "groups": squeeze(groups.astype("<i4")),
+            "of_lang": names.tolist(),
+            "of_words": np.bincount(lang).tolist(),
         }
-        return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
-
-
-def _single(values: pa.Array) -> pa.Array:
-    """A column of one row, which is the list of all values."""
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+        whole = {
+            "lang": held.take(pa.array(keys // len(dictionary))),
+            "word": dictionary.take(pa.array(keys % len(dictionary))),
+            "times": pa.array(times, pa.int64()),
+        }
+        table = _rows(_FIRST, relation, whole)
+        for at in range(0, len(table), 8):
+            yield from table.slice(at, 8).combine_chunks().to_batches()
 
 
 def _packed(places: np.ndarray) -> bytes:
@@ -219,39 +245,42 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for places, words in words_of("\n".join(texts.to_pylist()).encode().translate(FOLDED)):
                 chunk.add(lang, places, words)
                 if chunk.n >= CHUNK_WORDS:
-                    yield chunk.row()
+                    yield from chunk.rows()
                     chunks += 1
                     if chunks >> CHUNK_BITS:
                         raise OverflowError("too much text for one task; make the input's partitions smaller")
                     chunk = _Chunk(task << CHUNK_BITS | chunks)
     if chunk.n:
-        yield chunk.row()
+        yield from chunk.rows()
 
 
 def _extended(frequent: pa.Table, relation: pa.Table) -> pa.Table:
     """Semi-join and merge-join of a chunk: the occurrences of the next length, with its groups and their counts."""
-    rows = {k: [] for k in ("chunk", "n", "places", "groups", "left", "right", "times")}
-    if len(relation) and len(frequent):
-        held = relation.to_pylist()[0]
-        places = np.cumsum(open_up(held["places"], "<i8", held["n"]))
-        groups = open_up(held["groups"], "<i4", held["n"]).astype(np.int64)
-        ids = np.full(max(int(groups.max()), int(max(frequent.column("group").to_numpy()))) + 1, -1, np.int64)
-        ids[frequent.column("group").to_numpy()] = frequent.column("id").to_numpy()
-        kept = ids[groups] >= 0
-        places, groups = places[kept], groups[kept]
-        beside = np.flatnonzero(np.diff(places) == 1)
-        if len(beside):
-            keys = groups[beside] * len(ids) + groups[beside + 1]
-            keys, own, times = np.unique(keys, return_inverse=True, return_counts=True)
-            rows["chunk"].append(held["chunk"])
-            rows["n"].append(len(beside))
-            rows["places"].append(_packed(places[beside]))
-            rows["groups"].append(squeeze(own.astype("<i4")))
-            rows["left"].append(ids[keys // len(ids)])
-            rows["right"].append(ids[keys % len(ids)])
-            rows["times"].append(times)
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), *[pa.list_(pa.int64())] * 3]
-    return pa.table({k: pa.array(v, kind) for (k, v), kind in zip(rows.items(), kinds, strict=True)})
+    if not len(relation) or not len(frequent):
+        return _NOTHING
+    held = relation.to_pylist()[0]
+    places = np.cumsum(open_up(held["places"], "<i8", held["n"]))
+    groups = open_up(held["groups"], "<i4", held["n"]).astype(np.int64)
+    ids = np.full(max(int(groups.max()), int(max(frequent.column("group").to_numpy()))) + 1, -1, np.int64)
+    ids[frequent.column("group").to_numpy()] = frequent.column("id").to_numpy()
+    kept = ids[groups] >= 0
+    places, groups = places[kept], groups[kept]
+    beside = np.flatnonzero(np.diff(places) == 1)
+    if not len(beside):
+        return _NOTHING
+    keys = groups[beside] * len(ids) + groups[beside + 1]
+    keys, own, times = np.unique(keys, return_inverse=True, return_counts=True)
+    relation = {
+        "chunk": held["chunk"],
+        "n": len(beside),
+        "places": _packed(places[beside]),
+        "groups": squeeze(own.astype("<i4")),
+    }
+    whole = {"left": ids[keys // len(ids)], "right": ids[keys % len(ids)], "times": times}
+    return _rows(_NEXT, relation, {k: pa.array(v, pa.int64()) for k, v in whole.items()})
+
+
+_NOTHING = _rows(_NEXT, dict.fromkeys(("chunk", "n", "places", "groups")), dict.fromkeys(("left", "right", "times"), pa.array([], pa.int64())))[:0]
 
 
 def _phrases(levels: list[DataFrame]) -> DataFrame:
