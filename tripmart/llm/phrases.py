@@ -26,7 +26,9 @@ FOLDED = bytes(
     ord("\n") if b in SEPARATORS else ord(" ") if b in BLANKS else b + 32 if 65 <= b <= 90 else b for b in range(256)
 )
 #: Occurrences of a chunk, about, and bytes of text that are split at once.
-CHUNK_WORDS, SLICE = 1 << 21, 4 << 20
+CHUNK_WORDS, SLICE = 1 << 22, 4 << 20
+#: Words times languages of a chunk that are numbered by a table.
+DENSE = 1 << 24
 #: Groups in a row of the table that has them.
 GROUPS = 1 << 13
 #: Bits of an id for the place of a group in its chunk, and for the place of a chunk in its task.
@@ -207,9 +209,15 @@ class _Chunk:
         words = pa.chunked_array(self.words).unify_dictionaries()
         names, own = np.unique(np.array(self.langs, object), return_inverse=True)
         dictionary = words.chunk(0).dictionary
-        indices = np.concatenate([c.indices.to_numpy() for c in words.chunks]).astype(np.int64)
         lang = np.repeat(own, [len(c) for c in words.chunks])
-        keys, groups, times = np.unique(lang * len(dictionary) + indices, return_inverse=True, return_counts=True)
+        keys = np.concatenate([c.indices.to_numpy() for c in words.chunks]) + lang * len(dictionary)
+        if len(names) * len(dictionary) <= DENSE:  # numbered without sorting
+            times = np.bincount(keys, minlength=len(names) * len(dictionary))
+            groups = (np.cumsum(times > 0) - 1)[keys]
+            keys = np.flatnonzero(times)
+            times = times[keys]
+        else:
+            keys, groups, times = np.unique(keys, return_inverse=True, return_counts=True)
         held = pa.array(names.tolist(), pa.string())
         relation = {
             "chunk": self.name,
