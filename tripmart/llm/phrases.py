@@ -33,6 +33,8 @@ DENSE = 1 << 24
 GROUPS = 1 << 13
 #: Bits of an id for the place of a group in its chunk, and for the place of a chunk in its task.
 GROUP_BITS, CHUNK_BITS = 29, 14
+#: Bits of a tally for the count.
+TIMES_BITS = 34
 
 
 def words_of(text: bytes) -> Iterator[tuple[np.ndarray, pa.Array]]:
@@ -103,7 +105,10 @@ def mine(
     relation = stages.stage(texts.mapInArrow(_occurrences, _FIRST))
     sizes = relation.select(F.explode(F.arrays_zip("of_lang", "of_words"))).select("col.*")
     sizes = stages.stage(sizes.groupBy(F.col("of_lang").alias("lang")).agg(F.sum("of_words").alias("n")))
-    groups = _groups(relation, "lang", "word", "times")
+    groups = relation.filter("start IS NOT NULL")
+    groups = groups.select("chunk", "start", F.posexplode(F.arrays_zip("lang", "word", "times")))
+    tally = F.shiftleft(F.col("start") + F.col("pos"), TIMES_BITS).bitwiseOR(F.col("col.times")).alias("tally")
+    groups = groups.select("chunk", tally, "col.lang", "col.word")
     levels = []
     for size in range(1, longest + 1):
         keys = ["lang", "word"] if size == 1 else ["left", "right"]
@@ -118,7 +123,7 @@ def mine(
             .applyInArrow(_extended, _NEXT)
         ), (relation, frequent)
         stages.drop(*before)
-        groups = _groups(relation, "left", "right", "times")
+        groups = relation.mapInArrow(_tallies, "chunk long, tally long, left long, right long")
     phrases = _phrases(levels)
     kept = stages.stage(_scored(phrases, scale, cover).join(F.broadcast(sizes), "lang"))
     stages.drop(relation, frequent, *levels, sizes)
@@ -147,25 +152,30 @@ def _own() -> Column:
 
 
 def _frequent(groups: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """The chunks' rows of groups that occur often enough, with their total `a` and an id for each group."""
-    alike = Window.partitionBy(*keys)
-    totals = groups.withColumns({"a": F.sum("times").over(alike), "id": F.min(_own()).over(alike)})
-    return totals.filter(F.col("a") >= least).select("chunk", "group", "id", "a", *keys)
-
+    """The chunks' rows of groups that occur often enough, with an id for each group.
 
-def _groups(relation: DataFrame, *columns: str) -> DataFrame:
-    """A row for each group of a chunk, out of the table's rows with some thousands of them."""
-    groups = relation.filter("start IS NOT NULL").select("chunk", "start", F.posexplode(F.arrays_zip(*columns)))
-    return groups.select("chunk", (F.col("start") + F.col("pos")).alias("group"), "col.*")
+    The total `a` and the keys are given in one row of each group, that of its
+    id. Group and count are one number, `tally`, while rows are exchanged.
+    """
+    alike = Window.partitionBy(*keys)
+    held = groups.repartition(*keys).withColumns(
+        {
+            "group": F.shiftright("tally", TIMES_BITS),
+            "times": F.col("tally").bitwiseAND(F.lit((1 << TIMES_BITS) - 1)),
+        }
+    )
+    held = held.withColumn("own", _own())
+    totals = held.withColumns({"a": F.sum("times").over(alike), "id": F.min("own").over(alike)})
+    first = F.col("id") == F.col("own")
+    named = [F.when(first, F.col(c)).alias(c) for c in ("a", *keys)]
+    return totals.filter(F.col("a") >= least).select("chunk", "group", "id", *named)
 
 
 _FIRST = (
     "chunk long, n long, places binary, groups binary, of_lang array<string>, of_words array<long>,"
     " start long, lang array<string>, word array<string>, times array<long>"
 )
-_NEXT = (
-    "chunk long, n long, places binary, groups binary, start long, left array<long>, right array<long>, times array<long>"
-)
+_NEXT = "chunk long, n long, places binary, groups binary, size long, left binary, right binary, times binary"
 
 
 def _rows(schema: str, relation: dict, groups: dict[str, pa.Array]) -> pa.Table:
@@ -265,7 +275,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _extended(frequent: pa.Table, relation: pa.Table) -> pa.Table:
     """Semi-join and merge-join of a chunk: the occurrences of the next length, with its groups and their counts."""
     if not len(relation) or not len(frequent):
-        return _NOTHING
+        return _NEXT_TABLE.empty_table()
     held = relation.to_pylist()[0]
     places = np.cumsum(open_up(held["places"], "<i8", held["n"]))
     groups = open_up(held["groups"], "<i4", held["n"]).astype(np.int64)
@@ -275,7 +285,7 @@ def _extended(frequent: pa.Table, relation: pa.Table) -> pa.Table:
     places, groups = places[kept], groups[kept]
     beside = np.flatnonzero(np.diff(places) == 1)
     if not len(beside):
-        return _NOTHING
+        return _NEXT_TABLE.empty_table()
     keys = groups[beside] * len(ids) + groups[beside + 1]
     keys, own, times = np.unique(keys, return_inverse=True, return_counts=True)
     relation = {
@@ -284,11 +294,26 @@ def _extended(frequent: pa.Table, relation: pa.Table) -> pa.Table:
         "places": _packed(places[beside]),
         "groups": squeeze(own.astype("<i4")),
     }
-    whole = {"left": ids[keys // len(ids)], "right": ids[keys % len(ids)], "times": times}
-    return _rows(_NEXT, relation, {k: pa.array(v, pa.int64()) for k, v in whole.items()})
+    relation |= {"size": len(keys), "left": squeeze(ids[keys // len(ids)]), "right": squeeze(ids[keys % len(ids)])}
+    relation["times"] = squeeze(times.astype("<i4"))
+    return pa.Table.from_pylist([relation], _NEXT_TABLE)
+
 
+_NEXT_TABLE = pa.schema([(f.split()[0], {"long": pa.int64(), "binary": pa.binary()}[f.split()[1]]) for f in _NEXT.split(", ")])
 
-_NOTHING = _rows(_NEXT, dict.fromkeys(("chunk", "n", "places", "groups")), dict.fromkeys(("left", "right", "times"), pa.array([], pa.int64())))[:0]
+
+def _tallies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each group of a chunk: its place in the chunk with its count in one number, and its parts."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            size = row["size"]
+            left, right = (open_up(row[side], "<i8", size) for side in ("left", "right"))
+            times = open_up(row["times"], "<i4", size).astype(np.int64)
+            tally = np.arange(size) << TIMES_BITS | times
+            for at in range(0, size, 8 * GROUPS):
+                some = [pa.array(x[at : at + 8 * GROUPS]) for x in (tally, left, right)]
+                chunk = pa.array(np.full(len(some[0]), row["chunk"]))
+                yield pa.RecordBatch.from_arrays([chunk, *some], names=["chunk", "tally", "left", "right"])
 
 
 def _phrases(levels: list[DataFrame]) -> DataFrame:
