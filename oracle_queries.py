@@ -253,6 +253,7 @@ QUERIES = {
     """,
     "busiest_hours": BUSIEST_HOURS,
     "busiest_hours_by_join": BUSIEST_HOURS,
+    "busiest_hours_by_buckets": BUSIEST_HOURS,
     "payment_analysis": """
         SELECT t.payment_type, payment_type_desc, count(*) AS trip_count,
             round(avg(fare_amount), 2) AS avg_fare, round(avg(tip_amount), 2) AS avg_tip,

@@ -28,11 +28,13 @@ from tripmart.schema import (
 )
 from tripmart.sinks import (
     Prepared,
+    by_buckets,
     check_catalog,
     check_columns,
     check_layout,
     discard,
     partition_filter,
+    prepare_bucketed,
     prepare_partition,
     prepare_partitions,
     prepare_table,
@@ -44,6 +46,7 @@ from tripmart.sinks import (
     table_path,
     write_and_read,
 )
+from tripmart.sinks.tables import SELF_DESCRIBING
 from tripmart.sources import (
     MONTH_FILE,
     dim_payment_type,
@@ -54,6 +57,8 @@ from tripmart.sources import (
 
 DUPLICATES_TABLE = "duplicate_trips"
 
+PICKUP_TIME = "tpep_pickup_datetime"
+
 # Partition columns of the by-month mart: of fact and duplicates, and of the time dimension.
 LOAD_MONTH = ("trip_year", "trip_month")
 PICKUP_MONTH = ("pickup_year", "pickup_month")
@@ -105,6 +110,7 @@ def run(
     time_zone: str | None = "UTC",
     repeatable_ids: bool = False,
     keep_totals: bool = False,
+    time_buckets: int | None = None,
 ) -> PipelineResult:
     """Load the trips of one month from the folder `source` and save the star schema.
 
@@ -116,11 +122,15 @@ def run(
 
     Zoned times become local times of `time_zone` (None: the session's zone), so
     that hours and dates are the same in every later session. With
-    `repeatable_ids` a trip's id follows from the load's trips alone, see `load`.
+    `repeatable_ids` a trip's id follows from the load's trips alone, and with
+    `time_buckets` fact and time dimension are joined without a shuffle, see `load`.
     """
     raw = read_trips(spark, source, year, month, pattern)
     load_month = (int(year), int(month)) if by_month else None
-    return load(spark, raw, read_zones(spark, zones_path), base_path, schema, fmt, load_month, time_zone, repeatable_ids, keep_totals)
+    zones = read_zones(spark, zones_path)
+    return load(
+        spark, raw, zones, base_path, schema, fmt, load_month, time_zone, repeatable_ids, keep_totals, time_buckets
+    )
 
 
 def load(
@@ -134,6 +144,7 @@ def load(
     time_zone: str | None = "UTC",
     repeatable_ids: bool = False,
     keep_totals: bool = False,
+    time_buckets: int | None = None,
 ) -> PipelineResult:
     """`run` for raw trips and zones that are already DataFrames.
 
@@ -154,7 +165,18 @@ def load(
     With `keep_totals` a mart by month has a further table: what reports add up,
     for each load month. It is replaced with its month, made for all months by
     the first load that asks for it, and kept by every load from then on.
+
+    With `time_buckets` the files of fact and time dimension are dealt into that
+    many buckets by pickup time, and the catalog's tables say so: a join of both
+    through the catalog then shuffles neither. A bucket is read by one task, so
+    there should be several per core, and one time that has a large share of all
+    trips makes one long task; its trips are written by several. This is for
+    plain loads with a `schema`, as nothing but the catalog knows of buckets.
     """
+    if time_buckets is not None and (schema is None or load_month is not None):
+        raise ValueError("buckets need a catalog schema and a load without months")
+    if time_buckets is not None and (time_buckets < 1 or fmt in SELF_DESCRIBING):
+        raise ValueError(f"{time_buckets} buckets of {fmt} files cannot be written")
     time_zone = time_zone or spark.conf.get("spark.sql.session.timeZone")
     partition = dict(zip(LOAD_MONTH, load_month, strict=True)) if load_month else None
     lookups = {
@@ -175,6 +197,8 @@ def load(
             fact = _fact(groups.drop(OCCURRENCES), time_zone)
             if repeatable_ids:
                 fact = numbered(fact.select(*TRIP_ORDER), "trip_id", f"{staging}/sorted").select(*FACT_COLUMNS)
+            if time_buckets:  # before the rows are observed, as the cuts of ranges read them once more
+                fact = by_buckets(fact, PICKUP_TIME, time_buckets, spread="trip_id")
             wanted = {DUPLICATES_TABLE: repeated, "fact_trips": quality.final_count}
             seen_written = {}
             for name, df in {
@@ -183,7 +207,9 @@ def load(
             }.items():
                 seen_written[name] = Observation(name)
                 df = df.observe(seen_written[name], F.count(F.lit(1)).alias("rows"))
-                if partition is None:
+                if time_buckets and name == "fact_trips":
+                    prepared.append(prepare_bucketed(df, PICKUP_TIME, time_buckets, name, base_path, schema, fmt))
+                elif partition is None:
                     prepared.append(prepare_table(df, name, base_path, fmt))
                 else:
                     prepared.append(prepare_partition(df, partition, name, base_path, fmt))
@@ -200,7 +226,10 @@ def load(
                             f" and its files have {counts[name]}"
                         )
         fact = prepared[-1].read()
-        if partition is None:
+        if time_buckets:
+            times = by_buckets(dim_time(fact), PICKUP_TIME, time_buckets)
+            prepared.append(prepare_bucketed(times, PICKUP_TIME, time_buckets, "dim_time", base_path, schema, fmt))
+        elif partition is None:
             prepared.append(prepare_table(dim_time(fact), "dim_time", base_path, fmt))
         else:
             prepared.append(prepare_times(fact, partition, base_path, fmt))

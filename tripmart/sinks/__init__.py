@@ -3,12 +3,14 @@ from tripmart.sinks.staging import new_folder, rows_in_files, shared_folder, sta
 from tripmart.sinks.tables import (
     Prepared,
     append_missing,
+    by_buckets,
     check_catalog,
     check_columns,
     check_layout,
     create_schema,
     discard,
     partition_filter,
+    prepare_bucketed,
     prepare_partition,
     prepare_partitions,
     prepare_table,
@@ -27,6 +29,7 @@ from tripmart.sinks.tables import (
 __all__ = [
     "Prepared",
     "append_missing",
+    "by_buckets",
     "check_catalog",
     "check_columns",
     "check_layout",
@@ -37,6 +40,7 @@ __all__ = [
     "new_folder",
     "partition_filter",
     "path_exists",
+    "prepare_bucketed",
     "prepare_partition",
     "prepare_partitions",
     "prepare_table",

@@ -67,6 +67,7 @@ class Prepared:
     added: list[dict[str, object]] = field(default_factory=list)
     removed: list[dict[str, object]] = field(default_factory=list)
     version: str | None = None
+    buckets: tuple[str, int] | None = None
 
     @property
     def path(self) -> str:
@@ -79,7 +80,7 @@ class Prepared:
     def saved(self, before: Saved | None = None) -> Saved:
         """The whole table with what was prepared in it."""
         written = {self.version: len(self.parts)}
-        new = Saved(self.fmt, self.rows.schema.json(), self.partition_by, self.parts, written)
+        new = Saved(self.fmt, self.rows.schema.json(), self.partition_by, self.parts, written, self.buckets)
         if not self.partition_by or before is None:
             return new
         gone = {_folder(p) for p in (*self.added, *self.removed)}
@@ -132,6 +133,47 @@ def prepare_table(df: DataFrame, name: str, base_path: str, fmt: str = "parquet"
     return Prepared(df, name, base_path, fmt, {"": folder}, version=folder)
 
 
+def by_buckets(df: DataFrame, column: str, buckets: int, spread: str | None = None) -> DataFrame:
+    """`df` dealt so that each task writes few buckets of `column`.
+
+    With `spread`, a column that tells rows of one value apart, rows are cut into
+    ranges of bucket and `spread`: a value with a large share of the rows is
+    written by several tasks. A table that is unique on `column` does without.
+    """
+    if spread is None:
+        return df.repartition(buckets, quoted(column))
+    bucket = F.pmod(F.hash(quoted(column)), F.lit(buckets))
+    return df.repartitionByRange(buckets, bucket, F.col(quoted(spread)))
+
+
+def prepare_bucketed(
+    df: DataFrame, column: str, buckets: int, name: str, base_path: str, schema: str, fmt: str = "parquet"
+) -> Prepared:
+    """Write a whole table as a new version whose files are bucketed by `column`.
+
+    Only the catalog tells readers about buckets, so the files are written
+    through a catalog table of `schema` that goes when they are complete.
+    """
+    spark = df.sparkSession
+    if fmt in SELF_DESCRIBING:
+        raise ValueError(f"{fmt} tables cannot be bucketed")
+    folder, path = versions.new_version(base_path, name)
+    create_schema(spark, schema)
+    table = f"{quoted(schema)}.{quoted('writing_' + folder.rpartition('=')[2])}"
+    try:
+        spark.sql(
+            f"CREATE TABLE {table} ({df.schema.toDDL()}) USING {fmt}"
+            f" CLUSTERED BY ({quoted(column)}) INTO {buckets} BUCKETS LOCATION '{_literal(path)}'"
+        )
+        df.write.insertInto(table)
+    except BaseException:
+        delete_path(spark, path)
+        raise
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return Prepared(df, name, base_path, fmt, {"": folder}, version=folder, buckets=(column, buckets))
+
+
 def prepare_partition(
     df: DataFrame, partition: Mapping[str, int], name: str, base_path: str, fmt: str = "parquet"
 ) -> Prepared:
@@ -333,7 +375,7 @@ def register_saved(whole: DataFrame, schema: str, name: str, base_path: str, sav
         places = {folder: f"{base}/{place}" for folder, place in saved.parts.items()}
         register_table(whole, schema, name, table_path(base, name), saved.fmt, saved.partition_by, places)
     else:
-        register_table(whole, schema, name, f"{base}/{saved.parts['']}", saved.fmt)
+        register_table(whole, schema, name, f"{base}/{saved.parts['']}", saved.fmt, buckets=saved.buckets)
 
 
 def register_all(spark: SparkSession, base_path: str, schema: str) -> None:
@@ -372,11 +414,12 @@ def register_table(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
     places: Mapping[str, str] | None = None,
+    buckets: tuple[str, int] | None = None,
 ) -> None:
     """Point `schema.name` at the files of `saved` in `path`, and its partitions at their `places`.
 
     An external table of that name stays, with its comment, grants and
-    statistics, while columns, format and partitioning are the same: its
+    statistics, while columns, format, partitioning and buckets are the same: its
     location is altered if need be, and so are those of partitions. Nobody scans
     for partitions, and none is missing while its location changes. Otherwise
     the table is registered anew. A managed table owns its files and is left alone.
@@ -389,6 +432,7 @@ def register_table(
     wanted = [(f.name, f.dataType.simpleString()) for f in saved.schema.fields]
     same = known and known["columns"] == wanted and known["provider"] == fmt
     same = same and known["partition_by"] == list(partition_by) and (not partition_by or known["at"](path))
+    same = same and known["buckets"] == buckets
     if known and not same:
         spark.sql(f"DROP TABLE {table}")
     if same and not known["at"](path):
@@ -397,7 +441,8 @@ def register_table(
         columns = f"({saved.schema.toDDL()})" if plain else ""
         by = ", ".join(map(quoted, partition_by))
         partitions = f"PARTITIONED BY ({by})" if plain and partition_by else ""
-        spark.sql(f"CREATE TABLE {table} {columns} USING {fmt} {partitions} {where}")
+        clustered = f"CLUSTERED BY ({quoted(buckets[0])}) INTO {buckets[1]} BUCKETS" if buckets else ""
+        spark.sql(f"CREATE TABLE {table} {columns} USING {fmt} {partitions} {clustered} {where}")
     if plain and partition_by:
         _move_partitions(spark, table, places)
     spark.catalog.refreshTable(table)
@@ -419,7 +464,7 @@ def _move_partitions(spark: SparkSession, table: str, places: Mapping[str, str])
 
 
 def _registered(spark: SparkSession, table: str) -> dict | None:
-    """Columns, format, partitioning and place of an external catalog table."""
+    """Columns, format, partitioning, buckets and place of an external catalog table."""
     if not spark.catalog.tableExists(table):
         return None
     if spark.catalog.getTable(table).tableType == "MANAGED":
@@ -439,6 +484,7 @@ def _registered(spark: SparkSession, table: str) -> dict | None:
         "columns": parts[""],
         "partition_by": [name for name, _ in parts.get("# Partition Information", [])],
         "provider": facts["Provider"].lower(),
+        "buckets": (facts["Bucket Columns"][2:-2], int(facts["Num Buckets"])) if "Num Buckets" in facts else None,
         "at": lambda path: spark._jvm.org.apache.hadoop.fs.Path(path).toUri().getPath() == place,
     }
 

@@ -32,7 +32,8 @@ class Saved:
     """A table: its format, columns, partitioning, and the folder of each partition, relative to the base path.
 
     A table without partitions has one folder, under ''. `written` tells how
-    many partitions a version was written with.
+    many partitions a version was written with, `buckets` by what column and
+    into how many buckets its files are dealt.
     """
 
     fmt: str
@@ -40,6 +41,7 @@ class Saved:
     partition_by: tuple[str, ...] = ()
     parts: dict[str, str] = field(default_factory=dict)
     written: dict[str, int] = field(default_factory=dict)
+    buckets: tuple[str, int] | None = None
 
     @property
     def columns(self) -> StructType:
@@ -137,5 +139,9 @@ def _numbers(spark: SparkSession, base_path: str) -> list[int]:
 
 def _read(spark: SparkSession, base_path: str, number: int) -> Manifest:
     held = json.loads(read_text(spark, f"{base_path.rstrip('/')}/{LOADS}/{number:010d}.json"))
-    tables = {name: Saved(**{**t, "partition_by": tuple(t["partition_by"])}) for name, t in held.items()}
-    return Manifest(number, tables)
+    return Manifest(number, {name: _saved(**facts) for name, facts in held.items()})
+
+
+def _saved(partition_by: list[str], buckets: list | None = None, **facts) -> Saved:
+    """A table as a manifest's file has it, whose lists stand for tuples."""
+    return Saved(partition_by=tuple(partition_by), buckets=tuple(buckets) if buckets else None, **facts)
