@@ -197,8 +197,10 @@ QUERIES = {
         SELECT * FROM trips WHERE trip_distance IS NOT NULL AND total_amount IS NOT NULL
     """,
     "null_counts": _counts(["trip_distance", "total_amount"], "IS NULL", "null_count"),
+    "null_counts_from_footers": _counts(["trip_distance", "total_amount"], "IS NULL", "null_count"),
     "abs_amounts": f"SELECT {ABSOLUTE} FROM trips",
     "negative_counts": _counts(CURRENCY_COLUMNS, "< 0", "negative_count"),
+    "negative_counts_from_footers": _counts(CURRENCY_COLUMNS, "< 0", "negative_count"),
     "enrich_trips": "SELECT * FROM enriched",
     "dim_time": "SELECT * FROM dim_time",
     "fact_trips": "SELECT * FROM fact",

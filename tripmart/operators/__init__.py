@@ -6,6 +6,7 @@ from tripmart.operators.digests import (
     summary_by_digest,
 )
 from tripmart.operators.enrich import enrich_trips
+from tripmart.operators.footers import negative_counts_from_footers, null_counts_from_footers
 from tripmart.operators.model import clean_trips, dim_time, enriched_trips, fact_trips
 from tripmart.operators.quality import (
     abs_amounts,
@@ -38,7 +39,9 @@ __all__ = [
     "enriched_trips",
     "fact_trips",
     "negative_counts",
+    "negative_counts_from_footers",
     "null_counts",
+    "null_counts_from_footers",
     "quality_report",
     "repeat_rows",
     "row_groups",
