@@ -1,4 +1,4 @@
-from tripmart.functions.exact import exact_parts, exact_sums, exact_total
+from tripmart.functions.exact import exact_parts, exact_sums, exact_total, from_limbs, limb_sums
 from tripmart.functions.trip_columns import (
     location_key,
     pickup_date,
@@ -13,6 +13,8 @@ __all__ = [
     "exact_parts",
     "exact_sums",
     "exact_total",
+    "from_limbs",
+    "limb_sums",
     "location_key",
     "pickup_date",
     "pickup_day_of_week",

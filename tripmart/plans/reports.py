@@ -15,7 +15,7 @@ Sorted reports break ties by their group keys.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,23 +54,39 @@ TOTALS_TABLE, BY = "trip_totals", "by"
 def month_totals(fact: DataFrame, months: list[str]) -> DataFrame:
     """Totals of all measures by each set of keys and the columns `months`, to which those of more trips can be added.
 
-    Every trip is read once. It is counted for each set of keys before anything
-    is shuffled, so what is shuffled is bounded by the keys and not the trips.
+    Every trip is read once. It is counted for each set of keys that lies in no
+    other before anything is shuffled, so what is shuffled is bounded by the keys
+    and not the trips. The other sets add up the totals of one that holds them.
     Sums are in exact parts.
     """
     keys = list(dict.fromkeys(k for own in KEY_SETS for k in own))
+    finest = [own for own in KEY_SETS if not any(set(own) < set(other) for other in KEY_SETS)]
     hour = F.when(F.col("tpep_pickup_datetime").isNotNull(), T.pickup_hour())
     rows = fact.select(*months, *[hour.alias(k) if k == "pickup_hour" else k for k in keys], *_measured())
-    sets = [[*months, *own] for own in KEY_SETS]
+    sets = [[*months, *own] for own in finest]
     names = F.grouping_id()  # a bit for each column that a set does not have
-    grouped = rows.groupingSets(sets, *months, *keys).agg(
-        names.alias("set"),
-        F.count(F.lit(1)).alias("trips"),
-        *[a for m in MEASURES for a in (*T.exact_sums(m, m), F.count(m).alias(f"{m}_n"))],
-    )
-    own = {",".join(k): sum(1 << (len(keys) - 1 - i) for i, c in enumerate(keys) if c not in k) for k in KEY_SETS}
-    by = F.coalesce(*[F.when(F.col("set") == bits, F.lit(name)) for name, bits in own.items()])
-    return grouped.withColumn("set", by).withColumnRenamed("set", BY).select(BY, *keys, "trips", *_parts(), *months)
+    grouped = rows.groupingSets(sets, *months, *keys).agg(names.alias("set"), *_counts({m: F.col(m) for m in MEASURES}))
+
+    def coarser(whole: tuple[str, ...]) -> Column:
+        held = [own for own in KEY_SETS if next(f for f in finest if set(own) <= set(f)) == whole]
+        kept = lambda own: [F.when(F.lit(k in own), F.col(k)).alias(k) for k in keys]
+        return F.array(*[F.struct(F.lit(",".join(own)).alias(BY), *kept(own)) for own in held])
+
+    bits = {own: sum(1 << (len(keys) - 1 - i) for i, c in enumerate(keys) if c not in own) for own in finest}
+    groups = F.coalesce(*[F.when(F.col("set") == bits[own], coarser(own)) for own in finest])
+    totals = grouped.select(F.explode(groups).alias("own"), *months, *_summed(MEASURES)).select("own.*", *months, "trips", *_parts())
+    added = {c: F.sum(c) for c in ("trips", *_parts())}
+    added = [a.cast("decimal(29,0)").alias(c) if c.endswith(("_whole", "_high", "_low")) else a.alias(c) for c, a in added.items()]
+    return totals.groupBy(BY, *keys, *months).agg(*added).select(BY, *keys, "trips", *_parts(), *months)
+
+
+def _counts(values: Mapping[str, Column]) -> list[Column]:
+    """Aggregates for trips and measures, from which `_summed` makes the sums in exact parts."""
+    return [F.count(F.lit(1)).alias("trips"), *[a for m, v in values.items() for a in (*T.limb_sums(m, v), F.count(v).alias(f"{m}_n"))]]
+
+
+def _summed(measures: Iterable[str]) -> list[Column]:
+    return [F.col("trips"), *[c for m in measures for c in (*T.from_limbs(m), F.col(f"{m}_n"))]]
 
 
 def _measured() -> list[Column]:
@@ -90,10 +106,8 @@ def totals_per_key(tables: Tables, keys: list[str], *measures: str) -> DataFrame
         kept = tables[TOTALS_TABLE].filter(F.col(BY) == ",".join(keys))
         parts = [f"{m}_{part}" for m in measures for part in ("whole", "high", "low", "other", "n")]
         return kept.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("trips", *parts)])
-    aggregates = [F.count(F.lit(1)).alias("trips")]
-    for m in measures:
-        aggregates += [*T.exact_sums(m, MEASURES[m]()), F.count(MEASURES[m]()).alias(f"{m}_n")]
-    return tables["fact_trips"].groupBy(*keys).agg(*aggregates)
+    totals = tables["fact_trips"].groupBy(*keys).agg(*_counts({m: MEASURES[m]() for m in measures}))
+    return totals.select(*keys, *_summed(measures))
 
 
 def trip_count() -> Column:
