@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
+import tracemalloc
 from collections import Counter
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import SF_SMALL, awkward, empty, labels, rows, small  # noqa: F401
 from pyspark.sql import functions as F
@@ -82,3 +85,24 @@ def test_scores_pass_64_bits(spark):
     assert r["score"] == 2_000_000 * n // (2 * n + 3) and (r["l"], r["r"]) == (n + 1, n + 2)
     covers = spark.createDataFrame([(3, 2, n, "x", "a b c", [n] * 3, [n] * 3, [(2, 1)])], kind)
     assert [x["phrase"] for x in phrases._scored(df.union(covers), 2_000_000, 80).collect()] == ["a b c"]
+
+
+def test_a_chunk_takes_bounded_memory():
+    """Of one Python worker, of which an executor has one for each core."""
+    source, n, words = np.random.default_rng(1), phrases.CHUNK_WORDS, phrases.CHUNK_WORDS // 16
+    names = pa.array([f"w{i}" for i in range(words)])
+    chunk = phrases._Chunk(0)
+    for lang in "abcd":
+        chunk.add(lang, np.arange(n // 4), names.take(pa.array(source.integers(0, words, n // 4))))
+    tracemalloc.start()
+    rows = pa.Table.from_batches(list(chunk.rows()))
+    first = tracemalloc.get_traced_memory()[1]
+    own = int(max(phrases.open_up(rows["groups"][0].as_py(), "<i4", n))) + 1
+    frequent = pa.table({"chunk": [0] * own, "group": list(range(own)), "id": list(range(own))})
+    relation = rows.slice(0, 1).select(["chunk", "n", "places", "groups"])
+    tracemalloc.reset_peak()
+    longer = phrases._extended(frequent, relation)
+    second = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert longer["n"][0].as_py() == n - 4
+    assert max(first, second) < 144 << 20, (first >> 20, second >> 20)

@@ -25,10 +25,11 @@ SEPARATORS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 FOLDED = bytes(
     ord("\n") if b in SEPARATORS else ord(" ") if b in BLANKS else b + 32 if 65 <= b <= 90 else b for b in range(256)
 )
-#: Occurrences of a chunk, about, and bytes of text that are split at once.
-CHUNK_WORDS, SLICE = 1 << 22, 4 << 20
+#: Occurrences of a chunk, about, and bytes of text that are split at once. A join of a chunk takes some fifty
+#: bytes for each occurrence, and every core of an executor has a worker beside the JVM.
+CHUNK_WORDS, SLICE = 1 << 21, 1 << 20
 #: Words times languages of a chunk that are numbered by a table.
-DENSE = 1 << 24
+DENSE = 1 << 21
 #: Groups in a row of the table that has them.
 GROUPS = 1 << 13
 #: Bits of an id for the place of a group in its chunk, and for the place of a chunk in its task.
@@ -95,7 +96,7 @@ def mine(
 
     Null text counts as empty, a null language is `und`. Null and repeated ids
     and repeated rows are documents like others. An empty table gives no rows. A
-    task holds one slice of text, 4 MB or a longer piece, with some thirty bytes
+    task holds one slice of text, 1 MB or a longer piece, with some thirty bytes
     for each of its bytes, and one chunk.
     """
     spark = documents.sparkSession
@@ -219,11 +220,12 @@ class _Chunk:
         words = pa.chunked_array(self.words).unify_dictionaries()
         names, own = np.unique(np.array(self.langs, object), return_inverse=True)
         dictionary = words.chunk(0).dictionary
-        lang = np.repeat(own, [len(c) for c in words.chunks])
-        keys = np.concatenate([c.indices.to_numpy() for c in words.chunks]) + lang * len(dictionary)
+        sizes = [len(c) for c in words.chunks]
+        keys = np.repeat(own * len(dictionary), sizes)
+        keys += np.concatenate([c.indices.to_numpy() for c in words.chunks])
         if len(names) * len(dictionary) <= DENSE:  # numbered without sorting
             times = np.bincount(keys, minlength=len(names) * len(dictionary))
-            groups = (np.cumsum(times > 0) - 1)[keys]
+            groups = (np.cumsum(times > 0, dtype="<i4") - 1)[keys]
             keys = np.flatnonzero(times)
             times = times[keys]
         else:
@@ -233,9 +235,9 @@ class _Chunk:
             "chunk": self.name,
             "n": self.n,
             "places": _packed(np.concatenate(self.places)),
-            "groups": squeeze(groups.astype("<i4")),
+            "groups": squeeze(groups.astype("<i4", copy=False)),
             "of_lang": names.tolist(),
-            "of_words": np.bincount(lang).tolist(),
+            "of_words": np.bincount(own, sizes).astype(np.int64).tolist(),
         }
         whole = {
             "lang": held.take(pa.array(keys // len(dictionary))),
@@ -278,22 +280,31 @@ def _extended(frequent: pa.Table, relation: pa.Table) -> pa.Table:
         return _NEXT_TABLE.empty_table()
     held = relation.to_pylist()[0]
     places = np.cumsum(open_up(held["places"], "<i8", held["n"]))
-    groups = open_up(held["groups"], "<i4", held["n"]).astype(np.int64)
+    groups = open_up(held["groups"], "<i4", held["n"])
     ids = np.full(max(int(groups.max()), int(max(frequent.column("group").to_numpy()))) + 1, -1, np.int64)
     ids[frequent.column("group").to_numpy()] = frequent.column("id").to_numpy()
-    kept = ids[groups] >= 0
+    kept = (ids >= 0)[groups]
     places, groups = places[kept], groups[kept]
-    beside = np.flatnonzero(np.diff(places) == 1)
-    if not len(beside):
+    beside = np.diff(places) == 1
+    n = int(beside.sum())
+    if not n:
         return _NEXT_TABLE.empty_table()
-    keys = groups[beside] * len(ids) + groups[beside + 1]
-    keys, own, times = np.unique(keys, return_inverse=True, return_counts=True)
-    relation = {
-        "chunk": held["chunk"],
-        "n": len(beside),
-        "places": _packed(places[beside]),
-        "groups": squeeze(own.astype("<i4")),
-    }
+    relation = {"chunk": held["chunk"], "n": n, "places": _packed(places[:-1][beside])}
+    del places, kept
+    keys = groups[:-1][beside].astype(np.int64)
+    keys *= len(ids)
+    keys += groups[1:][beside]
+    del groups, beside
+    order = np.argsort(keys)  # what np.unique does, in less memory
+    keys = keys[order]
+    first = np.append(True, keys[1:] != keys[:-1])
+    own = np.empty(n, "<i4")
+    own[order] = np.cumsum(first, dtype="<i4") - 1
+    del order
+    relation["groups"] = squeeze(own)
+    del own
+    keys = keys[first]
+    times = np.diff(np.flatnonzero(first), append=n)
     relation |= {"size": len(keys), "left": squeeze(ids[keys // len(ids)]), "right": squeeze(ids[keys % len(ids)])}
     relation["times"] = squeeze(times.astype("<i4"))
     return pa.Table.from_pylist([relation], _NEXT_TABLE)
